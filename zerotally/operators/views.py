@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,8 +61,11 @@ def view_columns(stage: str, seg: str) -> dict[str, Column]:
     household = {}
     if seg == "nonauto" or stage == "baseline":
         household = {"household_group": S.indicator(F.col("household_group") == fixed.HOUSEHOLD_FLAG[seg])}
-    return {**_shared(seg), **household, **_policy_counts(seg, split_counts),
-            **_tenure(stage == "count" and seg == "nonauto"), **_only_in(seg)}
+    columns = {**_shared(seg), **household, **_policy_counts(seg, split_counts),
+               **_tenure(stage == "count" and seg == "nonauto"), **_only_in(seg)}
+    # the order of the raw columns; both halves of a hinge stay together
+    raw = list(fixed.POLICY_COLUMNS)
+    return dict(sorted(columns.items(), key=lambda kv: raw.index(re.sub(r"_(le|gt)\d+$", "", kv[0]))))
 
 
 def feature_view(df: DataFrame, stage: str, seg: str, has_target: bool = True,

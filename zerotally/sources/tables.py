@@ -8,11 +8,16 @@ from zerotally import fixed
 from zerotally.operators.ranking import with_row_id
 
 
-def save_table(df: DataFrame, name: str, add_id: bool = False, order: list[str] | None = None) -> None:
-    """Create or replace a table; `add_id` appends a 0-based `Id` in the given order."""
+def save_table(df: DataFrame, name: str, add_id: bool = False, order: list[str] | None = None,
+               path: str | None = None) -> None:
+    """Create or replace a table, in the warehouse or at `path`.
+
+    `add_id` appends a 0-based `row_id` in the given order.
+    """
     if add_id:
-        df = with_row_id(df, order or [fixed.ID], "Id")
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        df = with_row_id(df, order or [fixed.ID])
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def load_table(spark: SparkSession, name: str, exclude: list[str] | None = None) -> DataFrame:
