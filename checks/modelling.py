@@ -25,7 +25,7 @@ from zerotally.operators.segments import labelled, positives, segment
 from zerotally.operators.selection import stepwise_logit
 from zerotally.operators.views import feature_view
 from zerotally.plans import hurdle as H
-from zerotally.plans.prepare import encode_stage, prepare
+from zerotally.plans.prepare import encode_stage, prepare, prepare_all
 from zerotally.sources.policies import policies
 from zerotally.workspace import materialise, scratch_path
 
@@ -292,15 +292,14 @@ def m15(spark, d):
 @query("m16_score_unlabelled_rows", ALL + """SELECT id, round(avg(call_counts) OVER (PARTITION BY bi_limit_group = 'NonAuto', acq_method), 4) AS call_counts FROM policies""")
 def m16(spark, d):
     train = materialise(policies(spark, d), "policies")
-    fitted = [(p, H.fit_hurdle(p, final=True, nominal=[GROUP])) for p in (prepare(train, s) for s in SEGS)]
+    fitted = H.fit_all(prepare_all(train), final=True, nominal=[GROUP])
     return rounded(H.predict_unseen(fitted, train.drop(fixed.TARGET)), 4, fixed.TARGET)
 
 
 @query("m16_score_unlabelled_rows_all_features")
 def m16_full(spark, d):
     train = materialise(policies(spark, d), "policies")
-    fitted = [(p, H.fit_hurdle(p, final=True)) for p in (prepare(train, s) for s in SEGS)]
-    return H.predict_unseen(fitted, train.drop(fixed.TARGET))
+    return H.predict_unseen(H.fit_all(prepare_all(train), final=True), train.drop(fixed.TARGET))
 
 
 def _gini_sql(source, y, p, out):
@@ -430,5 +429,4 @@ def e07(spark, d):
 
 @query("e07_hurdle_validation_report")
 def e07_fitted(spark, d):
-    train = materialise(policies(spark, d), "policies")
-    return H.validation_report([(p, H.fit_hurdle(p)) for p in (prepare(train, s) for s in SEGS)])
+    return H.validation_report(H.fit_all(prepare_all(policies(spark, d))))

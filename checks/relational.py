@@ -325,12 +325,12 @@ for _seg in SEGS:
     @query(f"a03_rate_calibration_{_seg}", sql.split(_seg) + ", l AS (" + sql.stacked(
         sql.levels(_seg, "pol_edeliv_ind"), "sp", f'"Sample", call_counts, ({PSEUDO}) / 100 AS pred') + f"""),
     g AS (SELECT "Variable", "ValVar", "Sample", SUM(pred) AS "PredCnt", {_LEVEL_SUMS} FROM l GROUP BY 1, 2, 3)
-    SELECT * REPLACE (round("PredCnt", 6) AS "PredCnt"), {_LEVEL_RATES.format(rate='"ActualRate"')}, round("PredCnt" / "TotalCnt", 6) AS "PredRate" FROM g""")
+    SELECT * REPLACE (round("PredCnt", 6) AS "PredCnt"), {_LEVEL_RATES.format(rate='"ActualRate"')}, round("PredCnt" / "TotalCnt", 8) AS "PredRate" FROM g""")
     def _(spark, d, seg=_seg):
         rows = ranking.with_sample(raw_filled(spark, d, seg))
         rows = pseudo(rows).withColumn("pred", F.col("pred") / 100)
         table = levels.rate_calibration(level_view(rows, seg, [fixed.TARGET, "Sample", "pred"]), fixed.LEVEL_VARIABLES[seg])
-        return rounded(rounded(table, 6, "PredCnt", "PredRate"), 9, "ActualRate", "MeanGivenPositive")
+        return rounded(rounded(rounded(table, 6, "PredCnt"), 8, "PredRate"), 9, "ActualRate", "MeanGivenPositive")
 
     for _id, _what, _where in (("a04", "conditional", " WHERE call_counts > 0"), ("a05", "combined", "")):
         @query(f"{_id}_{_what}_calibration_{_seg}", sql.split(_seg) + ", l AS (" + sql.stacked(

@@ -59,8 +59,6 @@ class Imputer:
         return majority_label(self.neighbours(df), fixed.ID, "imputed")
 
     def apply(self, df: DataFrame) -> DataFrame:
-        if unlabelled(df).isEmpty():
-            return df.withColumn(fixed.FILLED, F.col(fixed.IMPUTED)).drop(fixed.IMPUTED)
         return fill_from(df, self.predict(df))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from zerotally.functions.scalars import sigmoid
 from zerotally.operators.likelihood import FAMILIES, count_terms
 from zerotally.operators.newton import (Design, Optimum, histogram, independent_features, maximise)
-from zerotally.workspace import materialise
+from zerotally.workspace import materialise, together
 
 CONST, ALPHA = "const", "alpha"
 _COEF_SCHEMA = "pos int, part string, term string, coef double, se double, z double, p double"
@@ -108,31 +108,59 @@ def _coefficient(part: str, term: str, coef: float, variance: float) -> Coeffici
 
 # -- generalised linear models by Spark ML ----------------------------------------------------
 
-def _fit_glm(design: Design, family: str, keep: list[str], counts: dict[int, float] | None) -> Model:
-    name = {"poisson": ("poisson", "log"), "logit": ("binomial", "logit")}[family]
-    n_rows = design.rows
-    assembled = VectorAssembler(inputCols=keep, outputCol="_x").transform(n_rows) if keep else n_rows
-    weight = [F.col(design.weight).alias("_w")] if design.weight else [F.lit(1.0).alias("_w")]
+# Spark ML's names for family and link
+_GLM = {"poisson": ("poisson", "log"), "logit": ("binomial", "logit")}
+
+
+def _glm_rows(design: Design, family: str, keep: list[str]) -> DataFrame:
+    """Feature vector `_x`, target `_y` and weight `_w`.
+
+    Weighted 0/1 rows become one proportion per feature combination: with heavy weights on
+    single outcomes the solver would start next to 0 and 1.
+    """
+    if design.weight and family == "logit":
+        w = F.col(design.weight)
+        rows = design.rows.groupBy(*keep).agg(
+            (F.sum(w * F.col(design.y)) / F.sum(w)).alias("_y"), F.sum(w).alias("_w"))
+    else:
+        w = F.col(design.weight) if design.weight else F.lit(1.0)
+        rows = design.rows.select(*keep, F.col(design.y).cast("double").alias("_y"), w.alias("_w"))
+    return VectorAssembler(inputCols=keep, outputCol="_x").transform(rows).select("_x", "_y", "_w")
+
+
+def _run_glm(design: Design, family: str, keep: list[str], intercept: bool) -> tuple[list[Coefficient], int]:
+    name, link = _GLM[family]
+    rows = _glm_rows(design, family, keep).persist()
+    fitted = GeneralizedLinearRegression(
+        family=name, link=link, featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="_mean",
+        fitIntercept=intercept, maxIter=100, tol=1e-8).fit(rows)
+    summary = fitted.summary
+    errors, values, terms = list(summary.coefficientStandardErrors), list(fitted.coefficients), list(keep)
+    if intercept:
+        # Spark ML puts the intercept's error last
+        errors, values, terms = [errors[-1], *errors[:-1]], [fitted.intercept, *values], [CONST, *terms]
+    steps = summary.numIterations
+    rows.unpersist()
+    return [_coefficient("count", t, b, e * e) for t, b, e in zip(terms, values, errors)], steps
+
+
+def _intercept_only(family: str, counts: dict[int, float]) -> list[Coefficient]:
     n = sum(counts.values())
-    if not keep:
-        # intercept only: closed form
-        mean = sum(y * w for y, w in counts.items()) / n
-        eta = math.log(mean) if family == "poisson" else math.log(mean / (1 - mean))
-        variance = 1 / (n * mean) if family == "poisson" else 1 / (n * mean * (1 - mean))
-        coefs, steps = [_coefficient("count", CONST, eta, variance)], 0
+    mean = sum(y * w for y, w in counts.items()) / n
+    if family == "poisson":
+        return [_coefficient("count", CONST, math.log(mean), 1 / (n * mean))]
+    return [_coefficient("count", CONST, math.log(mean / (1 - mean)), 1 / (n * mean * (1 - mean)))]
+
+
+def _fit_glm(design: Design, family: str, keep: list[str], counts: dict[int, float],
+             intercept: bool = True) -> Model:
+    if keep:
+        coefs, steps = _run_glm(design, family, keep, intercept)
+    elif intercept:
+        coefs, steps = _intercept_only(family, counts), 0
     else:
-        rows = assembled.select("_x", F.col(design.y).alias("_y"), *weight).persist()
-        fitted = GeneralizedLinearRegression(
-            family=name[0], link=name[1], featuresCol="_x", labelCol="_y", weightCol="_w",
-            predictionCol="_mean", maxIter=100, tol=1e-8).fit(rows)
-        summary = fitted.summary
-        errors = list(summary.coefficientStandardErrors)       # intercept comes last
-        values = [fitted.intercept, *fitted.coefficients]
-        coefs = [_coefficient("count", t, b, e * e) for t, b, e in
-                 zip([CONST, *keep], values, [errors[-1], *errors[:-1]])]
-        steps = summary.numIterations
-        rows.unpersist()
-    model = Model(family, coefs, math.nan, len(coefs), n, steps, True,
+        raise ValueError("no coefficient is left to fit")
+    model = Model(family, coefs, math.nan, len(coefs), sum(counts.values()), steps, True,
                   [f for f in design.features if f not in keep])
     return replace(model, loglik=log_likelihood(model, design, counts))
 
@@ -151,12 +179,20 @@ def log_likelihood(model: Model, design: Design, counts: dict[int, float] | None
     return design.rows.agg(F.sum(row)).first()[0] + constant
 
 
+def _survey(design: Design) -> tuple[dict[int, float], list[str]]:
+    """Histogram of y and the features that are not collinear."""
+    return tuple(together(design.rows.sparkSession, lambda: histogram(design),
+                          lambda: independent_features(design)))
+
+
 def fit_poisson(design: Design) -> Model:
-    return _fit_glm(design, "poisson", independent_features(design), histogram(design))
+    counts, keep = _survey(design)
+    return _fit_glm(design, "poisson", keep, counts)
 
 
 def fit_logit(design: Design) -> Model:
-    return _fit_glm(design, "logit", independent_features(design), histogram(design))
+    counts, keep = _survey(design)
+    return _fit_glm(design, "logit", keep, counts)
 
 
 # -- models Spark ML does not have ------------------------------------------------------------
@@ -194,8 +230,7 @@ def _dispersed_start(design: Design, keep: list[str], counts: dict[int, float])
 
 
 def _fit_dispersed(design: Design, family: str) -> Model:
-    counts = histogram(design)
-    keep = independent_features(design)
+    counts, keep = _survey(design)
     best = maximise(design.narrowed(keep), family, _dispersed_start(design, keep, counts), counts)
     return _from_optimum(family, design, best, keep, sum(counts.values()))
 
@@ -214,12 +249,14 @@ def zi_warm_start(design: Design) -> tuple[Model, Model]:
     """Logit of y == 0 on all rows, Poisson on the positive rows."""
     zero = F.when(F.col(design.y) == 0, 1.0).otherwise(0.0)
     flagged = Design(design.rows.withColumn(design.y, zero), design.features, design.y, design.weight)
-    return fit_logit(flagged), fit_poisson(design.filtered(F.col(design.y) > 0))
+    zero_fit, count_fit = together(
+        design.rows.sparkSession, lambda: fit_logit(flagged),
+        lambda: fit_poisson(design.filtered(F.col(design.y) > 0)))
+    return zero_fit, count_fit
 
 
 def _fit_inflated(design: Design, family: str, warm: tuple[Model, Model] | None) -> Model:
-    counts = histogram(design)
-    keep = independent_features(design)
+    counts, keep = _survey(design)
     inflate, count = warm or zi_warm_start(design.narrowed(keep))
     zeta, eta = inflate.part("count"), count.part("count")
     start = [zeta.get(t, 0.0) for t in (CONST, *keep)] + [eta.get(t, 0.0) for t in (CONST, *keep)]
@@ -266,28 +303,8 @@ def fit_logit_constrained(design: Design, fitted: Model, threshold: float) -> Mo
     """
     weak = {c.term for c in fitted.coefficients if c.p > threshold}
     keep = [c.term for c in fitted.coefficients if c.term not in weak and c.term != CONST]
-    if CONST in weak:
-        refit = _fit_without_intercept(design, keep)
-    else:
-        refit = fit_logit(design.narrowed(keep))
+    refit = _fit_glm(design, "logit", keep, histogram(design), intercept=CONST not in weak)
     have = {c.term: c for c in refit.coefficients}
     zero = lambda t: Coefficient("count", t, 0.0, math.nan, math.nan, math.nan)
     full = [have.get(c.term, zero(c.term)) for c in fitted.coefficients]
     return replace(refit, coefficients=full)
-
-
-def _fit_without_intercept(design: Design, keep: list[str]) -> Model:
-    if not keep:
-        raise ValueError("every coefficient is above the threshold")
-    rows = VectorAssembler(inputCols=keep, outputCol="_x").transform(design.rows).select(
-        "_x", F.col(design.y).alias("_y"),
-        (F.col(design.weight) if design.weight else F.lit(1.0)).alias("_w")).persist()
-    fitted = GeneralizedLinearRegression(
-        family="binomial", link="logit", featuresCol="_x", labelCol="_y", weightCol="_w",
-        fitIntercept=False, maxIter=100, tol=1e-8).fit(rows)
-    coefs = [_coefficient("count", t, b, e * e) for t, b, e in
-             zip(keep, fitted.coefficients, fitted.summary.coefficientStandardErrors)]
-    steps = fitted.summary.numIterations
-    rows.unpersist()
-    model = Model("logit", coefs, math.nan, len(coefs), sum(histogram(design).values()), steps, True, [])
-    return replace(model, loglik=log_likelihood(model, design))

@@ -18,7 +18,7 @@ from zerotally.operators.newton import Design, make_design
 from zerotally.operators.segments import positives
 from zerotally.operators.views import level_view, view_columns
 from zerotally.plans.prepare import Encoded, Prepared, encode_stage
-from zerotally.workspace import materialise
+from zerotally.workspace import materialise, together
 
 
 def stage_design(encoded: Encoded, which: str | None = "Train") -> Design:
@@ -72,10 +72,22 @@ def fit_hurdle(data: Prepared, final: bool = False, nominal: list[str] | None =
     The encoders always come from the training rows.
     """
     which = None if final else "Train"
-    first = encode_stage(data, "binary", nominal, numeric)
-    second = encode_stage(data, "count", nominal, numeric)
-    return Hurdle(data.name, first.encoder, fit_logit(stage_design(first, which)),
-                  second.encoder, fit_ztnb(stage_design(second, which)))
+
+    def stage(name, fit):
+        encoded = encode_stage(data, name, nominal, numeric)
+        return encoded.encoder, fit(stage_design(encoded, which))
+
+    first, second = together(data.rows.sparkSession, lambda: stage("binary", fit_logit),
+                             lambda: stage("count", fit_ztnb))
+    return Hurdle(data.name, *first, *second)
+
+
+def fit_all(prepared: list[Prepared], final: bool = False, nominal: list[str] | None = None,
+            numeric: list[str] | None = None) -> list[tuple[Prepared, Hurdle]]:
+    """Every segment with its fitted hurdle, the fits running side by side."""
+    spark = prepared[0].rows.sparkSession
+    fitted = together(spark, *[lambda p=p: fit_hurdle(p, final, nominal, numeric) for p in prepared])
+    return list(zip(prepared, fitted))
 
 
 def level_predictions(data: Prepared, model: Hurdle, pred: str) -> DataFrame:
@@ -100,8 +112,11 @@ def combined_calibration(data: Prepared, model: Hurdle) -> DataFrame:
 
 def validation_report(fitted: list[tuple[Prepared, Hurdle]]) -> DataFrame:
     """One row per segment and one for all segments pooled, on the held-out rows."""
-    scored = [(d.name, materialise(m.score(d.sample("Val"), [fixed.ID, fixed.TARGET]), "scored"))
-              for d, m in fitted]
+    spark = fitted[0][0].rows.sparkSession
+    frames = together(spark, *[
+        lambda d=d, m=m: materialise(m.score(d.sample("Val"), [fixed.ID, fixed.TARGET]), "scored")
+        for d, m in fitted])
+    scored = list(zip([d.name for d, _ in fitted], frames))
     parts = [hurdle_report(df, name) for name, df in scored]
     pooled = reduce(DataFrame.unionByName, [df for _, df in scored])
     return reduce(DataFrame.unionByName, [*parts, hurdle_report(pooled, "pooled")])
@@ -109,8 +124,9 @@ def validation_report(fitted: list[tuple[Prepared, Hurdle]]) -> DataFrame:
 
 def predict_unseen(fitted: list[tuple[Prepared, Hurdle]], unseen: DataFrame) -> DataFrame:
     """`id, call_counts` for every row of an unlabelled policy table that fits a segment."""
-    scored = [m.score(d.impute(unseen), [fixed.ID]).select(fixed.ID, F.col("y_hat").alias(fixed.TARGET))
-              for d, m in fitted]
+    filled = together(unseen.sparkSession, *[lambda d=d: d.impute(unseen) for d, _ in fitted])
+    scored = [m.score(df, [fixed.ID]).select(fixed.ID, F.col("y_hat").alias(fixed.TARGET))
+              for df, (_, m) in zip(filled, fitted)]
     return reduce(DataFrame.unionByName, scored)
 
 
@@ -119,9 +135,10 @@ def baseline_models(data: Prepared, nominal: list[str] | None = None,
     """Poisson, zero-inflated Poisson and zero-inflated negative binomial on the same design."""
     encoded = encode_stage(data, "baseline", nominal, numeric)
     design = stage_design(encoded)
-    warm = zi_warm_start(design)
-    return encoded, {"Poisson": fit_poisson(design), "ZIP": fit_zip(design, warm),
-                     "ZINB": fit_zinb(design, warm)}
+    spark = data.rows.sparkSession
+    warm, poisson = together(spark, lambda: zi_warm_start(design), lambda: fit_poisson(design))
+    zip_, zinb = together(spark, lambda: fit_zip(design, warm), lambda: fit_zinb(design, warm))
+    return encoded, {"Poisson": poisson, "ZIP": zip_, "ZINB": zinb}
 
 
 def baseline_comparison(encoded: Encoded, models: dict[str, Model]) -> DataFrame:

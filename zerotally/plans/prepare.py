@@ -13,7 +13,7 @@ from zerotally.operators.imputation import Imputer, fit_imputer
 from zerotally.operators.ranking import with_sample
 from zerotally.operators.segments import positives, segment
 from zerotally.operators.views import feature_view
-from zerotally.workspace import materialise
+from zerotally.workspace import materialise, together
 
 
 @dataclass(frozen=True)
@@ -32,8 +32,14 @@ class Prepared:
         return materialise(self.imputer.apply(rows), "unseen-imputed")
 
 
+def prepare_all(train: DataFrame) -> list[Prepared]:
+    """All segments, prepared side by side from one materialised policy table."""
+    train = materialise(train, "policies")
+    return together(train.sparkSession, *[lambda s=s: prepare(train, s) for s in fixed.SEGMENTS])
+
+
 def prepare(train: DataFrame, seg: str) -> Prepared:
-    rows = materialise(with_sample(materialise(segment(train, seg), "segment")), "split")
+    rows = with_sample(materialise(segment(train, seg), "segment"))
     imputer = fit_imputer(rows.where(F.col("Sample") == "Train"))
     return Prepared(seg, materialise(imputer.apply(rows), "imputed"), imputer)
 

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 _DIR_KEY = "spark.checkpoint.dir"
 
@@ -34,3 +38,10 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
+    """Run independent chains of Spark jobs from several driver threads; results in order."""
+    wrap = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        return [f.result() for f in [pool.submit(wrap(t)) for t in tasks]]
