@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zerotally.workspace import materialise
@@ -29,13 +29,10 @@ MAX_DISCRETE = 4096
 _FOUND = "qid long, nid long, d2 double, label int"
 
 
-def _min_distance(child: Column, dims: list[str]) -> Column:
-    """Squared distance from the query's coordinates to a tile's bounding box."""
-    total = F.lit(0.0)
-    for i, d in enumerate(dims):
-        gap = F.greatest(child[f"lo{i}"] - F.col(d), F.col(d) - child[f"hi{i}"], F.lit(0.0))
-        total = total + gap * gap
-    return total
+def _min_distance(dims: list[str]) -> str:
+    """SQL for the squared distance from the query's coordinates to the box of a tile `c`."""
+    gaps = [f"greatest(c.lo{i} - `{d}`, `{d}` - c.hi{i}, 0D)" for i, d in enumerate(dims)]
+    return " + ".join(f"{g} * {g}" for g in gaps)
 
 
 def _tile_by_discrete(points: DataFrame, discrete: list[str]) -> DataFrame:
@@ -95,22 +92,21 @@ def _tile_tree(points: DataFrame, dims: list[str], depth: int) -> list[DataFrame
 
 def _home_tiles(queries: DataFrame, tree: list[DataFrame], dims: list[str], k: int) -> DataFrame:
     """Walk down to the nearest tile that can hold k points, one child per level."""
+    best = F.expr(f"array_min(transform(children, c -> struct(c.cnt < {k} AS few, "
+                  f"{_min_distance(dims)} AS d, c.tile AS tile))).tile")
     at = queries.withColumn("parent", F.lit(0).cast("long"))
     for level in tree:
-        best = F.array_min(F.transform("children", lambda c: F.struct(
-            (c["cnt"] < k).alias("few"), _min_distance(c, dims).alias("d"), c["tile"].alias("tile"))))
-        at = at.join(level, "parent").withColumn("parent", best["tile"]).drop("children")
+        at = at.join(level, "parent").withColumn("parent", best).drop("children")
     return at.withColumnRenamed("parent", "tile")
 
 
 def _near_tiles(queries: DataFrame, tree: list[DataFrame], dims: list[str]) -> DataFrame:
     """All tiles but the home one whose box is within the bound `r2`; slack covers rounding."""
+    near = F.expr("explode(transform(filter(children, c -> "
+                  f"{_min_distance(dims)} <= r2 * (1 + 1e-9D) + 1e-12D), c -> c.tile))")
     at = queries.withColumn("parent", F.lit(0).cast("long"))
-    bound = F.col("r2") * (1 + 1e-9) + 1e-12
     for level in tree:
-        near = F.filter("children", lambda c: _min_distance(c, dims) <= bound)
-        at = (at.join(level, "parent")
-              .withColumn("parent", F.explode(F.transform(near, lambda c: c["tile"]))).drop("children"))
+        at = at.join(level, "parent").withColumn("parent", near).drop("children")
     return at.withColumnRenamed("parent", "tile").where(F.col("tile") != F.col("home"))
 
 
