@@ -168,9 +168,12 @@ def nearest_neighbours(queries: DataFrame, points: DataFrame, numeric: list[str]
     """
     if tile_rows < FANOUT * k:
         raise ValueError(f"tile_rows must be at least {FANOUT * k}")
-    dims = [*numeric, *discrete]
+    # own names for the coordinates, so that no caller's column can be taken for another
+    named = {c: f"_x{i}" for i, c in enumerate([*numeric, *discrete])}
+    dims = list(named.values())
+    numeric, discrete = [named[c] for c in numeric], [named[c] for c in discrete]
     refuse = F.raise_error(F.lit("NULL coordinate in a neighbour search")).cast("double")
-    doubles = [F.coalesce(F.col(d).cast("double"), refuse).alias(d) for d in dims]
+    doubles = [F.coalesce(F.col(c).cast("double"), refuse).alias(x) for c, x in named.items()]
     copies = Window.partitionBy(*dims).orderBy("nid")
     points = (points.select(F.col(point_id).cast("long").alias("nid"), F.col(label).cast("int").alias("label"),
                             *doubles)
@@ -190,8 +193,8 @@ def nearest_neighbours(queries: DataFrame, points: DataFrame, numeric: list[str]
     near = _near_tiles(home.withColumnRenamed("tile", "home").join(bound, "qid"), tree, dims)
     rest = _search(materialise(near, "near"), tiled, dims, k)
     best = _top(first.unionByName(rest), k)
-    named = queries.join(best, "qid").select(*dims, "nid", "d2", "label", "place")
-    return asked.join(named, dims).select(query_id, "nid", "d2", "label", "place")
+    answers = queries.join(best, "qid").select(*dims, "nid", "d2", "label", "place")
+    return asked.join(answers, dims).select(query_id, "nid", "d2", "label", "place")
 
 
 def majority_label(neighbours: DataFrame, query_id: str, out: str) -> DataFrame:
