@@ -214,7 +214,7 @@ def _from_optimum(family_name: str, design: Design, best: Optimum, features: lis
     except np.linalg.LinAlgError:
         variance = np.full(len(params), math.nan)
     coefs = [_coefficient(part, t, b, v) for (part, t), b, v in zip(labels, params, variance)]
-    return Model(family_name, coefs, best.loglik, len(params), n, best.steps, best.converged,
+    return Model(family_name, coefs, float(best.loglik), len(params), n, best.steps, best.converged,
                  [f for f in design.features if f not in features])
 
 
