@@ -370,7 +370,8 @@ _NG = ",".join((_gini_sql("f", "y", "p", "gp"), _gini_sql("f", "y", "y", "gy")))
 
 
 def scored(spark, d):
-    return pseudo(policies(spark, d)).select(fixed.ID, F.col(fixed.TARGET).alias("y"), F.col("pred").alias("p"))
+    return materialise(pseudo(policies(spark, d)).select(
+        fixed.ID, F.col(fixed.TARGET).alias("y"), F.col("pred").alias("p")), "scored")
 
 
 @query("e01_rmse", ALL + f", {_BASE} SELECT round(sqrt(avg((y - p) * (y - p))), 6) AS rmse FROM f")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zerotally import fixed
+from zerotally.workspace import together
 
 _SPEC_SCHEMA = ("pos int, feature string, kind string, source string, level string, "
                 "mean double, sd double")
@@ -106,12 +107,14 @@ def fit_encoder(df: DataFrame, nominal: list[str], numeric: list[str], drop_firs
     skip = {fixed.ID, *(exclude or [])}
     whole = {n for n, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint")}
     found: dict[str, list[str]] = {c: [] for c in nominal}
-    rows = training_levels(df, nominal).limit(MAX_LEVELS + 1).collect() if nominal else []
+    rows, scales = together(
+        df.sparkSession,
+        lambda: training_levels(df, nominal).limit(MAX_LEVELS + 1).collect() if nominal else [],
+        lambda: scaling(df, numeric))
     if len(rows) > MAX_LEVELS:
         raise ValueError(f"more than {MAX_LEVELS} levels to encode")
     for r in rows:
         found[r["Variable"]].append(r["Level"])
-    scales = scaling(df, numeric)
     features = []
     for c in df.columns:
         if c in skip or c in nominal:

@@ -18,6 +18,7 @@ from zerotally.operators.newton import (Design, Optimum, histogram, independent_
 from zerotally.workspace import materialise, together
 
 CONST, ALPHA = "const", "alpha"
+GLM_STEPS = 100
 _COEF_SCHEMA = "pos int, part string, term string, coef double, se double, z double, p double"
 _STAT_SCHEMA = ("family string, loglik double, k int, aic double, n double, steps int, "
                 "converged boolean, dropped array<string>")
@@ -133,7 +134,7 @@ def _run_glm(design: Design, family: str, keep: list[str], intercept: bool) -> t
     rows = _glm_rows(design, family, keep).persist()
     fitted = GeneralizedLinearRegression(
         family=name, link=link, featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="_mean",
-        fitIntercept=intercept, maxIter=100, tol=1e-8).fit(rows)
+        fitIntercept=intercept, maxIter=GLM_STEPS, tol=1e-8).fit(rows)
     summary = fitted.summary
     errors, values, terms = list(summary.coefficientStandardErrors), list(fitted.coefficients), list(keep)
     if intercept:
@@ -160,7 +161,7 @@ def _fit_glm(design: Design, family: str, keep: list[str], counts: dict[int, flo
         coefs, steps = _intercept_only(family, counts), 0
     else:
         raise ValueError("no coefficient is left to fit")
-    model = Model(family, coefs, math.nan, len(coefs), sum(counts.values()), steps, True,
+    model = Model(family, coefs, math.nan, len(coefs), sum(counts.values()), steps, steps < GLM_STEPS,
                   [f for f in design.features if f not in keep])
     return replace(model, loglik=log_likelihood(model, design, counts))
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zerotally.workspace import materialise
+from zerotally.workspace import materialise, together
 
 FANOUT = 32          # children per tile and split, a power of two
 TILE_ROWS = 20_000   # a tile above this is split further
@@ -178,8 +178,9 @@ def nearest_neighbours(queries: DataFrame, points: DataFrame, numeric: list[str]
     points = (points.select(F.col(point_id).cast("long").alias("nid"), F.col(label).cast("int").alias("label"),
                             *doubles)
               .withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k).drop("_copy"))
-    points = materialise(points, "points")
-    asked = materialise(queries.select(F.col(query_id).alias(query_id), *doubles), "queries")
+    asked = queries.select(F.col(query_id).alias(query_id), *doubles)
+    points, asked = together(points.sparkSession, lambda: materialise(points, "points"),
+                             lambda: materialise(asked, "queries"))
     queries = asked.groupBy(*dims).agg(F.min(query_id).cast("long").alias("qid"))
 
     tiled, depth = _split_tiles(_tile_by_discrete(points, discrete), numeric, tile_rows)
@@ -191,7 +192,7 @@ def nearest_neighbours(queries: DataFrame, points: DataFrame, numeric: list[str]
     bound = first.groupBy("qid").agg(
         F.when(F.count(F.lit(1)) >= k, F.max("d2")).otherwise(F.lit(float("inf"))).alias("r2"))
     near = _near_tiles(home.withColumnRenamed("tile", "home").join(bound, "qid"), tree, dims)
-    rest = _search(materialise(near, "near"), tiled, dims, k)
+    rest = _search(near, tiled, dims, k)
     best = _top(first.unionByName(rest), k)
     answers = queries.join(best, "qid").select(*dims, "nid", "d2", "label", "place")
     return asked.join(answers, dims).select(query_id, "nid", "d2", "label", "place")

@@ -19,6 +19,7 @@ from zerotally.workspace import materialise
 
 MAX_STEPS = 100
 MAX_HALVINGS = 30
+MAX_COUNTS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,10 @@ def pack(*parts) -> np.ndarray:
 def histogram(design: Design) -> dict[int, float]:
     """Weighted number of rows per distinct y."""
     weight = F.sum(design.weight) if design.weight else F.count(F.lit(1))
-    rows = design.rows.groupBy(design.y).agg(weight.cast("double").alias("w")).collect()
+    counted = design.rows.groupBy(design.y).agg(weight.cast("double").alias("w"))
+    rows = counted.limit(MAX_COUNTS + 1).collect()
+    if len(rows) > MAX_COUNTS:
+        raise ValueError(f"more than {MAX_COUNTS} distinct target values: not a count")
     return {int(r[design.y]): r["w"] for r in rows}
 
 
