@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from checks import sql
 from checks.registry import query, r, rounded
-from checks.relational import ALL, PSEUDO, SEGS, pseudo, raw_filled
+from checks.relational import ALL, PSEUDO, SEGS, pseudo
 from zerotally import fixed
 from zerotally.operators import imputation, metrics, models
 from zerotally.operators.encoder import Encoder, fit_encoder, scaling, training_levels

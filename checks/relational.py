@@ -51,8 +51,7 @@ CSV_SQL = ALL + """SELECT * REPLACE (
 
 def _written_csv(spark, d):
     """The policy table as CSV, some values replaced by different NULL tokens."""
-    texts = policies(spark, d).select("*")
-    marked = texts.withColumns({
+    marked = policies(spark, d).withColumns({
         "household_policy_counts": F.when(F.col("household_policy_counts") == 1, "#N/A").otherwise(
             F.col("household_policy_counts").cast("string")),
         "newest_veh_age": F.when(F.col("newest_veh_age") == -20, "nan").otherwise(

@@ -63,13 +63,14 @@ def test_split_holds_out_the_lowest_keys(spark, n):
     assert {r["id"] for r in got} == want
 
 
-def test_split_narrows_a_large_bucket(spark):
-    # 3-digit-like load: more than 10,000 ids fall into one prefix only when many ids exist,
-    # so the bound is lowered through the data: a tiny fraction of many rows
-    n = 30_000
-    cutoff = ranking.holdout_cutoff(spark.range(n), 0.5, 7)
+def test_split_narrows_large_buckets_step_by_step(spark, monkeypatch):
+    # one digit per step and tiny buckets, so that several narrowing steps are needed
+    monkeypatch.setattr(ranking, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(ranking, "SMALL_BUCKET", 3)
+    n = 3000
     keys = sorted(hashlib.md5(f"{i}:7".encode()).hexdigest() for i in range(n))
-    assert cutoff == keys[n // 2 - 1]
+    for frac in (0.0004, 0.2, 0.5, 1.0):
+        assert ranking.holdout_cutoff(spark.range(n), frac, 7) == keys[math.ceil(frac * n) - 1]
     assert ranking.holdout_cutoff(spark.range(0), 0.5, 7) == ""
 
 

@@ -17,6 +17,8 @@ from zerotally import fixed
 from zerotally.workspace import materialise
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
+PREFIX_DIGITS = 4  # hash digits counted per step of the split, 16 ** 4 counts at most
+SMALL_BUCKET = 10_000  # keys ordered directly once the cut lies in a bucket this small
 
 
 def range_sorted(df: DataFrame, *order: Column) -> DataFrame:
@@ -100,7 +102,7 @@ def holdout_cutoff(df: DataFrame, frac: float = fixed.HOLDOUT, seed: int = fixed
     keyed = df.select(split_key(seed, id_col).alias("k"))
     prefix, need, bucket = "", None, None
     while True:
-        width = len(prefix) + 4
+        width = len(prefix) + PREFIX_DIGITS
         counts = (keyed.where(F.col("k").startswith(prefix))
                   .groupBy(F.substring("k", 1, width).alias("p")).count().collect())
         if need is None:
@@ -112,7 +114,7 @@ def holdout_cutoff(df: DataFrame, frac: float = fixed.HOLDOUT, seed: int = fixed
                 prefix, bucket = row["p"], row["count"]
                 break
             need -= row["count"]
-        if bucket <= 10_000:
+        if bucket <= SMALL_BUCKET or width >= 32:
             break
     ordered = keyed.where(F.col("k").startswith(prefix)).orderBy("k").limit(need)
     return ordered.agg(F.max("k")).first()[0]

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from zerotally import fixed
 from zerotally.functions import scalars as S
 
-STAGES = ("baseline", "binary", "count")
-
 
 def _shared(seg: str) -> dict[str, Column]:
     """Columns every stage treats alike."""

@@ -92,8 +92,7 @@ def fit_all(prepared: list[Prepared], final: bool = False, nominal: list[str] |
 
 def level_predictions(data: Prepared, model: Hurdle, pred: str) -> DataFrame:
     """Levels, target, sample and one prediction per row."""
-    kept = [c for c in data.rows.columns]
-    scored = model.score(data.rows, kept).withColumn("pred", F.col(pred))
+    scored = model.score(data.rows, data.rows.columns).withColumn("pred", F.col(pred))
     return level_view(scored, data.name, [fixed.TARGET, "Sample", "pred"])
 
 
