@@ -33,7 +33,7 @@ GROUP = "acq_method"
 
 
 def split_segment(spark, d, seg):
-    return materialise(with_sample(materialise(segment(policies(spark, d), seg))))
+    return with_sample(materialise(segment(policies(spark, d), seg), "segment"))
 
 
 # -- encoders ---------------------------------------------------------------------------------

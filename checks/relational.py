@@ -326,7 +326,7 @@ for _seg in SEGS:
     g AS (SELECT "Variable", "ValVar", "Sample", SUM(pred) AS "PredCnt", {_LEVEL_SUMS} FROM l GROUP BY 1, 2, 3)
     SELECT * REPLACE (round("PredCnt", 6) AS "PredCnt"), {_LEVEL_RATES.format(rate='"ActualRate"')}, round("PredCnt" / "TotalCnt", 8) AS "PredRate" FROM g""")
     def _(spark, d, seg=_seg):
-        rows = ranking.with_sample(raw_filled(spark, d, seg))
+        rows = ranking.with_sample(materialise(raw_filled(spark, d, seg), "segment"))
         rows = pseudo(rows).withColumn("pred", F.col("pred") / 100)
         table = levels.rate_calibration(level_view(rows, seg, [fixed.TARGET, "Sample", "pred"]), fixed.LEVEL_VARIABLES[seg])
         return rounded(rounded(rounded(table, 6, "PredCnt"), 8, "PredRate"), 9, "ActualRate", "MeanGivenPositive")
@@ -337,7 +337,7 @@ for _seg in SEGS:
     SELECT "Variable", "ValVar", "Sample", round(AVG(pred), 9) AS "PredMean", round(AVG(call_counts), 9) AS "ActualMean", COUNT(*) AS "TotalCnt"
     FROM l GROUP BY 1, 2, 3""")
         def _(spark, d, seg=_seg, positive=bool(_where)):
-            rows = pseudo(ranking.with_sample(raw_filled(spark, d, seg)))
+            rows = pseudo(ranking.with_sample(materialise(raw_filled(spark, d, seg), "segment")))
             rows = seg_ops.positives(rows) if positive else rows
             table = levels.mean_calibration(level_view(rows, seg, [fixed.TARGET, "Sample", "pred"]), fixed.LEVEL_VARIABLES[seg])
             return rounded(table, 9, "PredMean", "ActualMean")
@@ -460,21 +460,21 @@ def r02(spark, d):
 for _seg in SEGS:
     @query(f"r03_holdout_split_{_seg}", sql.split(_seg) + 'SELECT id, "Sample" FROM sp')
     def _(spark, d, seg=_seg):
-        return ranking.with_sample(segment(policies(spark, d), seg)).select(fixed.ID, "Sample")
+        return ranking.with_sample(materialise(segment(policies(spark, d), seg).select(fixed.ID), "segment"))
 
 
 # -- unions -----------------------------------------------------------------------------------
 
 @query("u01_train_and_val", sql.split("auto") + "SELECT id, call_counts FROM sp")
 def u01(spark, d):
-    rows = ranking.with_sample(segment(policies(spark, d), "auto"))
+    rows = ranking.with_sample(materialise(segment(policies(spark, d), "auto"), "segment"))
     part = lambda s: rows.where(F.col("Sample") == s).select(fixed.ID, fixed.TARGET)
     return part("Train").unionByName(part("Val"))
 
 
 @query("u02_union_with_sample", sql.split("nonauto") + 'SELECT id, call_counts, "Sample" FROM sp')
 def u02(spark, d):
-    rows = ranking.with_sample(segment(policies(spark, d), "nonauto"))
+    rows = ranking.with_sample(materialise(segment(policies(spark, d), "nonauto"), "segment"))
     part = lambda s: rows.where(F.col("Sample") == s).select(fixed.ID, fixed.TARGET)
     return seg_ops.union_samples(part("Train"), part("Val"))
 

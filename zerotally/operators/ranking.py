@@ -122,7 +122,10 @@ def holdout_cutoff(df: DataFrame, frac: float = fixed.HOLDOUT, seed: int = fixed
 
 def with_sample(df: DataFrame, frac: float = fixed.HOLDOUT, seed: int = fixed.SEED,
                 id_col: str = fixed.ID, cutoff: str | None = None) -> DataFrame:
-    """Add `Sample` ('Train' or 'Val'): a plain comparison per row once the cutoff is known."""
+    """Add `Sample` ('Train' or 'Val'): a plain comparison per row once the cutoff is known.
+
+    Finding the cutoff scans the ids a few times, so `df` should be a table, not a long plan.
+    """
     cutoff = holdout_cutoff(df, frac, seed, id_col) if cutoff is None else cutoff
     held = split_key(seed, id_col) <= F.lit(cutoff)
     return df.withColumn("Sample", F.when(held, F.lit("Val")).otherwise(F.lit("Train")))
