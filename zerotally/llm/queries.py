@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zerotally.llm import exact_dedup, mixing, url_filter
-from zerotally.llm.frames import table
+from pyspark.sql import functions as F
+
+from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, quality, url_filter
+from zerotally.llm.frames import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,11 +27,34 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_licence_scan")
+def op1_licence_scan(spark, folder):
+    return licence_scan.scan_licences(table(spark, folder, "documents"))
+
+
 @query("op2_url_filter")
 def op2_url_filter(spark, folder):
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+@query("op4_language_id")
+def op4_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = fold_of(F.col("doc_id")) == 0
+    return language_id.identify(docs, language_id.train(docs.where(~held_out)), held_out=held_out)
+
+
+def quality_model(spark, docs, folder):
+    """Trained on labels of the learning folds."""
+    return quality.train(table(spark, folder, "labels").where(fold_of(F.col("doc_id")) != 0), docs)
+
+
+@query("op5_quality")
+def op5_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    return quality.score_quality(docs, quality_model(spark, docs, folder), held_out=fold_of(F.col("doc_id")) == 0)
+
+
 @query("op7_mix_sources")
 def op7_mix_sources(spark, folder):
     return mixing.mix(table(spark, folder, "documents"))
