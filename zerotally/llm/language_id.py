@@ -1,4 +1,8 @@
-"""Language identification by compression: the language whose dictionary makes a text smallest."""
+"""Language identification by compression: the language whose dictionary makes a text smallest.
+
+Dictionaries and texts are lower-cased first, and dictionaries take short parts of many texts, so that neither capitals
+nor a passage that one sampled text happens to hold tip the balance.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +13,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zerotally.llm.compression import build_dictionary, sampled_texts, sizers
+from zerotally.llm.compression import Sizer, build_dictionary, sampled_texts
 from zerotally.llm.frames import binary_text
 
 #: Texts of a language that may be looked at to fill its dictionary.
-TEXTS_PER_LANGUAGE = 400
+TEXTS_PER_LANGUAGE = 600
+#: Characters of one text that a dictionary may take.
+PART = 300
+DICTIONARY_BYTES = 56_000
+LEVEL = 7
 #: A choice is rejected if the second language needs less than this share more.
 MARGIN = 0.01
 UNKNOWN = "und"
@@ -21,7 +29,7 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class LanguageModel:
-    names: tuple[str, ...]
+    names: tuple[str, ...]  # most labelled rows first, then by code point
     dictionaries: tuple[bytes, ...]
     margin: float = MARGIN
 
@@ -29,15 +37,16 @@ class LanguageModel:
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = TEXTS_PER_LANGUAGE) -> LanguageModel:
     """One dictionary per language, from a bounded sample of the labelled rows."""
-    found, _ = sampled_texts(rows, id_col, text_col, F.col(lang_col), per_language)
-    return LanguageModel(tuple(found), tuple(build_dictionary(texts)[0] for texts in found.values()))
+    found, counts = sampled_texts(rows, id_col, text_col, F.col(lang_col), per_language)
+    names = tuple(sorted(found, key=lambda name: (-counts[name], name)))
+    return LanguageModel(names, tuple(build_dictionary(map(str.lower, found[n]), DICTIONARY_BYTES, PART)[0] for n in names))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
              held_out: Column | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, rejected.
 
-    lang_pred is the language with the smallest size, ties to the first name by code point. score is the share that
+    lang_pred is the language with the smallest size, ties to the one with more labelled rows. score is the share that
     the choice has if a byte more halves a language's weight. rejected marks narrow margins: the second language needs
     under `margin` more. Null text and text without any letter give `und`, 0.0 and true, as does a model without
     languages. Repeated rows are judged each; whole texts count, however long.
@@ -45,11 +54,13 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     names, dictionaries, margin = model.names, model.dictionaries, model.margin
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each = sizers(dictionaries)
+        each = [Sizer(d, LEVEL) for d in dictionaries]
         for batch in batches:
             langs, scores, rejected = [], [], []
-            for text in binary_text(batch):
-                if not each or not any(map(str.isalpha, text.decode("utf-8", "replace"))):
+            for raw in binary_text(batch):
+                plain = raw.decode("utf-8", "replace").lower()
+                text = plain.encode("utf-8", "replace")
+                if not each or not any(map(str.isalpha, plain)):
                     langs.append(UNKNOWN), scores.append(0.0), rejected.append(True)
                     continue
                 sizes = [s.size(text) for s in each]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, quality, url_filter
+from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, packing, quality, url_filter
 from zerotally.llm.frames import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,17 @@ def op7_mix_sources(spark, folder):
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op8_pack")
+def op8_pack(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), vocabulary())
+
+
 @query("op9_exact_dedup", """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
