@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, packing, quality, url_filter
+from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, near_dedup, packing, quality, url_filter
 from zerotally.llm.frames import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,27 @@ FROM d WINDOW w AS (PARTITION BY t)
 """)
 def op9_exact_dedup(spark, folder):
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
+
+
+@query("op10_near_dedup", r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+whole AS (SELECT doc_id, md5(string_agg(g, chr(10) ORDER BY g)) AS h FROM s GROUP BY doc_id),
+rep AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS r FROM whole),
+u AS (SELECT s.doc_id, s.g FROM s JOIN rep USING (doc_id) WHERE doc_id = r),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM u x JOIN u y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n m ON m.doc_id = a JOIN n k ON k.doc_id = b WHERE 100 * c >= 80 * (m.n + k.n - c)
+      UNION ALL SELECT r, doc_id FROM rep WHERE r <> doc_id),
+e2 AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, e2.b FROM reach r JOIN e2 ON e2.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, t.doc_id) AS component_id,
+       coalesce(c.component_id, t.doc_id) = t.doc_id AS kept
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+""")
+def op10_near_dedup(spark, folder):
+    return near_dedup.near_groups(table(spark, folder, "documents"), words=4, tenths=8)
