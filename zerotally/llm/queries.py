@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, near_dedup, packing, quality, url_filter
+from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, near_dedup, nearest, packing, quality, url_filter
 from zerotally.llm.frames import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ def op5_quality(spark, folder):
     return quality.score_quality(docs, quality_model(spark, docs, folder), held_out=fold_of(F.col("doc_id")) == 0)
 
 
+@query("op6_nearest")
+def op6_nearest(spark, folder):
+    return nearest.search(table(spark, folder, "embeddings"))
+
+
 @query("op7_mix_sources")
 def op7_mix_sources(spark, folder):
     return mixing.mix(table(spark, folder, "documents"))
