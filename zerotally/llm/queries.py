@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, near_dedup, nearest, packing, quality, url_filter
+from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, near_dedup, nearest, packing, quality, repeats, url_filter
 from zerotally.llm.frames import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op2_url_filter(spark, folder):
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+@query("op3_remove_repeats")
+def op3_remove_repeats(spark, folder):
+    return repeats.remove_repeats(table(spark, folder, "documents"))
+
+
 @query("op4_language_id")
 def op4_language_id(spark, folder):
     docs = table(spark, folder, "documents")
