@@ -97,3 +97,17 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
     held = held_out if held_out is not None else F.lit(False)
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out"))
             .mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, difference double"))
+
+
+def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose text scores at least `threshold`; null counts as empty."""
+    kinds, curve = [model.good, model.bad], model.curve
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good, bad = sizers(kinds)
+        for batch in batches:
+            x = np.array([features(good, bad, text) for text in binary_text(batch, text_col)], float).reshape(-1, 2)
+            score = 1 / (1 + np.exp(-np.clip(curve[0] + x @ np.array(curve[1:]), -700, 700)))
+            yield batch.filter(pa.array(score >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
