@@ -200,8 +200,9 @@ def m08(spark, d):
     target = rows.select(*features, F.when(F.col(fixed.TARGET) > 0, 1).otherwise(0).alias("y"))
     design = make_design(target, features, "y")
     model = models.fit_logit_unscaled(design)
-    scored = design.rows.withColumn("pred", model.predict())
-    weighted = lambda c: F.avg(F.col("pred") * F.col(c)) / F.avg(c)
+    column = design.expressions()
+    scored = design.rows.withColumn("pred", model.predict(column))
+    weighted = lambda c: F.avg(F.col("pred") * column[c]) / F.avg(column[c])
     return scored.agg(F.count(F.lit(1)).alias("n"), r(F.avg("pred")).alias("mean_pred"),
                       r(weighted("ann_prm_amt")).alias("premium_weighted"),
                       r(weighted("tenure_at_snapshot")).alias("tenure_weighted"))
@@ -309,14 +310,14 @@ def _gini_sql(source, y, p, out):
 
 @query("m17_baseline_comparison", sql.split("auto") + _TRAIN_MEANS + """, f AS (SELECT * FROM sp JOIN t USING (acq_method)),
     """ + ",\n".join(_gini_sql(f"f WHERE \"Sample\" = '{s}'", "call_counts", "mean" if k == "p" else "call_counts", f"{s}_{k}") for s in ("Train", "Val") for k in "py") + """
-    SELECT m || ' ' || lower(s) AS label, round(rmse, 4) AS rmse, round(gini, 4) AS normalized_gini FROM (SELECT 'Train' AS s, (SELECT g FROM Train_p) / (SELECT g FROM Train_y) AS gini
+    SELECT m || ' ' || lower(s) AS label, round(rmse, 4) AS rmse, round(gini, 4) AS normalized_gini, true AS converged FROM (SELECT 'Train' AS s, (SELECT g FROM Train_p) / (SELECT g FROM Train_y) AS gini
     UNION ALL SELECT 'Val', (SELECT g FROM Val_p) / (SELECT g FROM Val_y))
     JOIN (SELECT "Sample" AS s, sqrt(avg((call_counts - mean) * (call_counts - mean))) AS rmse FROM f GROUP BY 1) USING (s)
     CROSS JOIN (SELECT unnest(['Poisson', 'ZIP', 'ZINB']) AS m)""")
 def m17(spark, d):
     data = prepare(policies(spark, d), "auto")
     encoded, fitted = H.baseline_models(data, nominal=[GROUP])
-    table = H.baseline_comparison(encoded, fitted).drop("aic")
+    table = H.baseline_comparison(encoded, fitted).drop("aic", "steps")
     return rounded(table, 4, "rmse", "normalized_gini")
 
 

@@ -35,7 +35,8 @@ def pseudo(df):
 
 PSEUDO = 'least("12m_call_history", 40) * 1.5::DOUBLE + 1'
 ALL = sql.with_()
-_BOTH = ALL + """, m AS (SELECT CASE WHEN bi_limit_group <> 'NonAuto' THEN 'Auto' ELSE 'NonAuto' END AS segment, * FROM policies)
+_BOTH = ALL + """, m AS (SELECT CASE WHEN bi_limit_group <> 'NonAuto' THEN 'Auto' ELSE 'NonAuto' END AS segment, * FROM policies
+    WHERE (bi_limit_group <> 'NonAuto' AND telematics_ind <> -2) OR (bi_limit_group = 'NonAuto' AND telematics_ind = -2))
 """
 
 
@@ -241,9 +242,7 @@ def p15(spark, d):
 
 def both_segments(spark, d):
     """All columns of both segments with a segment label; filled flag as it stands."""
-    label = F.when(F.col("bi_limit_group") != fixed.NOT_AUTO, "Auto").otherwise("NonAuto")
-    return (policies(spark, d).withColumn("segment", label)
-            .withColumnRenamed(fixed.IMPUTED, fixed.FILLED))
+    return seg_ops.both_segments(policies(spark, d)).withColumnRenamed(fixed.IMPUTED, fixed.FILLED)
 
 
 _VIEWS = [("p17", "baseline", "auto"), ("p18", "baseline", "nonauto"), ("p19", "binary", "auto"),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zerotally.operators import models
-from zerotally.operators.newton import histogram, independent_features, make_design, maximise
+from zerotally.operators.newton import BadInput, NotConverged, independent_features, make_design, maximise
 from zerotally.operators.selection import fit_logits, stepwise_logit
 
 BETA, GAMMA, ALPHA, N = (0.9, 0.4, -0.5), (-0.3, 0.6, 0.2), 0.7, 20_000
@@ -49,7 +49,7 @@ def test_poisson_and_logit(sim):
 def test_glm_and_newton_agree(sim, family, y, fit):
     design = _design(sim, y)
     glm = fit(design)
-    best = maximise(design, family, np.zeros(3), histogram(design))
+    best = maximise(design, family, np.zeros(3))
     assert best.converged
     assert np.allclose([c.coef for c in glm.coefficients], best.params, atol=1e-8)
     assert math.isclose(glm.loglik, best.loglik, rel_tol=1e-10)
@@ -153,3 +153,79 @@ def test_stepwise_finds_the_planted_features(sim):
     assert all(math.isnan(p) for p in fit_logits(doubled, [["x1", "copy"]])[0].values())
     with pytest.raises(ValueError):
         stepwise_logit(design, enter=0.1, leave=0.05)
+
+
+@pytest.mark.parametrize("name,expr,fits,says", [
+    ("x1", "if(n = 3, null, x1)", ["poisson", "nb", "zip", "logit"], "x1: 1 rows NULL"),
+    ("x1", "if(n = 3, double('nan'), x1)", ["poisson", "logit"], "x1: 1 rows NULL"),
+    ("x2", "if(n < 2, double('inf'), x2)", ["nb"], "x2: 2 rows NULL"),
+    ("y", "if(n = 3, null, y)", ["poisson", "zinb", "logit"], "y: 1 rows NULL"),
+    ("y", "y + if(n = 3, 0.5, 0)", ["poisson", "nb", "zip", "zinb", "logit"], "y: "),
+    ("y", "if(n = 3, -1, y)", ["poisson", "nb", "logit"], "y: "),
+    ("y", "y", ["ztnb"], "truncation rules out"),
+    ("y", "if(n = 3, 2, y)", ["logit"], "other than 0 and 1"),
+])
+def test_rows_that_cannot_be_fitted_are_named(spark, name, expr, fits, says):
+    rows = spark.range(60).selectExpr("id as n", "cast(id % 7 as double) as x1", "cast(id % 2 as double) as x2", "cast(id % 3 = 0 as double) as y")
+    for fit in fits:
+        with pytest.raises(BadInput, match=says):
+            getattr(models, f"fit_{fit}")(make_design(rows.withColumn(name, F.expr(expr)), ["x1", "x2"], "y"))
+
+
+def test_a_fit_without_an_optimum_is_an_error_unless_allowed(spark):
+    rows = spark.range(80).selectExpr("cast(id % 2 as double) as half", "cast(id % 5 = 0 as double) as level",
+                                      "if(id % 5 = 0, 1, cast(id % 3 = 0 as int)) as hit", "if(id % 5 = 0, 0, cast(id % 4 as int)) as calls")
+    logit, poisson = make_design(rows, ["half", "level"], "hit"), make_design(rows, ["half", "level"], "calls")
+    for fit, design in ((models.fit_logit, logit), (models.fit_poisson, poisson), (models.fit_nb, poisson)):
+        with pytest.raises(NotConverged, match="level") as error:
+            fit(design)
+        assert error.value.model.separated == ["level"]
+        kept = fit(design, allow_unconverged=True)
+        assert not kept.converged and kept.separated == ["level"]
+    with pytest.raises(NotConverged, match="every target is 0"):
+        models.fit_logit(make_design(rows.withColumn("hit", F.lit(0)), ["half"], "hit"))
+
+
+def test_feature_names_with_dots_and_blanks(spark, sim):
+    names = ["g_d.1", "a b", "x.y.z"]
+    rows = sim.select(F.col("x1").alias(names[0]), F.col("x2").alias(names[1]), F.rand(2).alias(names[2]), "nb", "hit")
+    plain = models.fit_logit(_design(sim, "hit"))
+    for design in (make_design(rows, names, "hit"), make_design(rows, names, "hit").narrowed(names[:2])):
+        model = models.fit_logit(design)
+        assert [c.term for c in model.coefficients] == ["const", *design.features]
+        mean = rows.select(model.predict().alias("p"), "hit").agg(F.avg("p").alias("p"), F.avg("hit").alias("h")).first()
+        assert math.isclose(mean["p"], mean["h"], rel_tol=1e-6)
+    assert np.allclose([c.coef for c in model.coefficients], [c.coef for c in plain.coefficients], atol=1e-8)
+    assert models.fit_nb(make_design(rows, names, "nb")).converged
+
+
+def test_many_distinct_and_large_counts_need_no_histogram(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=3000)
+    y = rng.poisson(np.exp(13 + 0.3 * x))
+    rows = spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, y)], "x double, y int")
+    model = models.fit_poisson(make_design(rows, ["x"], "y"))
+    assert np.allclose([c.coef for c in model.coefficients], [13, 0.3], atol=1e-3)
+
+
+def test_one_scan_serves_all_fits_of_a_design(spark, sim):
+    design = _design(sim, "zip")
+    models.fit_poisson(design)
+    seen = design.found["survey"]
+    models.fit_zip(design)
+    assert design.found["survey"] is seen
+    sub = design.narrowed(["x2"])
+    alone = make_design(sim, ["x2"], "zip")
+    from zerotally.operators.newton import survey
+    a, b = survey(sub), survey(alone)
+    assert np.allclose(a.gram, b.gram) and np.allclose(a.with_y, b.with_y) and np.allclose(a.at_zero, b.at_zero)
+
+
+def test_bounds_hold_in_fit_and_prediction_alike(spark):
+    model = models.Model("poisson", [models.Coefficient("count", "const", 0.0, 1, 0, 1), models.Coefficient("count", "x", 1.0, 1, 0, 1)],
+                         0.0, 2, 1, 0, True, [])
+    rows = spark.createDataFrame([(50.0, 3), (-50.0, 0)], "x double, y int")
+    got = [r["p"] for r in rows.select(model.predict().alias("p")).collect()]
+    assert np.allclose(got, [math.exp(30), math.exp(-30)])
+    value = models.log_likelihood(model, make_design(rows, ["x"], "y"))
+    assert math.isclose(value, 3 * 30 - math.exp(30) - math.log(6) - math.exp(-30), rel_tol=1e-12)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zerotally import fixed
+from zerotally.operators.newton import NotConverged
 from zerotally.plans import hurdle as H
 from zerotally.plans.prepare import encode_stage, prepare_all
 from zerotally.sources.policies import policies
@@ -27,7 +28,28 @@ def prepared(table):
 
 @pytest.fixture(scope="module")
 def fitted(prepared):
-    return H.fit_all(prepared)
+    return H.fit_all(prepared, allow_unconverged=True)
+
+
+def test_a_stage_without_an_optimum_stops_the_plan(prepared, fitted):
+    short = {data.name: model for data, model in fitted if not model.binary.converged}
+    assert list(short) == ["auto"]  # too few rows at this size: the fit runs off
+    with pytest.raises(NotConverged):
+        H.fit_hurdle(prepared[0])
+    report = {r["segment"]: r["converged"] for r in H.validation_report(fitted).collect()}
+    assert report == {"auto": False, "nonauto": True, "pooled": False}
+
+
+def test_stage_reports_agree_with_plain_sums(fitted):
+    got = {(r["segment"], r["Sample"]): r for r in H.stage_reports(fitted).collect()}
+    data, model = fitted[1]
+    rows = [r for r in model.score(data.rows, ["id", fixed.TARGET, "Sample"]).collect() if r["Sample"] == "Val"]
+    loss = [-math.log(r["p_positive"] if r[fixed.TARGET] > 0 else 1 - r["p_positive"]) for r in rows]
+    pos = [r for r in rows if r[fixed.TARGET] > 0]
+    r = got["nonauto", "Val"]
+    assert math.isclose(r["log_loss"], sum(loss) / len(loss), rel_tol=1e-9)
+    assert math.isclose(r["rmse"], math.sqrt(sum((p["mean_positive"] - p[fixed.TARGET]) ** 2 for p in pos) / len(pos)), rel_tol=1e-9)
+    assert r["aic"] is None and got["nonauto", "Train"]["aic"] == model.count.aic and 0 < r["auc"] < 1
 
 
 def test_no_sentinel_is_left_and_no_row_is_lost(table, prepared):

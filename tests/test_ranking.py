@@ -105,3 +105,10 @@ def test_histogram_of_a_constant(spark):
     want, edges = np.histogram([5.0] * 3, bins=4)
     assert [r["n"] for r in bars] == list(want)
     assert [r["left_edge"] for r in bars] == list(edges[:-1])
+
+
+def test_prediction_summary_leaves_nulls_out_of_the_mean(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (2, "a", None), (2, "a", 4.0), (3, "b", None)], "id int, g string, p double")
+    got = {r["g"]: r for r in profiles.prediction_summary(df, ["g"], "p").collect()}
+    assert (got["a"]["n"], got["a"]["ids"], got["a"]["mean_pred"]) == (3, 2, 3.0)
+    assert (got["b"]["n"], got["b"]["mean_pred"]) == (1, None)

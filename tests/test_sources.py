@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zerotally import fixed
-from zerotally.operators.segments import positives, segment, segment_counts, union_samples
+from zerotally.operators.segments import both_segments, positives, segment, segment_counts, union_samples
 from zerotally.sources import csv_files, tables
 from zerotally.workspace import shared_dir
 
@@ -82,3 +82,9 @@ def test_tables_replace_load_list_and_drop(spark):
 
 def test_scratch_space_follows_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_contradictory_markers_are_in_no_segment(spark):
+    rows = [(1, "Grp1", 0), (2, "NonAuto", -2), (3, "Grp1", -2), (4, "NonAuto", 1), (5, None, 0), (6, "Grp2", None)]
+    df = spark.createDataFrame(rows, "id int, bi_limit_group string, telematics_ind int")
+    assert {(r["id"], r["segment"]) for r in both_segments(df).collect()} == {(1, "Auto"), (2, "NonAuto")}

@@ -27,7 +27,7 @@ class Feature:
 
     def column(self, prefix: str = "") -> Column:
         """The output value; `prefix` names the struct that holds the source, as in 'b.'."""
-        c = F.col(prefix + self.source)
+        c = F.col(f"{prefix}`{self.source}`")
         if self.kind == "dummy":
             # NULL and levels unseen at fit give 0
             return F.when(c.cast("string") == self.level, 1).otherwise(0).cast("tinyint")

@@ -2,8 +2,7 @@
 
 Every model is written in two linear predictors: eta for the count mean, zeta for the extra
 zeros (or, for the logit, alone). The probability of a zero count is exp(-s), so truncation
-and inflation need only s and its derivatives. Terms in y alone are left to `count_terms`,
-which works from a histogram of y and needs no gamma function per row.
+and inflation need only s and its derivatives. Terms in y alone are left to `count_terms`.
 """
 
 from __future__ import annotations
@@ -13,8 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-# linear predictors beyond this would overflow exp()
-_CLIP = 30.0
+# linear predictors are held within this in fits, likelihoods and predictions alike; beyond it they are constant
+CLIP = 30.0
 
 
 @dataclass(frozen=True)
@@ -60,13 +59,15 @@ def row_terms(family: Family, y: np.ndarray, zeta: np.ndarray | None, eta: np.nd
     """Log likelihood per row and its derivatives by name ('z', 'e', 't' and pairs)."""
     out: dict[str, np.ndarray] = {}
     if family.zeta:
-        zeta = np.clip(zeta, -_CLIP, _CLIP)
+        free_z = np.abs(zeta) < CLIP
+        zeta = np.clip(zeta, -CLIP, CLIP)
         pi = 1 / (1 + np.exp(-zeta))
         soft = np.logaddexp(0, zeta)
     if not family.eta:
-        return y * zeta - soft, {"z": y - pi, "zz": -pi * (1 - pi)}
+        return y * zeta - soft, {"z": free_z * (y - pi), "zz": -(free_z * pi * (1 - pi))}
 
-    eta = np.clip(eta, -_CLIP, _CLIP)
+    free_e = np.abs(eta) < CLIP
+    eta = np.clip(eta, -CLIP, CLIP)
     mu = np.exp(eta)
     alpha = math.exp(theta) if family.dispersed else 0.0
     if family.dispersed:
@@ -105,30 +106,31 @@ def row_terms(family: Family, y: np.ndarray, zeta: np.ndarray | None, eta: np.nd
         out["et"] = u_et + l_ss * s_e * s_t + l_s * s_et
         if family.zeta:
             out["zt"] = l_zs * s_t
+    for key in out:
+        if "z" in key:
+            out[key] = out[key] * free_z
+        if "e" in key:
+            out[key] = out[key] * free_e
     return ll, out
 
 
-def count_terms(histogram: dict[int, float], theta: float | None) -> tuple[float, float, float]:
-    """Value and theta-derivatives of the terms in y alone: sum_{j<y} log(1 + alpha j) - log y!.
+#: Values of j that are held at once when sums over j < y are taken.
+_BLOCK = 1 << 20
 
-    `histogram` maps y to its (weighted) number of rows.
+
+def count_terms(y: np.ndarray, weight: np.ndarray, theta: float | None) -> tuple[float, float, float]:
+    """Value and theta-derivatives of the weighted terms in y alone: sum_{j<y} log(1 + alpha j) - log y!.
+
+    y holds whole numbers from 0 on. Rows with y > j are counted for every j, so no gamma function is needed.
     """
-    values = np.array(sorted(v for v in histogram if v > 0), dtype=float)
-    if not len(values):
-        return 0.0, 0.0, 0.0
-    weight = np.array([histogram[int(v)] for v in values], dtype=float)
-    constant = -math.fsum(w * math.lgamma(v + 1) for v, w in zip(values, weight))
-    if theta is None:
-        return constant, 0.0, 0.0
-    alpha = math.exp(theta)
-    above = np.cumsum(weight[::-1])[::-1]      # rows with y at least each value
-    total = [constant, 0.0, 0.0]
-    start = 0
-    for stop, rows in zip(values.astype(int), above):
-        # j in [start, stop) is below exactly the rows with y >= stop
-        j = alpha * np.arange(start, stop)
-        total[0] += rows * np.log1p(j).sum()
-        total[1] += rows * (j / (1 + j)).sum()
-        total[2] += rows * (j / (1 + j) ** 2).sum()
-        start = stop
-    return total[0], total[1], total[2]
+    values, place = np.unique(y, return_inverse=True)
+    above = np.append(np.cumsum(np.bincount(place, weight, len(values))[::-1])[::-1], 0.0)
+    total = np.zeros(3)
+    for low in range(0, int(values[-1]) if len(values) else 0, _BLOCK):
+        j = np.arange(low, min(low + _BLOCK, int(values[-1])), dtype=float)
+        rows = above[np.searchsorted(values, j, side="right")]
+        total[0] -= rows @ np.log(j + 1)
+        if theta is not None:
+            z = math.exp(theta) * j
+            total += rows @ np.log1p(z), rows @ (z / (1 + z)), rows @ (z / (1 + z) ** 2)
+    return tuple(total.tolist())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import numpy as np
@@ -13,15 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zerotally.functions.scalars import sigmoid
-from zerotally.operators.likelihood import FAMILIES, count_terms
-from zerotally.operators.newton import (Design, Optimum, histogram, independent_features, maximise)
+from zerotally.operators.likelihood import CLIP, FAMILIES
+from zerotally.operators.newton import (WEIGHT, Y, Design, NotConverged, Optimum, Survey, checked, evaluate,
+                                        independent_features, maximise, newton_step, separated_features)
 from zerotally.workspace import materialise, together
 
 CONST, ALPHA = "const", "alpha"
 GLM_STEPS = 100
 _COEF_SCHEMA = "pos int, part string, term string, coef double, se double, z double, p double"
 _STAT_SCHEMA = ("family string, loglik double, k int, aic double, n double, steps int, "
-                "converged boolean, dropped array<string>")
+                "converged boolean, dropped array<string>, separated array<string>")
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,8 @@ class Model:
     n: float
     steps: int
     converged: bool
-    dropped: list[str]
+    dropped: list[str]                                     # collinear with the constant and features before them
+    separated: list[str] = field(default_factory=list)     # without a finite optimum
 
     @property
     def aic(self) -> float:
@@ -61,7 +63,8 @@ class Model:
         return spark.createDataFrame(rows, _COEF_SCHEMA)
 
     def statistics_frame(self, spark: SparkSession) -> DataFrame:
-        row = (self.family, self.loglik, self.k, self.aic, self.n, self.steps, self.converged, self.dropped)
+        row = (self.family, self.loglik, self.k, self.aic, self.n, self.steps, self.converged, self.dropped,
+               self.separated)
         return spark.createDataFrame([row], _STAT_SCHEMA)
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -73,16 +76,17 @@ class Model:
         rows = sorted(spark.read.parquet(f"{path}/coefficients").collect(), key=lambda r: r["pos"])
         s = spark.read.parquet(f"{path}/statistics").first()
         return Model(s["family"], [Coefficient(*r[1:]) for r in rows], s["loglik"], s["k"], s["n"],
-                     s["steps"], s["converged"], list(s["dropped"]))
+                     s["steps"], s["converged"], list(s["dropped"]), list(s["separated"]))
 
     # -- prediction as plain column arithmetic --------------------------------------------
 
     def linear(self, part: str, columns: dict[str, Column] | None = None) -> Column:
-        """Intercept plus coefficient times column; `columns` overrides names by expressions."""
+        """Intercept plus coefficient times column, held within the bounds that hold in the fit; `columns` overrides
+        names by expressions."""
         columns = columns or {}
         terms = [F.lit(b) if t == CONST else F.lit(b) * columns.get(t, F.col(f"`{t}`"))
                  for t, b in self.part(part).items()]
-        return reduce(lambda a, b: a + b, terms)
+        return F.greatest(F.least(reduce(lambda a, b: a + b, terms), F.lit(CLIP)), F.lit(-CLIP))
 
     def predict(self, columns: dict[str, Column] | None = None) -> Column:
         """Expected value: exp(eta), the probability, the truncated mean or (1 - pi) mu."""
@@ -114,91 +118,100 @@ _GLM = {"poisson": ("poisson", "log"), "logit": ("binomial", "logit")}
 
 
 def _glm_rows(design: Design, family: str, keep: list[str]) -> DataFrame:
-    """Feature vector `_x`, target `_y` and weight `_w`.
+    """Feature vector `_x`, target `_t` and weight `_w`.
 
     Weighted 0/1 rows become one proportion per feature combination: with heavy weights on
     single outcomes the solver would start next to 0 and 1.
     """
-    if design.weight and family == "logit":
-        w = F.col(design.weight)
-        rows = design.rows.groupBy(*keep).agg(
-            (F.sum(w * F.col(design.y)) / F.sum(w)).alias("_y"), F.sum(w).alias("_w"))
+    names = [design.columns[f] for f in keep]
+    if design.weighted and family == "logit":
+        w = F.col(WEIGHT)
+        rows = design.rows.groupBy(*names).agg((F.sum(w * F.col(Y)) / F.sum(w)).alias("_t"), F.sum(w).alias("_w"))
     else:
-        w = F.col(design.weight) if design.weight else F.lit(1.0)
-        rows = design.rows.select(*keep, F.col(design.y).cast("double").alias("_y"), w.alias("_w"))
-    return VectorAssembler(inputCols=keep, outputCol="_x").transform(rows).select("_x", "_y", "_w")
+        w = F.col(WEIGHT) if design.weighted else F.lit(1.0)
+        rows = design.rows.select(*names, F.col(Y).alias("_t"), w.alias("_w"))
+    return VectorAssembler(inputCols=names, outputCol="_x").transform(rows).select("_x", "_t", "_w")
 
 
 def _run_glm(design: Design, family: str, keep: list[str], intercept: bool) -> tuple[list[Coefficient], int]:
     name, link = _GLM[family]
     rows = _glm_rows(design, family, keep).persist()
-    fitted = GeneralizedLinearRegression(
-        family=name, link=link, featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="_mean",
-        fitIntercept=intercept, maxIter=GLM_STEPS, tol=1e-8).fit(rows)
-    summary = fitted.summary
-    errors, values, terms = list(summary.coefficientStandardErrors), list(fitted.coefficients), list(keep)
+    try:
+        fitted = GeneralizedLinearRegression(
+            family=name, link=link, featuresCol="_x", labelCol="_t", weightCol="_w", predictionCol="_mean",
+            fitIntercept=intercept, maxIter=GLM_STEPS, tol=1e-8).fit(rows)
+        summary = fitted.summary
+        errors, values, terms = list(summary.coefficientStandardErrors), list(fitted.coefficients), list(keep)
+        steps = summary.numIterations
+    finally:
+        rows.unpersist()
     if intercept:
         # Spark ML puts the intercept's error last
         errors, values, terms = [errors[-1], *errors[:-1]], [fitted.intercept, *values], [CONST, *terms]
-    steps = summary.numIterations
-    rows.unpersist()
     return [_coefficient("count", t, b, e * e) for t, b, e in zip(terms, values, errors)], steps
 
 
-def _intercept_only(family: str, counts: dict[int, float]) -> list[Coefficient]:
-    n = sum(counts.values())
-    mean = sum(y * w for y, w in counts.items()) / n
+def _intercept_only(family: str, seen: Survey) -> list[Coefficient]:
+    n, mean = seen.n, seen.sum_y / seen.n
     if family == "poisson":
         return [_coefficient("count", CONST, math.log(mean), 1 / (n * mean))]
     return [_coefficient("count", CONST, math.log(mean / (1 - mean)), 1 / (n * mean * (1 - mean)))]
 
 
-def _fit_glm(design: Design, family: str, keep: list[str], counts: dict[int, float],
-             intercept: bool = True) -> Model:
+def _settled(model: Model, allow: bool) -> Model:
+    """The model, or `NotConverged` if it is not at an optimum and that is not allowed."""
+    if model.converged or allow:
+        return model
+    why = f"; without a finite optimum: {', '.join(model.separated)}" if model.separated else ""
+    raise NotConverged(f"{model.family} fit stopped after {model.steps} steps without an optimum{why}", model)
+
+
+def _value_at(model: Model, design: Design):
+    """Log likelihood, gradient and Hessian of a Poisson or logit model at its coefficients, the constant first."""
+    have = model.part("count")
+    keep = [t for t in have if t != CONST]
+    params = np.array([have.get(CONST, 0.0), *[have[t] for t in keep]])
+    return evaluate(design.narrowed(keep), FAMILIES[model.family], params)
+
+
+def _fit_glm(design: Design, family: str, keep: list[str], seen: Survey, intercept: bool = True,
+             allow: bool = False) -> Model:
+    flat = seen.sum_y == 0 or (family == "logit" and seen.sum_y == seen.n)
+    if flat:
+        raise NotConverged(f"{family} fit: every target is {0 if seen.sum_y == 0 else 1}")
     if keep:
         coefs, steps = _run_glm(design, family, keep, intercept)
     elif intercept:
-        coefs, steps = _intercept_only(family, counts), 0
+        coefs, steps = _intercept_only(family, seen), 0
     else:
         raise ValueError("no coefficient is left to fit")
-    model = Model(family, coefs, math.nan, len(coefs), sum(counts.values()), steps, steps < GLM_STEPS,
-                  [f for f in design.features if f not in keep])
-    return replace(model, loglik=log_likelihood(model, design, counts))
-
-
-def log_likelihood(model: Model, design: Design, counts: dict[int, float] | None = None) -> float:
-    """Sum of row log likelihoods of a Poisson or logit model; y-only terms by histogram."""
-    y, eta = F.col(design.y), model.linear("count")
-    if model.family == "poisson":
-        row = y * eta - F.exp(eta)
-        constant = count_terms(counts if counts is not None else histogram(design), None)[0]
-    else:
-        row = y * eta - F.greatest(eta, F.lit(0.0)) - F.log1p(F.exp(-F.abs(eta)))
-        constant = 0.0
-    if design.weight:
-        row = row * F.col(design.weight)
-    return design.rows.agg(F.sum(row)).first()[0] + constant
+    apart = separated_features(design.narrowed(keep), family)
+    model = Model(family, coefs, math.nan, len(coefs), seen.n, steps, False, [f for f in design.features if f not in keep], apart)
+    value, grad, hess = _value_at(model, design)
+    free = slice(0 if intercept else 1, None)
+    gain = float(grad[free] @ newton_step(grad[free], hess[free, free]))
+    done = bool(np.isfinite(value) and steps < GLM_STEPS and gain <= max(1e-6, 1e-9 * abs(value)) and not apart)
+    return _settled(replace(model, loglik=float(value), converged=done), allow)
 
 
-def _survey(design: Design) -> tuple[dict[int, float], list[str]]:
-    """Histogram of y and the features that are not collinear."""
-    return tuple(together(design.rows.sparkSession, lambda: histogram(design),
-                          lambda: independent_features(design)))
+def log_likelihood(model: Model, design: Design) -> float:
+    """Sum of row log likelihoods of a Poisson or logit model."""
+    return float(_value_at(model, design)[0])
 
 
-def fit_poisson(design: Design) -> Model:
-    counts, keep = _survey(design)
-    return _fit_glm(design, "poisson", keep, counts)
+def fit_poisson(design: Design, allow_unconverged: bool = False) -> Model:
+    seen = checked(design, "poisson")
+    return _fit_glm(design, "poisson", independent_features(design), seen, allow=allow_unconverged)
 
 
-def fit_logit(design: Design) -> Model:
-    counts, keep = _survey(design)
-    return _fit_glm(design, "logit", keep, counts)
+def fit_logit(design: Design, allow_unconverged: bool = False) -> Model:
+    seen = checked(design, "logit")
+    return _fit_glm(design, "logit", independent_features(design), seen, allow=allow_unconverged)
 
 
 # -- models Spark ML does not have ------------------------------------------------------------
 
-def _from_optimum(family_name: str, design: Design, best: Optimum, features: list[str], n: float) -> Model:
+def _from_optimum(family_name: str, design: Design, best: Optimum, features: list[str], n: float, allow: bool) -> Model:
     family = FAMILIES[family_name]
     names = [CONST, *features]
     labels = [(part, t) for part in (["inflate"] if family.zeta and family.eta else []) + ["count"]
@@ -215,96 +228,95 @@ def _from_optimum(family_name: str, design: Design, best: Optimum, features: lis
     except np.linalg.LinAlgError:
         variance = np.full(len(params), math.nan)
     coefs = [_coefficient(part, t, b, v) for (part, t), b, v in zip(labels, params, variance)]
-    return Model(family_name, coefs, float(best.loglik), len(params), n, best.steps, best.converged,
-                 [f for f in design.features if f not in features])
+    apart = separated_features(design.narrowed(features), family_name)
+    return _settled(Model(family_name, coefs, float(best.loglik), len(params), n, best.steps, best.converged and not apart,
+                          [f for f in design.features if f not in features], apart), allow)
 
 
 def _start(model: Model) -> np.ndarray:
     return np.array([c.coef for c in model.coefficients])
 
 
-def _dispersed_start(design: Design, keep: list[str], counts: dict[int, float]) -> np.ndarray:
+def _dispersed_start(seen: Survey, keep: list[str]) -> np.ndarray:
     """Intercept at the log mean, no slopes, alpha 1: a few extra steps replace a Poisson fit."""
-    n = sum(counts.values())
-    mean = sum(y * w for y, w in counts.items()) / n
-    return np.r_[math.log(max(mean, 1e-8)), np.zeros(len(keep)), 0.0]
+    return np.r_[math.log(max(seen.sum_y / seen.n, 1e-8)), np.zeros(len(keep)), 0.0]
 
 
-def _fit_dispersed(design: Design, family: str) -> Model:
-    counts, keep = _survey(design)
-    best = maximise(design.narrowed(keep), family, _dispersed_start(design, keep, counts), counts)
-    return _from_optimum(family, design, best, keep, sum(counts.values()))
+def _fit_dispersed(design: Design, family: str, allow: bool) -> Model:
+    seen, keep = checked(design, family), independent_features(design)
+    best = maximise(design.narrowed(keep), family, _dispersed_start(seen, keep))
+    return _from_optimum(family, design, best, keep, seen.n, allow)
 
 
-def fit_nb(design: Design) -> Model:
+def fit_nb(design: Design, allow_unconverged: bool = False) -> Model:
     """Negative binomial, variance mu + alpha mu^2, alpha fitted jointly."""
-    return _fit_dispersed(design, "nb")
+    return _fit_dispersed(design, "nb", allow_unconverged)
 
 
-def fit_ztnb(design: Design) -> Model:
+def fit_ztnb(design: Design, allow_unconverged: bool = False) -> Model:
     """Zero-truncated negative binomial; the rows must all have y > 0."""
-    return _fit_dispersed(design, "ztnb")
+    return _fit_dispersed(design, "ztnb", allow_unconverged)
 
 
-def zi_warm_start(design: Design) -> tuple[Model, Model]:
+def zi_warm_start(design: Design, allow_unconverged: bool = False) -> tuple[Model, Model]:
     """Logit of y == 0 on all rows, Poisson on the positive rows."""
-    zero = F.when(F.col(design.y) == 0, 1.0).otherwise(0.0)
-    flagged = Design(design.rows.withColumn(design.y, zero), design.features, design.y, design.weight)
+    checked(design, "poisson")
+    flagged = design.replaced(design.rows.withColumn(Y, F.when(F.col(Y) == 0, 1.0).otherwise(0.0)))
     zero_fit, count_fit = together(
-        design.rows.sparkSession, lambda: fit_logit(flagged),
-        lambda: fit_poisson(design.filtered(F.col(design.y) > 0)))
+        design.rows.sparkSession, lambda: fit_logit(flagged, allow_unconverged),
+        lambda: fit_poisson(design.filtered(F.col(Y) > 0), allow_unconverged))
     return zero_fit, count_fit
 
 
-def _fit_inflated(design: Design, family: str, warm: tuple[Model, Model] | None) -> Model:
-    counts, keep = _survey(design)
-    inflate, count = warm or zi_warm_start(design.narrowed(keep))
+def _fit_inflated(design: Design, family: str, warm: tuple[Model, Model] | None, allow: bool) -> Model:
+    seen, keep = checked(design, family), independent_features(design)
+    inflate, count = warm or zi_warm_start(design.narrowed(keep), allow_unconverged=True)  # only where to start
     zeta, eta = inflate.part("count"), count.part("count")
     start = [zeta.get(t, 0.0) for t in (CONST, *keep)] + [eta.get(t, 0.0) for t in (CONST, *keep)]
     if family == "zinb":
         start.append(0.0)   # log alpha, alpha = 1
-    best = maximise(design.narrowed(keep), family, np.array(start), counts)
-    return _from_optimum(family, design, best, keep, sum(counts.values()))
+    best = maximise(design.narrowed(keep), family, np.array(start))
+    return _from_optimum(family, design, best, keep, seen.n, allow)
 
 
-def fit_zip(design: Design, warm: tuple[Model, Model] | None = None) -> Model:
+def fit_zip(design: Design, warm: tuple[Model, Model] | None = None, allow_unconverged: bool = False) -> Model:
     """Zero-inflated Poisson, both parts on the same features."""
-    return _fit_inflated(design, "zip", warm)
+    return _fit_inflated(design, "zip", warm, allow_unconverged)
 
 
-def fit_zinb(design: Design, warm: tuple[Model, Model] | None = None) -> Model:
+def fit_zinb(design: Design, warm: tuple[Model, Model] | None = None, allow_unconverged: bool = False) -> Model:
     """Zero-inflated negative binomial, both parts on the same features."""
-    return _fit_inflated(design, "zinb", warm)
+    return _fit_inflated(design, "zinb", warm, allow_unconverged)
 
 
 # -- variants of the logit --------------------------------------------------------------------
 
-def fit_logit_unscaled(design: Design) -> Model:
+def fit_logit_unscaled(design: Design, allow_unconverged: bool = False) -> Model:
     """Logit on raw-scale columns: non-binary ones are divided by their sd for the fit only.
 
     Scaling a column scales its coefficient and error by the inverse, so mapping both back
     gives the optimum on the original scale.
     """
-    cols = design.features
-    row = design.rows.agg(*[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)],
-                          *[F.every(F.col(c).isin(0, 1)).alias(f"b{i}") for i, c in enumerate(cols)]).first()
-    sd = {c: 1.0 if row[f"b{i}"] or not row[f"s{i}"] else row[f"s{i}"] for i, c in enumerate(cols)}
-    kept = [design.y, *([design.weight] if design.weight else [])]
-    scaled = design.rows.select(*[(F.col(c) / sd[c]).alias(c) for c in cols], *kept)
-    fit = fit_logit(Design(materialise(scaled, "scaled"), cols, design.y, design.weight))
+    seen = checked(design, "logit")
+    mean = seen.gram[0, 1:] / seen.n
+    var = (np.diag(seen.gram)[1:] - seen.n * mean ** 2) / max(1.0, seen.n - 1)
+    sd = {f: 1.0 if not seen.other[i] or var[i] <= 0 else math.sqrt(var[i]) for i, f in enumerate(design.features)}
+    columns = [(F.col(c) / sd[f]).alias(c) for f, c in design.columns.items() if f in sd]
+    scaled = design.rows.select(*columns, Y, *([WEIGHT] if design.weighted else []))
+    fit = fit_logit(design.replaced(materialise(scaled, "scaled")), allow_unconverged)
     back = [replace(c, coef=c.coef / sd.get(c.term, 1.0), se=c.se / sd.get(c.term, 1.0))
             for c in fit.coefficients]
     return replace(fit, coefficients=back)
 
 
-def fit_logit_constrained(design: Design, fitted: Model, threshold: float) -> Model:
+def fit_logit_constrained(design: Design, fitted: Model, threshold: float, allow_unconverged: bool = False) -> Model:
     """Coefficients whose p-value exceeds the threshold are held at 0, the others refitted.
 
     Holding a coefficient at 0 is the fit without its column. A weak intercept is held too.
     """
     weak = {c.term for c in fitted.coefficients if c.p > threshold}
     keep = [c.term for c in fitted.coefficients if c.term not in weak and c.term != CONST]
-    refit = _fit_glm(design, "logit", keep, histogram(design), intercept=CONST not in weak)
+    refit = _fit_glm(design, "logit", keep, checked(design, "logit"), CONST not in weak, allow_unconverged)
     have = {c.term: c for c in refit.coefficients}
     zero = lambda t: Coefficient("count", t, 0.0, math.nan, math.nan, math.nan)
     full = [have.get(c.term, zero(c.term)) for c in fitted.coefficients]

@@ -1,17 +1,18 @@
 """Distributed Newton steps: one scan per step, sums of gradient and Hessian per task.
 
-Each task folds its Arrow batches into one vector of sums; Spark adds the vectors up by
-position. The driver sees (number of parameters)^2 / 2 doubles per step and never a row.
+Each task folds its Arrow batches into one array of sums; arrays are added up, in a middle step where there are many
+tasks. The driver sees (number of parameters)^2 / 2 doubles per step and never a row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zerotally.operators.likelihood import FAMILIES, Family, count_terms, row_terms
@@ -19,22 +20,52 @@ from zerotally.workspace import materialise
 
 MAX_STEPS = 100
 MAX_HALVINGS = 30
-MAX_COUNTS = 1_000_000
+#: Task sums that are brought to the driver at once; more are added up in tasks first.
+DIRECT_SUMS = 256
+Y, WEIGHT = "_y", "_weight"
+
+
+class BadInput(ValueError):
+    """The rows cannot be fitted as they are."""
+
+
+class NotConverged(RuntimeError):
+    """A fit did not reach an optimum; `model` is where it stopped."""
+
+    def __init__(self, message: str, model=None):
+        super().__init__(message)
+        self.model = model
 
 
 @dataclass(frozen=True)
 class Design:
-    """Materialised rows with feature columns, target and optional frequency weight."""
+    """Materialised rows: the target `_y`, one column per feature and, where rows stand for several, `_weight`.
+
+    Columns go by position, so that feature names may hold any character.
+    """
     rows: DataFrame
     features: list[str]
+    columns: dict[str, str]  # of each feature
     y: str
-    weight: str | None = None
+    weighted: bool = False
+    found: dict = field(default_factory=dict, compare=False, repr=False)  # what scans have shown
 
     def narrowed(self, features: list[str]) -> "Design":
-        return Design(self.rows, features, self.y, self.weight)
+        have = self.found.get("survey")
+        found = {k: v for k, v in self.found.items() if k != "survey"}
+        if have is not None:
+            found["survey"] = have.narrowed([self.features.index(f) for f in features])
+        return Design(self.rows, features, self.columns, self.y, self.weighted, found)
+
+    def replaced(self, rows: DataFrame) -> "Design":
+        """The same columns over other rows."""
+        return Design(rows, self.features, self.columns, self.y, self.weighted)
+
+    def filtered(self, condition: Column) -> "Design":
+        return self.replaced(self.rows.where(condition))
 
-    def filtered(self, condition) -> "Design":
-        return Design(self.rows.where(condition), self.features, self.y, self.weight)
+    def expressions(self) -> dict[str, Column]:
+        return {f: F.col(self.columns[f]) for f in self.features}
 
 
 def make_design(df: DataFrame, features: list[str], y: str, compress: bool = False) -> Design:
@@ -43,69 +74,144 @@ def make_design(df: DataFrame, features: list[str], y: str, compress: bool = Fal
     Compression pays when the features take few distinct combinations, as dummies of a few
     categories do; the sums, and so the fit, stay the same.
     """
-    narrow = df.select(*features, F.col(y).cast("double").alias(y))
+    columns = {f: f"x{i}" for i, f in enumerate(features)}
+    narrow = df.select(*[F.col(f"`{f}`").cast("double").alias(c) for f, c in columns.items()],
+                       F.col(f"`{y}`").cast("double").alias(Y))
     if compress:
-        narrow = narrow.groupBy(*features, y).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
-        return Design(materialise(narrow, "design"), features, y, "_weight")
-    return Design(materialise(narrow, "design"), features, y)
+        narrow = narrow.groupBy(*columns.values(), Y).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    return Design(materialise(narrow, "design"), features, columns, y, compress)
 
 
-def _matrices(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
-    """Constant 1 followed by the named columns, one row per record."""
-    out = np.empty((batch.num_rows, len(names) + 1))
+def _matrices(batch: pa.RecordBatch, n: int) -> np.ndarray:
+    """Constant 1 followed by the first n columns, one row per record."""
+    out = np.empty((batch.num_rows, n + 1))
     out[:, 0] = 1.0
-    for i, name in enumerate(names):
-        out[:, i + 1] = batch.column(name).to_numpy(zero_copy_only=False)
+    for i in range(n):
+        out[:, i + 1] = batch.column(i).to_numpy(zero_copy_only=False)
     return out
 
 
+def _added(batches):
+    """One row with the sum of all arrays."""
+    total = None
+    for batch in batches:
+        for value in batch.column(0):
+            part = value.values.to_numpy()
+            total = part if total is None else total + part
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total])], names=["sums"])
+
+
 def column_sums(design: Design, fold: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
                 size: int) -> np.ndarray:
     """Sum of `fold(X, y, weight)` over all batches, as one vector of the given size."""
-    features, y, weight = design.features, design.y, design.weight
-    columns = [*features, y, *([weight] if weight else [])]
+    n, weighted = len(design.features), design.weighted
 
     def per_task(batches):
         total = np.zeros(size)
         for batch in batches:
             if batch.num_rows:
-                w = (batch.column(weight).to_numpy(zero_copy_only=False) if weight
-                     else np.ones(batch.num_rows))
-                target = batch.column(y).to_numpy(zero_copy_only=False)
-                total += fold(_matrices(batch, features), target, w)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], names=["at", "value"])
-
-    sums = (design.rows.select(*columns).mapInArrow(per_task, "at int, value double")
-            .groupBy("at").agg(F.sum("value").alias("value")))
-    out = np.zeros(size)
-    for row in sums.collect():
-        out[row["at"]] = row["value"]
-    return out
+                w = batch.column(n + 1).to_numpy() if weighted else np.ones(batch.num_rows)
+                total += fold(_matrices(batch, n), batch.column(n).to_numpy(zero_copy_only=False), w)
+        yield pa.RecordBatch.from_arrays([pa.array([total])], names=["sums"])
+
+    names = [design.columns[f] for f in design.features]
+    rows = design.rows.select(*names, Y, *([WEIGHT] if weighted else []))
+    if "tasks" not in design.found:
+        design.found["tasks"] = rows.rdd.getNumPartitions()
+    sums, tasks = rows.mapInArrow(per_task, "sums array<double>"), design.found["tasks"]
+    while tasks > DIRECT_SUMS:
+        tasks = math.isqrt(tasks)
+        sums = sums.repartition(tasks).mapInArrow(_added, "sums array<double>")
+    return np.sum([np.zeros(size), *[r["sums"] for r in sums.collect()]], axis=0)
 
 
 def pack(*parts) -> np.ndarray:
     return np.concatenate([np.atleast_1d(p).ravel() for p in parts])
 
 
-def histogram(design: Design) -> dict[int, float]:
-    """Weighted number of rows per distinct y."""
-    weight = F.sum(design.weight) if design.weight else F.count(F.lit(1))
-    counted = design.rows.groupBy(design.y).agg(weight.cast("double").alias("w"))
-    rows = counted.limit(MAX_COUNTS + 1).collect()
-    if len(rows) > MAX_COUNTS:
-        raise ValueError(f"more than {MAX_COUNTS} distinct target values: not a count")
-    return {int(r[design.y]): r["w"] for r in rows}
+@dataclass(frozen=True)
+class Survey:
+    """Weighted sums over one scan of a design; features by place."""
+    n: float
+    sum_y: float
+    bad: np.ndarray       # rows that are NULL, NaN or infinite, per feature, the target last
+    other: np.ndarray     # rows that are neither 0 nor 1, per feature
+    negative: float       # rows with y < 0, y not whole, y = 0, y > 1
+    broken: float
+    zero: float
+    large: float
+    with_y: np.ndarray    # sum of x y and of x over y = 0, per feature
+    at_zero: np.ndarray
+    at_zero_all: float    # weight of the rows with y = 0
+    gram: np.ndarray      # of the constant and the features
+
+    def narrowed(self, at: list[int]) -> "Survey":
+        g = [0, *(i + 1 for i in at)]
+        return Survey(self.n, self.sum_y, self.bad[[*at, -1]], self.other[at], self.negative, self.broken, self.zero,
+                      self.large, self.with_y[at], self.at_zero[at], self.at_zero_all, self.gram[np.ix_(g, g)])
+
+
+def survey(design: Design) -> Survey:
+    """What one scan shows of the design; kept with it and with designs narrowed from it."""
+    if "survey" in design.found:
+        return design.found["survey"]
+    p = len(design.features)
+
+    def fold(x, y, w):
+        finite = np.isfinite(x)
+        bad = [*(~finite[:, 1:]).sum(0), (~np.isfinite(y)).sum()]
+        other = ((x[:, 1:] != 0) & (x[:, 1:] != 1)).sum(0)
+        x, y = np.where(finite, x, 0.0), np.where(np.isfinite(y), y, 0.0)
+        return pack(w.sum(), w @ y, bad, other, (y < 0).sum(), (y != np.floor(y)).sum(), (y == 0).sum(), (y > 1).sum(),
+                    (w * y) @ x[:, 1:], (w * (y == 0)) @ x[:, 1:], w @ (y == 0), (x * w[:, None]).T @ x)
+
+    sums = column_sums(design, fold, 8 + 4 * p + (p + 1) ** 2)
+    sizes = [1, 1, p + 1, p, 1, 1, 1, 1, p, p, 1, (p + 1) ** 2]
+    parts = np.split(sums, np.cumsum(sizes)[:-1])
+    one = lambda i: float(parts[i][0])
+    made = Survey(one(0), one(1), parts[2], parts[3], one(4), one(5), one(6), one(7), parts[8], parts[9],
+                  one(10), parts[11].reshape(p + 1, p + 1))
+    design.found["survey"] = made
+    return made
+
+
+def checked(design: Design, family_name: str) -> Survey:
+    """The survey, or `BadInput` naming the columns and numbers of rows that the family cannot take."""
+    s, family = survey(design), FAMILIES[family_name]
+    wrong = [f"{c}: {int(k)} rows NULL or not finite" for c, k in zip([*design.features, design.y], s.bad) if k]
+    if family.eta:
+        wrong += [f"{design.y}: {int(k)} rows {what}" for what, k in (
+            ("below 0", s.negative), ("not whole", s.broken), ("0, which truncation rules out", s.zero * family.truncated)) if k]
+    elif s.negative or s.broken or s.large:
+        wrong.append(f"{design.y}: rows other than 0 and 1")
+    if not s.n:
+        wrong.append("no rows")
+    if wrong:
+        raise BadInput(f"{family_name} fit: " + "; ".join(wrong))
+    return s
+
+
+def separated_features(design: Design, family_name: str) -> list[str]:
+    """0/1 features with a side whose target has no spread that the family can fit: no positive count, or no zero where
+    a logistic part must explain zeros. Their coefficients have no finite optimum."""
+    s, family = survey(design), FAMILIES[family_name]
+    ones, out = s.gram[0, 1:], []
+    for i, f in enumerate(design.features):
+        sides = ((ones[i], s.with_y[i], s.at_zero[i]), (s.n - ones[i], s.sum_y - s.with_y[i], s.at_zero_all - s.at_zero[i]))
+        flat = any(n > 0 and ((y == 0 and not family.truncated) or (zero == 0 and family.zeta)) for n, y, zero in sides)
+        if not s.other[i] and flat:
+            out.append(f)
+    return out
 
 
 def independent_features(design: Design, tolerance: float = 1e-9) -> list[str]:
     """Features left after dropping, from the left, those the constant and earlier ones explain."""
-    p = len(design.features) + 1
-    gram = column_sums(design, lambda x, y, w: pack((x * w[:, None]).T @ x), p * p).reshape(p, p)
+    gram = survey(design).gram
     scale = np.sqrt(np.maximum(np.diag(gram), 1e-300))
     rest = gram / np.outer(scale, scale)
     kept = []
-    for j in range(p):
+    for j in range(len(gram)):
         left = rest[j, j]
         if left > tolerance:
             if j:
@@ -114,7 +220,7 @@ def independent_features(design: Design, tolerance: float = 1e-9) -> list[str]:
     return kept
 
 
-def evaluate(design: Design, family: Family, params: np.ndarray, counts: dict[int, float]):
+def evaluate(design: Design, family: Family, params: np.ndarray):
     """Log likelihood, gradient and Hessian at `params` = (gamma, beta, log alpha)."""
     p = len(design.features) + 1
     parts = [k for k, on in (("z", family.zeta), ("e", family.eta)) if on]
@@ -134,21 +240,22 @@ def evaluate(design: Design, family: Family, params: np.ndarray, counts: dict[in
                 hess[:p, p:2 * p] = x.T @ (x * (w * d["ze"])[:, None])
             if family.dispersed:
                 hess[rows, -1] = x.T @ (w * d[a + "t"])
+        value = w @ ll
         if family.dispersed:
             grad[-1], hess[-1, -1] = w @ d["t"], w @ d["tt"]
-        return pack(w @ ll, grad, hess[np.triu_indices(size)])
+        if family.eta:
+            more, first, second = count_terms(y, w, theta if family.dispersed else None)
+            value += more
+            if family.dispersed:
+                grad[-1] += first
+                hess[-1, -1] += second
+        return pack(value, grad, hess[np.triu_indices(size)])
 
     sums = column_sums(design, fold, 1 + size + size * (size + 1) // 2)
     ll, grad = sums[0], sums[1:1 + size].copy()
     hess = np.zeros((size, size))
     hess[np.triu_indices(size)] = sums[1 + size:]
     hess = hess + np.triu(hess, 1).T
-    if family.eta:
-        value, first, second = count_terms(counts, theta if family.dispersed else None)
-        ll += value
-        if family.dispersed:
-            grad[-1] += first
-            hess[-1, -1] += second
     return ll, grad, hess
 
 
@@ -170,11 +277,11 @@ class Optimum:
     converged: bool
 
 
-def maximise(design: Design, family_name: str, start: np.ndarray, counts: dict[int, float]) -> Optimum:
+def maximise(design: Design, family_name: str, start: np.ndarray) -> Optimum:
     """Newton ascent with step halving until the predicted gain is negligible."""
     family = FAMILIES[family_name]
     params = np.asarray(start, float)
-    ll, grad, hess = evaluate(design, family, params, counts)
+    ll, grad, hess = evaluate(design, family, params)
     for taken in range(1, MAX_STEPS + 1):
         step = newton_step(grad, hess)
         longest = np.abs(step).max()
@@ -183,7 +290,7 @@ def maximise(design: Design, family_name: str, start: np.ndarray, counts: dict[i
         gain = float(grad @ step)
         slack = 1e-12 * (1 + abs(ll))
         for _ in range(MAX_HALVINGS):
-            new = evaluate(design, family, params + step, counts)
+            new = evaluate(design, family, params + step)
             if np.isfinite(new[0]) and new[0] >= ll - slack:
                 break
             step = step / 2

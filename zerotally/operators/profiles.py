@@ -122,14 +122,14 @@ def box_statistics(long: DataFrame, by: list[str], value: str = "value") -> Data
 
 
 def prediction_summary(df: DataFrame, by: list[str], pred: str) -> DataFrame:
-    """Rows, distinct ids and the range and mean of a prediction.
+    """Rows, distinct ids and the range and mean of a prediction; NULL predictions count as rows only.
 
     Rows are folded per id first, so a segment that holds most rows still spreads.
     """
     per_id = df.groupBy(*by, fixed.ID).agg(
         F.count(F.lit(1)).alias("_n"), F.min(pred).alias("_lo"), F.max(pred).alias("_hi"),
-        F.sum(pred).alias("_sum"))
+        F.sum(pred).alias("_sum"), F.count(pred).alias("_known"))
     return per_id.groupBy(*by).agg(
         F.sum("_n").alias("n"), F.count(F.lit(1)).alias("ids"),
         F.min("_lo").alias("min_pred"), F.max("_hi").alias("max_pred"),
-        (F.sum("_sum") / F.sum("_n")).alias("mean_pred"))
+        (F.sum("_sum") / F.nullif(F.sum("_known"), F.lit(0))).alias("mean_pred"))

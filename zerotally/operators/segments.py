@@ -21,11 +21,19 @@ def segment(df: DataFrame, name: str) -> DataFrame:
     return df.where(segment_condition(name)).drop(*fixed.SEGMENT_DROPS[name])
 
 
+def segment_label() -> Column:
+    """'Auto', 'NonAuto', or NULL where the two markers disagree or one is NULL."""
+    return F.when(segment_condition("auto"), "Auto").when(segment_condition("nonauto"), "NonAuto")
+
+
+def both_segments(df: DataFrame) -> DataFrame:
+    """The rows of both segments with all columns and a `segment` label; rows that fit neither are left out."""
+    return df.withColumn("segment", segment_label()).where(F.col("segment").isNotNull())
+
+
 def segment_counts(df: DataFrame) -> DataFrame:
     """Rows per segment and rows that fit neither, because the two markers disagree or are NULL."""
-    label = (F.when(segment_condition("auto"), "Auto").when(segment_condition("nonauto"), "NonAuto")
-             .otherwise("Neither"))
-    return df.groupBy(label.alias("segment")).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(F.coalesce(segment_label(), F.lit("Neither")).alias("segment")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def positives(df: DataFrame, y: str = fixed.TARGET) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 from zerotally import fixed
 from zerotally.operators.likelihood import FAMILIES, row_terms
 from zerotally.operators.models import two_sided_p
-from zerotally.operators.newton import MAX_STEPS, Design, column_sums, newton_step, pack
+from zerotally.operators.newton import MAX_STEPS, Design, NotConverged, checked, column_sums, newton_step, pack
 
 
 @dataclass
@@ -68,6 +68,8 @@ def fit_logits(design: Design, subsets: list[list[str]]) -> list[dict[str, float
                 c.done = np.abs(c.step).max() < 1e-12
     out = []
     for c, names in zip(fits, subsets):
+        if not c.done:
+            raise NotConverged(f"logit on {', '.join(names)} stopped after {MAX_STEPS} steps without an optimum")
         scale = 1 / np.sqrt(np.maximum(np.abs(np.diag(c.hess)), 1e-300))
         if np.linalg.cond(c.hess * np.outer(scale, scale)) > 1e12:
             out.append({f: math.nan for f in names})
@@ -81,8 +83,9 @@ def stepwise_logit(design: Design, initial: list[str] | None = None, enter: floa
                    leave: float = fixed.LEAVE_P) -> list[str]:
     """Add the strongest feature below `enter`, drop the weakest above `leave`, until neither.
 
-    The intercept always stays.
+    The intercept always stays. A chosen set that is collinear, which only `initial` can bring in, is an error.
     """
+    checked(design, "logit")
     if enter >= leave:
         raise ValueError("enter must be below leave, or the search may not end")
     chosen = list(initial or [])
@@ -99,6 +102,8 @@ def stepwise_logit(design: Design, initial: list[str] | None = None, enter: floa
                     changed = True
         if chosen:
             fitted = fit_logits(design, [chosen])[0]
+            if any(math.isnan(p) for p in fitted.values()):
+                raise ValueError(f"collinear features: {', '.join(chosen)}")
             worst = max(chosen, key=lambda f: fitted[f])
             if fitted[worst] > leave:
                 chosen.remove(worst)

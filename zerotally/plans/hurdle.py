@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from zerotally import fixed
 from zerotally.operators.encoder import Encoder
 from zerotally.operators.levels import mean_calibration, rate_calibration
-from zerotally.operators.metrics import hurdle_report, report
+from zerotally.operators.metrics import hurdle_report, log_loss, report, roc_auc
 from zerotally.operators.models import (Model, fit_logit, fit_poisson, fit_zinb, fit_zip, fit_ztnb,
                                         zi_warm_start)
-from zerotally.operators.newton import Design, make_design
+from zerotally.operators.newton import Design, checked, make_design
 from zerotally.operators.segments import positives
 from zerotally.operators.views import level_view, view_columns
 from zerotally.plans.prepare import Encoded, Prepared, encode_stage
@@ -66,16 +66,16 @@ class Hurdle:
 
 
 def fit_hurdle(data: Prepared, final: bool = False, nominal: list[str] | None = None,
-               numeric: list[str] | None = None) -> Hurdle:
+               numeric: list[str] | None = None, allow_unconverged: bool = False) -> Hurdle:
     """Fit both stages on the training rows, or with `final` on training and validation.
 
-    The encoders always come from the training rows.
+    The encoders always come from the training rows. A stage without an optimum is an error unless that is allowed.
     """
     which = None if final else "Train"
 
     def stage(name, fit):
         encoded = encode_stage(data, name, nominal, numeric)
-        return encoded.encoder, fit(stage_design(encoded, which))
+        return encoded.encoder, fit(stage_design(encoded, which), allow_unconverged=allow_unconverged)
 
     first, second = together(data.rows.sparkSession, lambda: stage("binary", fit_logit),
                              lambda: stage("count", fit_ztnb))
@@ -83,10 +83,10 @@ def fit_hurdle(data: Prepared, final: bool = False, nominal: list[str] | None =
 
 
 def fit_all(prepared: list[Prepared], final: bool = False, nominal: list[str] | None = None,
-            numeric: list[str] | None = None) -> list[tuple[Prepared, Hurdle]]:
+            numeric: list[str] | None = None, allow_unconverged: bool = False) -> list[tuple[Prepared, Hurdle]]:
     """Every segment with its fitted hurdle, the fits running side by side."""
     spark = prepared[0].rows.sparkSession
-    fitted = together(spark, *[lambda p=p: fit_hurdle(p, final, nominal, numeric) for p in prepared])
+    fitted = together(spark, *[lambda p=p: fit_hurdle(p, final, nominal, numeric, allow_unconverged) for p in prepared])
     return list(zip(prepared, fitted))
 
 
@@ -110,15 +110,37 @@ def combined_calibration(data: Prepared, model: Hurdle) -> DataFrame:
 
 
 def validation_report(fitted: list[tuple[Prepared, Hurdle]]) -> DataFrame:
-    """One row per segment and one for all segments pooled, on the held-out rows."""
+    """One row per segment and one for all segments pooled, on the held-out rows; with whether both stages' fits reached an
+    optimum and the most steps that one took."""
     spark = fitted[0][0].rows.sparkSession
     frames = together(spark, *[
         lambda d=d, m=m: materialise(m.score(d.sample("Val"), [fixed.ID, fixed.TARGET]), "scored")
         for d, m in fitted])
     scored = list(zip([d.name for d, _ in fitted], frames))
-    parts = [hurdle_report(df, name) for name, df in scored]
+    fits = [[m.binary, m.count] for _, m in fitted]
+    state = lambda df, some: df.withColumns({"converged": F.lit(all(f.converged for f in some)), "steps": F.lit(max(f.steps for f in some))})
+    parts = [state(hurdle_report(df, name), some) for (name, df), some in zip(scored, fits)]
     pooled = reduce(DataFrame.unionByName, [df for _, df in scored])
-    return reduce(DataFrame.unionByName, [*parts, hurdle_report(pooled, "pooled")])
+    return reduce(DataFrame.unionByName, [*parts, state(hurdle_report(pooled, "pooled"), sum(fits, []))])
+
+
+def stage_reports(fitted: list[tuple[Prepared, Hurdle]]) -> DataFrame:
+    """Each stage on its own rows, per segment and sample: log loss and AUC of P(Y > 0); RMSE, AIC (training rows) and
+    normalised Gini of E[Y | Y > 0] on the positive rows."""
+    out = []
+    for data, model in fitted:
+        rows = materialise(model.score(data.rows, [fixed.ID, fixed.TARGET, "Sample"]), "scored")
+        for sample in ("Train", "Val"):
+            own = rows.where(F.col("Sample") == sample)
+            first, second = own, positives(own)
+            one = F.lit(1).alias("_k")
+            row = (log_loss(first, fixed.TARGET, "p_positive").select("*", one)
+                   .join(roc_auc(first, fixed.TARGET, "p_positive").select("*", one), "_k")
+                   .join(report(second, sample, fixed.TARGET, "mean_positive", model.count.aic if sample == "Train" else None)
+                         .drop("label").select("*", one), "_k"))
+            out.append(row.select(F.lit(data.name).alias("segment"), F.lit(sample).alias("Sample"), "log_loss", "auc",
+                                  "rmse", "aic", "normalized_gini"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def predict_unseen(fitted: list[tuple[Prepared, Hurdle]], unseen: DataFrame) -> DataFrame:
@@ -129,21 +151,25 @@ def predict_unseen(fitted: list[tuple[Prepared, Hurdle]], unseen: DataFrame) ->
     return reduce(DataFrame.unionByName, scored)
 
 
-def baseline_models(data: Prepared, nominal: list[str] | None = None,
-                    numeric: list[str] | None = None) -> tuple[Encoded, dict[str, Model]]:
-    """Poisson, zero-inflated Poisson and zero-inflated negative binomial on the same design."""
+def baseline_models(data: Prepared, nominal: list[str] | None = None, numeric: list[str] | None = None,
+                    allow_unconverged: bool = False) -> tuple[Encoded, dict[str, Model]]:
+    """Poisson, zero-inflated Poisson and zero-inflated negative binomial on the same design, surveyed once."""
     encoded = encode_stage(data, "baseline", nominal, numeric)
     design = stage_design(encoded)
     spark = data.rows.sparkSession
-    warm, poisson = together(spark, lambda: zi_warm_start(design), lambda: fit_poisson(design))
-    zip_, zinb = together(spark, lambda: fit_zip(design, warm), lambda: fit_zinb(design, warm))
+    checked(design, "poisson")
+    warm, poisson = together(spark, lambda: zi_warm_start(design, allow_unconverged=True),  # only where to start
+                             lambda: fit_poisson(design, allow_unconverged))
+    zip_, zinb = together(spark, lambda: fit_zip(design, warm, allow_unconverged),
+                          lambda: fit_zinb(design, warm, allow_unconverged))
     return encoded, {"Poisson": poisson, "ZIP": zip_, "ZINB": zinb}
 
 
 def baseline_comparison(encoded: Encoded, models: dict[str, Model]) -> DataFrame:
-    """RMSE, AIC and normalised Gini of every baseline on training and validation rows."""
+    """RMSE, AIC and normalised Gini of every baseline on training and validation rows, with the state of its fit."""
     scored = materialise(encoded.rows.select(
         fixed.ID, "Sample", encoded.target, *[m.predict().alias(name) for name, m in models.items()]), "scored")
     rows = [report(scored.where(F.col("Sample") == s), f"{name} {s.lower()}", encoded.target, name, m.aic)
+            .withColumns({"converged": F.lit(m.converged), "steps": F.lit(m.steps)})
             for name, m in models.items() for s in ("Train", "Val")]
     return reduce(DataFrame.unionByName, rows)
