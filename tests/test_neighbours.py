@@ -104,3 +104,20 @@ def test_fill_from_leaves_unmatched_sentinels_null(spark):
     imputed = spark.createDataFrame([(1, 0)], "id long, imputed int")
     got = {r["id"]: r[fixed.FILLED] for r in fill_from(df, imputed).collect()}
     assert got == {1: 0, 2: None, 3: 1}
+
+
+def test_tiles_are_bounded_but_for_copies_of_one_point(spark):
+    rng = np.random.default_rng(12)
+    n = 20_000
+    rows = [(0, float(c), 0.0 if z else float(v), float(w), 1.0) for c, z, v, w in zip(
+        rng.integers(0, 4, n), rng.random(n) < 0.6, rng.gamma(2, 50, n), rng.normal(size=n))]
+    rows += [(0, 0.0, 0.0, 9.0, 1.0)] * 700
+    points = spark.createDataFrame(rows, "tile long, count double, zero double, wide double, flat double").repartition(4)
+    tiled, depth = N._split_tiles(points, ["count", "zero", "wide", "flat"], 200)
+    sizes = tiled.groupBy("tile").agg(F.count("*").alias("n"), F.countDistinct("count", "zero", "wide").alias("d")).collect()
+    assert depth > 1 and max(r["n"] for r in sizes if r["d"] > 1) <= 200
+    assert sum(r["n"] for r in sizes) == n + 700
+    skewed = [(0, 0.0, 0.0, 0.0, 1.0)] * 900 + [(0, float(i), 0.0, 0.0, 1.0) for i in range(1, 30)]
+    tiled, _ = N._split_tiles(spark.createDataFrame(skewed, points.schema), ["count", "zero", "wide", "flat"], 100)
+    sizes = tiled.groupBy("tile").agg(F.count("*").alias("n"), F.countDistinct("count").alias("d")).collect()
+    assert max([r["n"] for r in sizes if r["d"] > 1], default=0) <= 100

@@ -1,7 +1,7 @@
 """Exact k-nearest-neighbour join.
 
 Reference points are tiled: first by their discrete coordinates, then, where a tile holds
-too many points, by quantiles of one numeric coordinate after the other. Every tile keeps
+too many points, level by level at quantiles of the coordinate that cuts it best. Every tile keeps
 its bounding box. A query searches one nearby tile, which gives an upper bound on its k-th
 distance, and then only those tiles whose box comes that close. Both descents are equi-joins
 on the parent tile. Distances are computed per tile in bounded blocks and only k rows per
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from zerotally.workspace import materialise, together
 
+MAX_LEVELS = 10  # tile numbers stay within 64 bits
 FANOUT = 32          # children per tile and split, a power of two
 TILE_ROWS = 20_000   # a tile above this is split further
 QUERY_ROWS = 4_000   # queries searched against one copy of a tile
@@ -48,25 +49,39 @@ def _tile_by_discrete(points: DataFrame, discrete: list[str]) -> DataFrame:
 
 
 def _split_tiles(points: DataFrame, numeric: list[str], tile_rows: int) -> tuple[DataFrame, int]:
-    """Give every point the number of its final tile; also the number of split levels."""
+    """Give every point the number of its final tile; also the number of split levels.
+
+    On every level a tile that is too large is cut at quantiles of the dimension that gives most of them, or at the
+    mean where one value holds nearly all of it, so that only copies of a single point can stay together.
+    """
     depth = 0
-    for i, dim in enumerate(numeric):
+    grid = [j / FANOUT for j in range(1, FANOUT)]
+    while depth < MAX_LEVELS:
         sizes = points.groupBy("tile").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > tile_rows)
         if sizes.isEmpty():
             break
-        left = len(numeric) - i
-        grid = [j / FANOUT for j in range(1, FANOUT)]
-        cuts = (points.join(sizes, "tile").groupBy("tile").agg(
-            F.first("_n").alias("_n"), F.min(dim).alias("_lo"),
-            F.percentile_approx(dim, grid, 1000).alias("_q")))
-        # about the left-th root of the excess, as a power of two up to the full fan-out
+        seen = points.join(sizes, "tile").groupBy("tile").agg(F.first("_n").alias("_n"), *[
+            F.struct(F.min(d).alias("lo"), F.max(d).alias("hi"), F.avg(d).alias("mid"),
+                     F.percentile_approx(d, grid, 1000).alias("q")).alias(f"_d{i}") for i, d in enumerate(numeric)])
+        # about the root of the excess that is due to this level, as a power of two up to the full fan-out
+        left = max(1, len(numeric) - depth)
         power = F.least(F.ceil(F.log2(F.col("_n") / tile_rows) / left), F.lit(int(np.log2(FANOUT))))
         step = F.lit(FANOUT) / F.pow(F.lit(2.0), power)
-        chosen = F.filter("_q", lambda v, j: ((j + 1) % step == 0) & (v > F.col("_lo")))
-        cuts = materialise(cuts.select("tile", F.array_distinct(chosen).alias("_cuts")), "cuts")
-        child = F.coalesce(F.size(F.filter("_cuts", lambda v: v <= F.col(dim))), F.lit(0))
+
+        def cuts_of(i: int):
+            d = F.col(f"_d{i}")
+            at = F.array_distinct(F.filter(d["q"], lambda v, j: ((j + 1) % step == 0) & (v > d["lo"])))
+            at = F.when(F.size(at) > 0, at).when(d["hi"] > d["lo"], F.array(F.greatest(d["mid"], d["hi"] / 2 + d["lo"] / 2)))
+            return F.struct(F.coalesce(F.size(at), F.lit(0)).alias("n"), F.lit(-i).alias("dim"), at.alias("at"))
+
+        best = F.array_max(F.array(*[cuts_of(i) for i in range(len(numeric))]))
+        cuts = materialise(seen.select("tile", best.alias("_cut")).where("_cut.n > 0"), "cuts")
+        if cuts.isEmpty():
+            break
+        value = F.element_at(F.array(*[F.col(d).cast("double") for d in numeric]), 1 - F.col("_cut.dim"))
+        child = F.coalesce(F.size(F.filter(F.col("_cut.at"), lambda v: v <= value)), F.lit(0))
         points = (points.join(cuts, "tile", "left")
-                  .withColumn("tile", F.col("tile") * FANOUT + child).drop("_cuts"))
+                  .withColumn("tile", F.col("tile") * FANOUT + child).drop("_cut"))
         depth += 1
     return points, depth
 
