@@ -8,8 +8,9 @@ that starts there is not unique, and what is sorted first is a sample that no re
   window of HALF + 1 positions the least rank is an anchor: a repeated string of 50 bytes holds the same anchor in both places.
 - Round 1 sorts the anchors' ranks over the whole table; anchors found in one document only are dropped.
 - Round 2 sorts rank pairs (p, p + HALF) of the anchors left, that is strings of 50 bytes, with their documents. Those that
-  start in a document with a smaller id cover their bytes.
-- Round 3 tells which anchors are still needed: those of strings that reach beyond what is covered.
+  start in a document with a smaller id cover their bytes. It also tells which anchors stand in a smaller document.
+- Round 3 tells which anchors are still needed: those of strings that reach beyond what is covered, and whose anchor stands
+  in a smaller document.
 - Round 4 sorts the rank pairs of all positions whose string has such an anchor, which settles every byte.
 
 Positions travel packed: a chunk of documents sends each range of ranks one row with its distinct ranks, and gets
@@ -164,13 +165,38 @@ class Replay:
             np.add.at(edge, hit + LENGTH, -1)
         return np.cumsum(edge[:-1]) > 0
 
+    @cached_property
+    def _alive_low(self) -> np.ndarray:
+        keys, low, _, _ = self._first
+        return low[np.searchsorted(keys, self.alive)]
+
+    @cached_property
+    def _both(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What round 2 asks: strings of LENGTH and of HALF bytes, with the order that sorts them."""
+        keys, low = self._second[1][:2]
+        keys, low = np.concatenate([keys, self.alive]), np.concatenate([low, self._alive_low])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], low[order], order
+
+    @cached_property
+    def _said(self) -> tuple[np.ndarray, np.ndarray]:
+        """Round 2's answers for the strings of LENGTH bytes and for those of HALF bytes."""
+        said = np.empty(len(self._both[2]), bool)
+        said[self._both[2]] = self.answers[1]
+        n = len(self._second[1][0])
+        return said[:n], said[n:]
+
     @cached_property
     def _third(self) -> tuple[np.ndarray, np.ndarray]:
-        covered = self._cover([(self._second, self.answers[1])])
+        covered = self._cover([(self._second, self._said[0])])
         total = np.concatenate([[0], np.cumsum(covered)])
         at = self._known(self.alive)
-        open_ = at[total[at + LENGTH] - total[at] < LENGTH]
-        return self.alive, np.isin(self.alive, self.least[open_])
+        at = at[total[at + LENGTH] - total[at] < LENGTH]
+        which = np.searchsorted(self.alive, self.least[at])
+        after = self._said[1][which] | (self.doc(at) > self._alive_low[which])
+        needed = np.zeros(len(self.alive), bool)
+        needed[which[after]] = True
+        return self.alive, needed
 
     @cached_property
     def _fourth(self):
@@ -183,14 +209,14 @@ class Replay:
             case 0:
                 return self._first[0], self._first[1]
             case 1:
-                return self._second[1][0], self._second[1][1]
+                return self._both[:2]
             case 2:
                 return self._third[0], 1 - self._third[1].astype(np.int64)
             case _:
                 return self._fourth[1][0], self._fourth[1][1]
 
     def removed(self) -> np.ndarray:
-        return self._cover([(self._second, self.answers[1]), (self._fourth, self.answers[3])])
+        return self._cover([(self._second, self._said[0]), (self._fourth, self.answers[3])])
 
 
 ROUNDS = 4
@@ -217,6 +243,31 @@ def _replay(row: dict, bits: int) -> Replay:
     return chunk
 
 
+def _packed(keys: np.ndarray, kind: int) -> bytes:
+    """Ranks as bytes; round 1 only sorts out anchors, for which the upper six bytes do."""
+    return (keys >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() if kind == 0 else keys.tobytes()
+
+
+def _unpacked(data: bytes, kind: int) -> np.ndarray:
+    if kind:
+        return np.frombuffer(data, np.uint64)
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
+def _shortest(numbers: np.ndarray, kind: int) -> bytes:
+    """Numbers as bytes of the least width that holds them; none in round 1."""
+    if kind == 0:
+        return b""
+    low, high = numbers.min(), numbers.max()
+    return numbers.astype("u1" if 0 <= low and high < 1 << 8 else "u4" if 0 <= low and high < 1 << 32 else "i8").tobytes()
+
+
+def _longest(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, {n: "u1", 4 * n: "u4", 8 * n: "i8"}[len(data)]).astype(np.int64) if data else np.zeros(n, np.int64)
+
+
 def _slices(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     """(range, from, to) of the ranges that hold keys; a range is what the first `bits` bits name."""
     part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
@@ -288,16 +339,14 @@ class _Chunks:
                     parts = _slices(keys, bits)
                     yield pa.RecordBatch.from_pydict(
                         {"chunk": [row["chunk"]] * len(parts), "part": [p for p, _, _ in parts],
-                         "ranks": [keys[a:b].tobytes() for _, a, b in parts],
-                         "numbers": [numbers[a:b].tobytes() if kind in (1, 3) else numbers[a:b].astype("u1").tobytes() if kind == 2 else b""
-                                     for _, a, b in parts]},
+                         "ranks": [_packed(keys[a:b], kind) for _, a, b in parts],
+                         "numbers": [_shortest(numbers[a:b], kind) for _, a, b in parts]},
                         schema=pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("ranks", pa.binary()), ("numbers", pa.binary())]))
 
         def rank(table: pa.Table) -> pa.Table:
-            ranks = [np.frombuffer(b, np.uint64) for b in table.column("ranks").to_pylist()]
-            numbers = [np.frombuffer(b, "u1" if kind == 2 else np.int64) for b in table.column("numbers").to_pylist()]
+            ranks = [_unpacked(b, kind) for b in table.column("ranks").to_pylist()]
             keys = np.concatenate(ranks)
-            values = np.concatenate(numbers) if kind else np.zeros(len(keys), np.int64)
+            values = np.concatenate([_longest(b, len(r)) for b, r in zip(table.column("numbers").to_pylist(), ranks)])
             order = np.argsort(keys, kind="stable")
             k, v = keys[order], values[order]
             first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
