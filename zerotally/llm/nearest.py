@@ -37,7 +37,7 @@ class Curves:
     bits: int = 10
     share: float = 0.3
     least: int = 1
-    cell: int = 512
+    cell: int = 4096
     seed: int = 11
 
 
@@ -197,9 +197,11 @@ def search(vectors: DataFrame, k: int = NEIGHBOURS, curves: Curves = Curves(), i
     asked = cells.select(*key, "points", "vecs").join(order.select(*key, "at"), key).where(F.octet_length("points") > 0)
     found = (asking.join(asked.select("curve", "at", "points", "vecs"), ["curve", "at"]).select("points", "vecs", "q_points", "q_vecs")
              .mapInArrow(_best(k + 1), "query long, point long, score double"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    near = (found.distinct().join(points.select("point", F.explode("ids").alias("vec_id")), "point")
-            .withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1)
+    near_points, near_ids = (Window.partitionBy("query").orderBy(F.desc("score"), c) for c in ("point", "vec_id"))
+    found = (found.withColumn("at", F.dense_rank().over(near_points)).where(F.col("at") <= k + 1)
+             .select("query", "point", "score").distinct())  # a point found on several curves has one rank
+    near = (found.join(points.select("point", F.explode("ids").alias("vec_id")), "point")
+            .withColumn("at", F.row_number().over(near_ids)).where(F.col("at") <= k + 1)
             .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("at", "vec_id", "score"))).alias("near")))
     ids = vectors.select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).cast("array<double>").alias("vec"))
     ids = (ids.where(F.pmod("query_id", F.lit(QUERY_STEP)) == 0).distinct()
