@@ -357,6 +357,54 @@ for _seg in SEGS:
             return calibrate(data, H.fit_hurdle(data))
 
 
+# With one category the stages are the category's share of positive rows and its mean of these, so SQL can say
+# what the fitted calibrations and reports must be.
+_ONE = """, t AS (SELECT acq_method, avg(CASE WHEN call_counts > 0 THEN 1.0 ELSE 0 END) AS p, avg(call_counts) FILTER (WHERE call_counts > 0) AS m
+    FROM {rows} WHERE "Sample" = 'Train' GROUP BY 1), f AS (SELECT r.*, p, m, p * m AS yh FROM {rows} r JOIN t USING (acq_method))"""
+
+
+def one_category(spark, d, seg):
+    data = prepare(policies(spark, d), seg)
+    return data, H.fit_hurdle(data, nominal=[GROUP])
+
+
+for _seg in SEGS:
+    @query(f"a03_rate_calibration_one_category_{_seg}", sql.imputed(_seg) + _ONE.format(rows="filled") + ", l AS (" + sql.stacked(
+        sql.levels(_seg), "f", '"Sample", call_counts, p AS pred') + """)
+    SELECT "Variable", "ValVar", "Sample", round(sum(pred), 4) AS "PredCnt", count(*) FILTER (WHERE call_counts > 0) AS "ActualCnt", count(*) AS "TotalCnt" FROM l GROUP BY 1, 2, 3""")
+    def _(spark, d, seg=_seg):
+        table = H.stage_one_calibration(*one_category(spark, d, seg))
+        return rounded(table.select("Variable", "ValVar", "Sample", "PredCnt", "ActualCnt", "TotalCnt"), 4, "PredCnt")
+
+    for _id, _what, _pred, _where, _calibrate in (("a04", "conditional", "m", " WHERE call_counts > 0", H.stage_two_calibration),
+                                                  ("a05", "combined", "yh", "", H.combined_calibration)):
+        @query(f"{_id}_{_what}_calibration_one_category_{_seg}", sql.imputed(_seg) + _ONE.format(rows="filled") + ", l AS (" + sql.stacked(
+            sql.levels(_seg), "f" + _where, f'"Sample", call_counts, {_pred} AS pred') + """)
+    SELECT "Variable", "ValVar", "Sample", round(avg(pred), 4) AS "PredMean", round(avg(call_counts), 6) AS "ActualMean", count(*) AS "TotalCnt" FROM l GROUP BY 1, 2, 3""")
+        def _(spark, d, seg=_seg, calibrate=_calibrate):
+            return rounded(rounded(calibrate(*one_category(spark, d, seg)), 4, "PredMean"), 6, "ActualMean")
+
+    @query(f"e04_stage_reports_one_category_{_seg}", sql.split(_seg) + _ONE.format(rows="sp") + f""",
+    g AS (SELECT "Sample", p, count(*) FILTER (WHERE call_counts > 0) AS pos, count(*) FILTER (WHERE call_counts = 0) AS neg FROM f GROUP BY 1, 2),
+    b AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY "Sample" ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g),
+    u AS (SELECT "Sample", sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS auc FROM b GROUP BY 1)
+    SELECT '{_seg}' AS segment, "Sample", round(avg(CASE WHEN call_counts > 0 THEN -ln(p) ELSE -ln(1 - p) END), 6) AS log_loss, round(any_value(auc), 6) AS auc,
+        round(sqrt(avg((call_counts - m) * (call_counts - m)) FILTER (WHERE call_counts > 0)), 4) AS rmse FROM f JOIN u USING ("Sample") GROUP BY 2""")
+    def _(spark, d, seg=_seg):
+        table = H.stage_reports([one_category(spark, d, seg)]).drop("aic", "normalized_gini")
+        return rounded(rounded(table, 6, "log_loss", "auc"), 4, "rmse")
+
+
+@query("e07_hurdle_validation_one_category", sql.split("nonauto") + _ONE.format(rows="sp") + """
+    SELECT 'nonauto' AS segment, count(*) AS n, round(min(p), 6) AS min_p_positive, round(max(p), 6) AS max_p_positive, round(min(m), 4) AS min_mean_positive,
+        round(max(m), 4) AS max_mean_positive, round(sqrt(avg((call_counts - yh) * (call_counts - yh))), 4) AS rmse, true AS converged
+    FROM f WHERE "Sample" = 'Val'""")
+def e07_one(spark, d):
+    table = H.validation_report([one_category(spark, d, "nonauto")]).where("segment = 'nonauto'")
+    table = table.select("segment", "n", "min_p_positive", "max_p_positive", "min_mean_positive", "max_mean_positive", "rmse", "converged")
+    return rounded(rounded(table, 6, "min_p_positive", "max_p_positive"), 4, "min_mean_positive", "max_mean_positive", "rmse")
+
+
 @query("m10_stepwise_logit")
 def m10(spark, d):
     encoded = encode_stage(prepare(policies(spark, d), "nonauto"), "binary")

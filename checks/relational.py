@@ -118,6 +118,16 @@ def s06(spark, d):
     return out
 
 
+@query("s07_list_and_drop", ALL + "SELECT 'listed' AS what, count(*) AS n FROM policies UNION ALL SELECT 'dropped', 0")
+def s07(spark, d):
+    name = scratch_path(spark, "t").rsplit("/", 1)[1].replace("-", "_")
+    tables.save_table(policies(spark, d), name, path=scratch_path(spark, "listed"))
+    n = tables.load_table(spark, name).count() if name in tables.list_tables(spark) else -1
+    tables.drop_table(spark, name)
+    gone = 0 if name not in tables.list_tables(spark) else 1
+    return spark.createDataFrame([("listed", n), ("dropped", gone)], "what string, n long")
+
+
 @query("s08_prediction_csv", ALL + f"SELECT id, round({PSEUDO}, 6) AS call_counts FROM policies")
 def s08(spark, d):
     path = scratch_path(spark, "predictions")

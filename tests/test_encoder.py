@@ -1,3 +1,4 @@
+import pytest
 import math
 
 from zerotally.operators.encoder import Encoder, fit_encoder, scaling
@@ -41,3 +42,22 @@ def test_round_trip(spark, tmp_path):
     enc = fit_encoder(_train(spark), ["t", "n"], ["x"])
     enc.save(spark, str(tmp_path / "enc"))
     assert Encoder.load(spark, str(tmp_path / "enc")) == enc
+
+
+def test_too_many_levels_name_their_column(spark):
+    df = spark.range(50).selectExpr("id", "cast(id as string) as wide", "cast(id % 2 as string) as g")
+    with pytest.raises(ValueError, match="wide about"):
+        fit_encoder(df, ["wide", "g"], [], max_levels=20)
+    assert len(fit_encoder(df, ["wide", "g"], [], max_levels=52).names) == 50
+
+
+def test_levels_with_dots_reach_the_fit(spark):
+    rows = spark.range(90).selectExpr("id", "concat('d.', id % 3) as `g`", "cast((id * 7) % 5 as double) as x", "cast(id % 2 as int) as y")
+    enc = fit_encoder(rows.select("id", "x", "g"), ["g"], ["x"])
+    assert enc.names == ["x", "g_d.1", "g_d.2"]
+    from zerotally.operators.models import fit_logit
+    from zerotally.operators.newton import make_design
+    encoded = enc.apply(rows, ["id", "y"])
+    model = fit_logit(make_design(encoded, enc.names, "y"))
+    mean = encoded.select(model.predict().alias("p"), "y").agg({"p": "avg", "y": "avg"}).first()
+    assert abs(mean[0] - mean[1]) < 1e-8

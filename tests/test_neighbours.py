@@ -43,6 +43,14 @@ def test_matches_brute_force_with_copies_and_ties(spark, tile_rows):
     assert _join(spark, q, p, 3, tile_rows) == _brute(q, p, 3)
 
 
+def test_many_combinations_of_discrete_coordinates(spark, monkeypatch):
+    monkeypatch.setattr(N, "MAX_DISCRETE", 1)
+    rng = np.random.default_rng(15)
+    p = [(r[0], r[0] % 3, *r[1:]) for r in _points(rng, 1500)]
+    q = _points(rng, 40, 10_000)
+    assert _join(spark, q, p, 3, 100) == _brute(q, p, 3)
+
+
 def test_many_queries_in_one_tile_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(N, "QUERY_ROWS", 7)
     rng = np.random.default_rng(6)

@@ -98,9 +98,11 @@ def scaling(df: DataFrame, numeric: list[str]) -> dict[str, tuple[float, float]]
 
 
 def fit_encoder(df: DataFrame, nominal: list[str], numeric: list[str], drop_first: bool = True,
-                exclude: list[str] | None = None) -> Encoder:
+                exclude: list[str] | None = None, max_levels: int = MAX_LEVELS) -> Encoder:
     """Freeze levels, column order and scaling on the training rows.
 
+    Every level becomes a column, so more than `max_levels` in all are an error that names the columns.
+
     Order: the columns that are not nominal, as they come, then a block of dummies per
     nominal column. With `drop_first` the lowest training level is the base.
     """
@@ -109,10 +111,11 @@ def fit_encoder(df: DataFrame, nominal: list[str], numeric: list[str], drop_firs
     found: dict[str, list[str]] = {c: [] for c in nominal}
     rows, scales = together(
         df.sparkSession,
-        lambda: training_levels(df, nominal).limit(MAX_LEVELS + 1).collect() if nominal else [],
+        lambda: training_levels(df, nominal).limit(max_levels + 1).collect() if nominal else [],
         lambda: scaling(df, numeric))
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} levels to encode")
+    if len(rows) > max_levels:
+        sizes = df.agg(*[F.approx_count_distinct(F.col(c).cast("string")).alias(c) for c in nominal]).first().asDict()
+        raise ValueError(f"more than {max_levels} levels to encode: " + ", ".join(f"{c} about {n}" for c, n in sizes.items()))
     for r in rows:
         found[r["Variable"]].append(r["Level"])
     features = []

@@ -36,11 +36,11 @@ def _min_distance(dims: list[str]) -> str:
     return " + ".join(f"{g} * {g}" for g in gaps)
 
 
-def _tile_by_discrete(points: DataFrame, discrete: list[str]) -> DataFrame:
-    """Number the distinct combinations of the discrete coordinates."""
+def _tile_by_discrete(points: DataFrame, discrete: list[str]) -> DataFrame | None:
+    """Number the distinct combinations of the discrete coordinates; None if there are too many for a tile each."""
     combos = points.select(*discrete).distinct().limit(MAX_DISCRETE + 1).collect()
     if len(combos) > MAX_DISCRETE:
-        raise ValueError("too many combinations of discrete coordinates")
+        return None
     listed = sorted(tuple(float(v) for v in row) for row in combos)
     spark = points.sparkSession
     schema = ", ".join([*(f"{d} double" for d in discrete), "tile long"])
@@ -198,7 +198,11 @@ def nearest_neighbours(queries: DataFrame, points: DataFrame, numeric: list[str]
                              lambda: materialise(asked, "queries"))
     queries = asked.groupBy(*dims).agg(F.min(query_id).cast("long").alias("qid"))
 
-    tiled, depth = _split_tiles(_tile_by_discrete(points, discrete), numeric, tile_rows)
+    by_discrete = _tile_by_discrete(points, discrete)
+    if by_discrete is None:  # then they are cut like the others
+        tiled, depth = _split_tiles(points.withColumn("tile", F.lit(0).cast("long")), dims, tile_rows)
+    else:
+        tiled, depth = _split_tiles(by_discrete, numeric, tile_rows)
     if depth:
         tiled = materialise(tiled, "tiled")
     tree = _tile_tree(tiled, dims, depth)
