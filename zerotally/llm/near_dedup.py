@@ -7,9 +7,10 @@ class from then on. Inverted lists of the retained values give candidates:
   only enters the lists of its k - need + 1 rarest values, and common shingles (a passage that a third of the table
   carries) are left to those that have nothing rarer.
 - The least class of a list is paired with all others of it. The pairs pass the size bound, the union-sketch estimate and the exact
-  Jaccard test on full sets, and give components. Then the classes of a list that are still in different components
-  are paired and tested likewise. Pairs inside a component need no test, so a large group of near copies costs
-  a pair per member and list, not all pairs.
+  Jaccard test on full sets, and give components. A large group of near copies so costs a pair per member and list.
+- Lists that still hold several components are looked through block against block: sketch overlaps of a block are one
+  matrix product, a pair is only looked at in the first list it shares and while it is not connected, and what
+  passes is tested on full sets there. Only confirmed links that connect something leave the task.
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ from zerotally.llm.components import components
 from zerotally.llm.frames import binary_text
 from zerotally.workspace import materialise
 
-SKETCH = 32
+SKETCH = 48
+#: Classes of a list that meet in one task at most, on either side.
+BLOCK = 2048
+_ROWS = 256
 MISS = 1e-9
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -90,16 +94,15 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 
 def inverted_lists(classes: DataFrame, k: int, need: int, tenths: int) -> DataFrame:
     """(value, rep, n): the lists of at least two classes, with each class under its rarest values only."""
-    each = classes.select("rep", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
+    each = classes.select("rep", "n", F.explode("sketch").alias("value"))
     often = each.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    shared = each.join(often, "value")
     by_class = Window.partitionBy("rep", "n")
-    rank = F.row_number().over(by_class.orderBy("df", "value"))
-    overlap = F.least(F.lit(need), F.ceil(F.col("m") * tenths / 10).cast("int"))
-    rarer = F.col("m") - F.count("*").over(by_class)  # values of this class alone
-    kept = (shared.withColumn("room", F.col("m") - overlap + 1 - rarer).withColumn("at", rank)
-            .where("at <= room").select("value", "rep", "n"))
-    return kept
+    m, have = F.least("n", F.lit(k)), F.count("*").over(by_class)
+    overlap = F.least(F.lit(need), F.ceil(m * tenths / 10))
+    # values of this class alone are its rarest and need no list
+    room = F.when(have > m, have).otherwise(m - overlap + 1 - (m - have))  # more than m: two sets of one size under one id
+    return (each.join(often, "value").withColumn("at", F.row_number().over(by_class.orderBy("df", "value")))
+            .withColumn("room", room).where("at <= room").select("value", "rep", "n"))
 
 
 def _fits(tenths: int):
@@ -174,12 +177,7 @@ def near_groups(docs: DataFrame, words: int = 5, tenths: int = 8, k: int = SKETC
     placed = lists.join(members.select("value"), "value", "left_semi").join(
         first.select(F.col("node").alias("rep"), "component"), "rep", "left")
     placed = materialise(placed.select("value", "rep", "n", F.coalesce("component", "rep").alias("part")), "placed")
-    split = placed.groupBy("value").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    open_lists = placed.join(split.select("value"), "value", "left_semi")
-    left, right = (open_lists.select("value", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "part")]) for s in "ab")
-    across = (left.join(right, "value").where((F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b")) & _fits(tenths))
-              .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())
-    more = verified_pairs(materialise(likely_pairs(across, classes, k, tenths).distinct(), "pairs"), sets, tenths)
+    more = materialise(links_across(placed, lists, classes, sets, k, tenths), "links")
     final = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     return (sk.select("doc_id", "n_shingles").join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
@@ -187,6 +185,81 @@ def near_groups(docs: DataFrame, words: int = 5, tenths: int = 8, k: int = SKETC
                     F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept")))
 
 
+def links_across(placed: DataFrame, lists: DataFrame, classes: DataFrame, sets: DataFrame, k: int, tenths: int) -> DataFrame:
+    """Confirmed links (a, b) between components that meet in a list; enough of them to connect all that are linked."""
+    split = (placed.groupBy("value").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"))
+             .where("low < high").select("value", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    rows = placed.join(split, "value").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("value", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "rep", "n", "part")
+    about = (lists.groupBy("rep", "n").agg(F.collect_list("value").alias("prefix"))  # at most k values
+             .join(classes.select("rep", "n", "sketch"), ["rep", "n"]))
+    need = least_overlap(k, tenths)
+    key = ["value", "i", "j"]
+
+    def incidence(values: list[np.ndarray]) -> np.ndarray:
+        """Rows against the values that at least two of them hold."""
+        flat = np.concatenate(values) if values else np.empty(0, np.int64)
+        known, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
+        column = np.cumsum(counts > 1) - 1
+        row = np.repeat(np.arange(len(values)), [len(v) for v in values])
+        shared = counts[place] > 1
+        out = np.zeros((len(values), int((counts > 1).sum())), np.float32)
+        out[row[shared], column[place[shared]]] = 1
+        return out
+
+    def likely(value: int, i: int, j: int, table: pa.Table):
+        """Pairs of rows that may be similar, a strip of rows at a time."""
+        rep, n, part, block = (table.column(c).to_numpy() for c in ("rep", "n", "part", "block"))
+        prefix = [np.asarray(p, np.int64) for p in table.column("prefix").to_pylist()]
+        sketch = [np.asarray(v, np.int64) for v in table.column("sketch").to_pylist()]
+        seen, shared = incidence([p[p < value] for p in prefix]), incidence(sketch)
+        least = np.minimum(need, np.ceil(np.array([len(v) for v in sketch]) * tenths / 10))
+        for low in range(0, len(rep), _ROWS):
+            at = slice(low, low + _ROWS)
+            ok = shared[at] @ shared.T >= np.minimum(least[at, None], least)
+            ok &= (seen[at] @ seen.T == 0) & (part[at, None] != part) & (rep[at, None] < rep)
+            ok &= np.minimum(n[at, None], n) * 10 >= np.maximum(n[at, None], n) * tenths
+            if i != j:
+                ok &= block[at, None] != block
+            x, y = np.nonzero(ok)
+            yield x + low, y
+
+    def promising(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        found = np.zeros(table.num_rows, bool)
+        for x, y in likely(*(v.as_py() for v in key), table):
+            found[x] = found[y] = True
+        return table.filter(pa.array(found))
+
+    def links(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rep, part = table.column("rep").to_pylist(), table.column("part").to_pylist()
+        shingles = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        parent = {p: p for p in part}
+
+        def root(p: int) -> int:
+            while parent[p] != p:
+                parent[p] = parent[parent[p]]
+                p = parent[p]
+            return p
+
+        found = []
+        for xs, ys in likely(*(v.as_py() for v in key), table):
+            for x, y in zip(xs.tolist(), ys.tolist()):
+                a, b = root(part[x]), root(part[y])
+                if a != b:
+                    p, q = shingles[x], shingles[y]
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                    if 10 * both >= tenths * (len(p) + len(q) - both):
+                        parent[a] = b
+                        found.append((rep[x], rep[y]))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    full = rows.join(about, ["rep", "n"])
+    left = materialise(full.groupBy(*key).applyInArrow(promising, full.schema), "promising")
+    with_sets = left.join(sets.select(F.col("doc_id").alias("rep"), (F.octet_length("shingles") / 8).cast(dict(left.dtypes)["n"]).alias("n"), "shingles"), ["rep", "n"])
+    return with_sets.groupBy(*key).applyInArrow(links, "a long, b long")
+
+
 def _same_set(linked: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges from the least document of a class to its others."""
     return (linked.select("doc_id", "whole", F.col("n_shingles").alias("n")).join(classes.select("whole", "n", "rep"), ["whole", "n"])
