@@ -37,8 +37,8 @@ from zerotally.workspace import materialise, scratch_path
 HALF = 25
 LENGTH = 2 * HALF
 #: Bytes of text in a chunk (a longer document is a chunk of its own), and in a bucket of the chunk table.
-CHUNK_BYTES = 2 << 20
-BUCKET_BYTES = 48 << 20
+CHUNK_BYTES = 1 << 20
+BUCKET_BYTES = 24 << 20
 #: Bytes of text for which there is one range of ranks; about a thirteenth of them have an anchor.
 RANGE_BYTES = 16 << 20
 BLOCK = 1 << 16
