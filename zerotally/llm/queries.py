@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from zerotally.llm import exact_dedup, language_id, licence_scan, mixing, near_dedup, nearest, packing, quality, repeats, url_filter
+from zerotally.llm import (conversations, exact_dedup, html_text, language_id, licence_scan, mixing, near_dedup, nearest, packing,
+                           quality, repeats, url_filter, whitening)
 from zerotally.llm.frames import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +114,19 @@ FROM t LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """)
 def op10_near_dedup(spark, folder):
     return near_dedup.near_groups(table(spark, folder, "documents"), words=4, tenths=8)
+
+
+@query("op11_html_text")
+def op11_html_text(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query("op12_repair_conversations")
+def op12_repair_conversations(spark, folder):
+    return conversations.repair(conversations.damage(table(spark, folder, "conversations")))
+
+
+@query("op13_whiten")
+def op13_whiten(spark, folder):
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
