@@ -104,10 +104,10 @@ def test_against_search_over_strings(spark, seed):
 
 @pytest.mark.parametrize("seed", range(2))
 def test_long_conversations_in_blocks(spark, seed, monkeypatch):
-    monkeypatch.setattr(conversations, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(conversations, "FAN_IN", 3)
     rng = random.Random(seed)
     rows = [(conv, i // 2, rng.choice(["user", "assistant", "system"]), rng.choice([f"t{rng.randint(0, 60)}.", "cut", "", "ok!"]))
-            for conv, n in ((1, 150), (2, 60), (3, 8), (4, 1), (5, 90)) for i in range(n)]
+            for conv, n in ((1, 700), (2, 200), (3, 64), (4, 1), (5, 65), (6, 130)) for i in range(n)]
     turns = spark.createDataFrame(rows, SCHEMA).repartition(5)
     got = conversations.repair(conversations.damage(turns))
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
@@ -121,12 +121,14 @@ def test_result_does_not_depend_on_the_blocks():
         want = conversations.cheapest(rows)
         size = rng.randint(1, 6)
         blocks = [rows[i:i + size] for i in range(0, len(rows), size)]
-        pairs = [(q, e) for q in range(4) for e in range(4)]
-        found = [{p: conversations.cheapest(b, *p) for p in pairs} for b in blocks]
-        layers = [conversations.ways_of({p: w for p, w in f.items() if w}) for f in found]
-        cost, _, states, closing = conversations.through(layers)
-        audit = "".join(f[(a, b)][1] for f, a, b in zip(found, states, states[1:])) + closing
+        found = [conversations.ways(lambda e, b=b: conversations.edit_lattice(b, e)) for b in blocks]
+        layers = [conversations.priced(f) for f in found]
+        cost, states, closing = conversations.through(layers)
+        audit = "".join("".join(a[0] for a in f[(p, q)][1]) for f, p, q in zip(found, states, states[1:])) + closing
         assert (cost, audit) == want
+        for b, f in zip(blocks, found):
+            assert {k: (c, "".join(a[0] for a in w)) for k, (c, w) in f.items()} == \
+                {(q, e): conversations.cheapest(b, q, e) for q in range(4) for e in range(4) if conversations.cheapest(b, q, e)}
 
 
 def test_prices_prove_the_cost():

@@ -8,24 +8,27 @@ paths are tight (p(tail) = cost + p(head)), and the tight arcs are traced in the
 
 Rows are put in order by one range exchange, so that a conversation of any size lies over consecutive tasks. What lies
 whole inside one block of a task is repaired there. Longer ones are cut into blocks: each block prices its ways from every
-entry to every exit state, a second auction chooses among these with one node per block border and state, and blocks
-then trace their part. Only costs and ranks of the blocks of one conversation are ever brought together.
+entry to every exit state, further auctions with a node per block border and state price and then choose among these, 64
+blocks at a time and level by level, and blocks then trace their part. Only the cells of the result, the audit and the digest,
+are made in one pass over a conversation, as a stream.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zerotally.workspace import materialise
 
-BLOCK_ROWS = 256
+BLOCK_ROWS = 64
 BLOCK_BYTES = 4 << 20
+#: Blocks that are joined to one at a time.
+FAN_IN = 64
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 #: Last written: nothing, a system turn, a user turn, an assistant turn.
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -152,6 +155,18 @@ def cheapest(rows: Sequence[Row], start: int = START, end: int | None = None) ->
     return None if cost is None else (cost, "".join(a[0] for a in trace(lattice, start)))
 
 
+def ways(lattice_to: Callable[[int], Lattice]) -> dict[tuple[int, int], tuple[int, list[Arc]]]:
+    """Cost and arcs of the cheapest way between every two states; the prices of one end serve all entries."""
+    found = {}
+    for e in range(STATES):
+        lattice = lattice_to(e)
+        for q in range(STATES):
+            cost = auction(lattice, q)
+            if cost is not None:
+                found[q, e] = cost, trace(lattice, q)
+    return found
+
+
 def repaired(audit: str, turns: Sequence[Line], start: int = START) -> Iterator[str]:
     """The lines that the edits leave."""
     state, rows = start, iter(turns)
@@ -351,16 +366,27 @@ def seen_earlier(blocks: DataFrame) -> DataFrame:
     return again.groupBy("conv_id", "part", "place").agg(F.collect_list("at").alias("seen"))
 
 
+def numbered(blocks: DataFrame) -> DataFrame:
+    """Blocks with `at`, their place in the conversation, and `seen`. One short row per conversation and task is summed."""
+    offset = F.coalesce(F.sum("n").over(Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = (blocks.groupBy("conv_id", "part").agg((F.max("place") + 1).alias("n"))
+             .select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"), offset.alias("_offset")))
+    seen = seen_earlier(blocks).select(*(F.col(c).alias(f"_{c}") for c in ("conv_id", "part", "place")), "seen")
+    here = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part"))
+    rows = blocks.join(parts, here).select("conv_id", "part", "place", (F.col("place") + F.col("_offset")).alias("at"), "turns", "roles", "texts")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("conv_id", "part", "place")]
+    return rows.join(seen, same, "left").select("conv_id", "at", "turns", "roles", "texts", "seen")
+
+
 def block_rows(record: dict) -> list[Row]:
     return faults(list(zip(record["roles"], record["texts"])), record["seen"] or ())
 
 
-def ways_of(found: dict[tuple[int, int], tuple[int, object]]) -> dict:
-    """Costs, and the order of the ways that leave one entry state, of all pairs of states."""
+def priced(found: dict[tuple[int, int], tuple[int, list[Arc]]]) -> dict:
+    """Costs of the ways of all pairs of states, and how the letters of those from one entry state sort."""
     rank = [None] * STATES ** 2
     for q in range(STATES):
-        ends = sorted((way, e) for (s, e), (_, way) in found.items() if s == q)
-        for place, (_, e) in enumerate(ends):
+        for place, (_, e) in enumerate(sorted(([a[0] for a in way], e) for (s, e), (_, way) in found.items() if s == q)):
             rank[STATES * q + e] = place
     pairs = [(q, e) for q in range(STATES) for e in range(STATES)]
     return {"cost": [found[p][0] if p in found else None for p in pairs], "rank": rank}
@@ -368,7 +394,7 @@ def ways_of(found: dict[tuple[int, int], tuple[int, object]]) -> dict:
 
 def price_blocks(blocks: DataFrame, head: str) -> DataFrame:
     """Costs and ranks of the ways through every block, and its tally."""
-    spec = f"conv_id {head}, part int, place long, {_WAYS}, {_TALLY}"
+    spec = f"conv_id {head}, at long, {_WAYS}, {_TALLY}"
     schema = _arrow(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,15 +403,14 @@ def price_blocks(blocks: DataFrame, head: str) -> DataFrame:
                 for i in range(batch.num_rows):
                     r = batch.slice(i, 1).to_pylist()[0]
                     rows = block_rows(r)
-                    found = {(q, e): cheapest(rows, q, e) for q in range(STATES) for e in range(STATES)}
-                    yield {"conv_id": r["conv_id"], "part": r["part"], "place": r["place"], **tally(r["turns"], rows),
-                           **ways_of({p: w for p, w in found.items() if w})}, 500
+                    found = ways(lambda e: edit_lattice(rows, e))
+                    yield {"conv_id": r["conv_id"], "at": r["at"], **tally(r["turns"], rows), **priced(found)}, 500
         return _rows_of(_by_size(items()), schema)
 
     return blocks.mapInArrow(run, spec)
 
 
-def border_lattice(layers: Sequence[dict], end: int | None) -> Lattice:
+def border_lattice(layers: Sequence[dict], end: int | None = None) -> Lattice:
     """A node per border and state; the letters are ranks, of which those of one entry state are told apart."""
     n = len(layers)
     arcs: list[list[Arc]] = [[] for _ in range(STATES * (n + 1) + 1)]
@@ -407,81 +432,82 @@ def border_lattice(layers: Sequence[dict], end: int | None) -> Lattice:
     return Lattice(arcs, prices, target)
 
 
-def through(layers: Sequence[dict], start: int = START, end: int | None = None) -> tuple[int, tuple[int, ...], list[int], str] | None:
-    """Cost, ranks, states at the borders and closing insertions of the cheapest way over blocks or parts."""
+def through(layers: Sequence[dict], start: int = START, end: int | None = None) -> tuple[int, list[int], str]:
+    """Cost, states at the borders and closing insertions of the cheapest way over blocks."""
     lattice = border_lattice(layers, end)
     cost = auction(lattice, start)
-    if cost is None:
-        return None
     way = trace(lattice, start)
-    inside = way[:len(layers)]
-    return cost, tuple(a[0] for a in inside), [start, *(a[2] % STATES for a in inside)], "".join(a[0] for a in way[len(layers):])
+    return cost, [start, *(a[2] % STATES for a in way[:len(layers)])], "".join(a[0] for a in way[len(layers):])
+
+
+def _group(c: str) -> Column:
+    return F.expr(f"{c} div {FAN_IN}")
 
 
-def price_parts(priced: DataFrame, head: str) -> DataFrame:
-    """The blocks of one conversation in one task as one: ways and tally."""
-    spec = f"conv_id {head}, part int, {_WAYS}, {_TALLY}"
+def price_groups(rows: DataFrame, head: str) -> DataFrame:
+    """`FAN_IN` consecutive blocks as one."""
+    spec = f"conv_id {head}, at long, {_WAYS}, {_TALLY}"
     schema = _arrow(spec)
 
     def run(table: pa.Table) -> pa.Table:
-        layers = sorted(table.to_pylist(), key=lambda r: r["place"])
-        found = {(q, e): through(layers, q, e) for q in range(STATES) for e in range(STATES)}
-        return pa.Table.from_pylist([{"conv_id": layers[0]["conv_id"], "part": layers[0]["part"], **joined(layers),
-                                      **ways_of({p: w[:2] for p, w in found.items() if w})}], schema=schema)
+        layers = sorted(table.to_pylist(), key=lambda r: r["at"])
+        found = ways(lambda e: border_lattice(layers, e))
+        return pa.Table.from_pylist([{"conv_id": layers[0]["conv_id"], "at": layers[0]["at"] // FAN_IN, **joined(layers), **priced(found)}], schema=schema)
 
-    return priced.groupBy("conv_id", "part").applyInArrow(run, spec)
+    return rows.withColumn("above", _group("at")).groupBy("conv_id", "above").applyInArrow(run, spec)
 
 
-def choose_parts(parts: DataFrame, head: str) -> DataFrame:
-    """Per part: the states at its borders; of its conversation the counts, the cost and the closing insertions."""
-    counts = ", ".join(f"{c} long" for c in [*COUNTS, "cost"])
-    spec = f"conv_id {head}, part int, entry int, leave int, final boolean, closing string, {counts}"
+def choose_last(rows: DataFrame, head: str) -> DataFrame:
+    """Per block of the last level: the states at its borders; of its conversation the counts, the cost, the closing
+    insertions."""
+    spec = f"conv_id {head}, at long, entry int, leave int, closing string, " + ", ".join(f"{c} long" for c in [*COUNTS, "cost"])
     schema = _arrow(spec)
 
     def run(table: pa.Table) -> pa.Table:
-        layers = sorted(table.to_pylist(), key=lambda r: r["part"])
-        cost, _, states, closing = through(layers)
-        return pa.Table.from_pylist([{"conv_id": r["conv_id"], "part": r["part"], "entry": a, "leave": b, "cost": cost,
-                                      "final": r is layers[-1], "closing": closing, **added(layers)}
+        layers = sorted(table.to_pylist(), key=lambda r: r["at"])
+        cost, states, closing = through(layers)
+        return pa.Table.from_pylist([{"conv_id": r["conv_id"], "at": r["at"], "entry": a, "leave": b, "cost": cost,
+                                      "closing": closing if r is layers[-1] else None, **added(layers)}
                                      for r, a, b in zip(layers, states, states[1:])], schema=schema)
 
-    return parts.groupBy("conv_id").applyInArrow(run, spec)
+    return rows.groupBy("conv_id").applyInArrow(run, spec)
 
 
-def choose_blocks(priced: DataFrame, chosen: DataFrame, head: str) -> DataFrame:
-    """Per block the states at its borders, and the insertions that close the conversation after its last block."""
-    spec = f"conv_id {head}, part int, place long, entry int, leave int, closing string"
+def choose_within(rows: DataFrame, above: DataFrame, head: str) -> DataFrame:
+    """Per block the states at its borders, from those of the group it is in; `closing` is set on the very last."""
+    spec = f"conv_id {head}, at long, entry int, leave int, closing string"
     schema = _arrow(spec)
-    here = chosen.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), "entry", "leave", F.when(F.col("final"), F.col("closing")).alias("closing"))
-    rows = priced.select("conv_id", "part", "place", "cost", "rank").join(here, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
+    above = above.select(F.col("conv_id").alias("_conv"), F.col("at").alias("above"), "entry", "leave", "closing")
+    rows = (rows.select("conv_id", "at", "cost", "rank", _group("at").alias("_group"))
+            .join(above, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("_group") == F.col("above"))))
 
     def run(table: pa.Table) -> pa.Table:
-        layers = sorted(table.to_pylist(), key=lambda r: r["place"])
-        _, _, states, _ = through(layers, layers[0]["entry"], layers[0]["leave"])
-        return pa.Table.from_pylist([{"conv_id": r["conv_id"], "part": r["part"], "place": r["place"], "entry": a, "leave": b,
-                                      "closing": (r["closing"] or "") if r is layers[-1] else ""}
+        layers = sorted(table.to_pylist(), key=lambda r: r["at"])
+        _, states, _ = through(layers, layers[0]["entry"], layers[0]["leave"])
+        return pa.Table.from_pylist([{"conv_id": r["conv_id"], "at": r["at"], "entry": a, "leave": b,
+                                      "closing": r["closing"] if r is layers[-1] else None}
                                      for r, a, b in zip(layers, states, states[1:])], schema=schema)
 
-    return rows.groupBy("conv_id", "part").applyInArrow(run, spec)
+    return rows.groupBy("conv_id", "above").applyInArrow(run, spec)
 
 
 def edited(blocks: DataFrame, chosen: DataFrame, head: str) -> DataFrame:
     """Per block its part of the audit and of the repaired text (null where it leaves no line)."""
-    spec = f"conv_id {head}, part int, place long, audit string, text string"
+    spec = f"conv_id {head}, at long, audit string, text string"
     schema = _arrow(spec)
-    keys = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("conv_id", "part", "place")]
-    rows = blocks.select("conv_id", "part", "place", "roles", "texts", "seen").join(
-        chosen.select(*(F.col(c).alias(f"_{c}") for c in ("conv_id", "part", "place")), "entry", "leave", "closing"), keys)
+    chosen = chosen.select(F.col("conv_id").alias("_conv"), F.col("at").alias("_at"), "entry", "leave", "closing")
+    rows = (blocks.select("conv_id", "at", "roles", "texts", "seen")
+            .join(chosen, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("at") == F.col("_at"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def items():
             for batch in batches:
                 for i in range(batch.num_rows):
                     r = batch.slice(i, 1).to_pylist()[0]
-                    audit = cheapest(block_rows(r), r["entry"], r["leave"])[1] + r["closing"]
+                    audit = cheapest(block_rows(r), r["entry"], r["leave"])[1] + (r["closing"] or "")
                     lines = list(repaired(audit, list(zip(r["roles"], r["texts"])), r["entry"]))
                     text = "\n".join(lines) if lines else None
-                    yield {"conv_id": r["conv_id"], "part": r["part"], "place": r["place"], "audit": audit, "text": text}, len(text or "")
+                    yield {"conv_id": r["conv_id"], "at": r["at"], "audit": audit, "text": text}, len(text or "")
         return _rows_of(_by_size(items()), schema)
 
     return rows.mapInArrow(run, spec)
@@ -491,13 +517,13 @@ def assembled(pieces: DataFrame, head: str) -> DataFrame:
     """conv_id, audit, repaired_sha256 of pieces in order: the text streams through the digest and is never held."""
     spec = f"conv_id {head}, audit string, repaired_sha256 string"
     schema = _arrow(spec)
-    ordered = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "part", "place")
+    ordered = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def items():
             conv, letters, hashed, lines = None, None, None, 0
             for batch in batches:
-                for c, audit, text in zip(*(batch.column(k).to_pylist() for k in (0, 3, 4))):
+                for c, audit, text in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
                     if letters is None or c != conv:
                         if letters is not None:
                             yield {"conv_id": conv, "audit": "".join(letters), "repaired_sha256": hashed.hexdigest()}, len(letters)
@@ -529,13 +555,15 @@ def repair(turns: DataFrame) -> DataFrame:
     found = materialise(first_pass(in_order(filled), head), "conversations")
     whole = found.where("part IS NULL").select("conv_id", *COUNTS, "cost", "audit", "repaired_sha256")
     blocks = found.where("part IS NOT NULL").drop(*COUNTS, "cost", "audit", "repaired_sha256")
-    seen = seen_earlier(blocks)
-    keys = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("conv_id", "part", "place")]
-    blocks = materialise(blocks.drop("digests").join(seen.select(*(F.col(c).alias(f"_{c}") for c in ("conv_id", "part", "place")), "seen"), keys, "left")
-                         .drop("_conv_id", "_part", "_place"), "blocks")
-    priced = materialise(price_blocks(blocks, head), "priced")
-    chosen = materialise(choose_parts(price_parts(priced, head), head), "chosen")
-    texts = assembled(edited(blocks, choose_blocks(priced, chosen, head), head), head)
-    totals = chosen.where("final").select(F.col("conv_id").alias("_conv"), *COUNTS, "cost")
-    split = texts.join(totals, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(*whole.columns)
-    return whole.unionByName(split)
+    blocks = materialise(numbered(blocks), "blocks")
+    levels = [materialise(price_blocks(blocks, head), "priced")]
+    last = levels[0].agg(F.max("at")).first()[0] or 0
+    while last >= FAN_IN:
+        levels.append(materialise(price_groups(levels[-1], head), "priced"))
+        last //= FAN_IN
+    chosen = top = materialise(choose_last(levels.pop(), head), "chosen")
+    for level in reversed(levels):
+        chosen = materialise(choose_within(level, chosen, head), "chosen")
+    totals = top.where("closing IS NOT NULL").select(F.col("conv_id").alias("_conv"), *COUNTS, "cost")
+    split = assembled(edited(blocks, chosen, head), head).join(totals, F.col("conv_id").eqNullSafe(F.col("_conv")))
+    return whole.unionByName(split.select(*whole.columns))

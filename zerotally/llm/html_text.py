@@ -9,7 +9,7 @@ menus, forms, adverts and other elements that their tag or class gives away, and
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from hashlib import blake2b
 from html.parser import HTMLParser
 
@@ -44,6 +44,7 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising adsense banne
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "thead", "tfoot"},
              "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
              "option": {"option", "optgroup"}, "tbody": {"tbody", "tfoot"}, "thead": {"tbody", "tfoot"}}
+CLOSES = {tag: [kind for kind, by in CLOSED_BY.items() if tag in by] for by in CLOSED_BY.values() for tag in by}
 #: Start tags that end an open paragraph.
 BLOCKS = frozenset("address article aside blockquote center details dialog dir div dl dt dd fieldset figcaption figure footer "
                    "form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tr td th tbody "
@@ -51,6 +52,7 @@ BLOCKS = frozenset("address article aside blockquote center details dialog dir d
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An open element of these kinds is not closed from inside by another element's tag.
 SCOPES = frozenset("article aside body button div footer form header html main nav section table td th ul ol".split())
+LISTS = frozenset("ul ol table select dl".split())
 
 
 class Node:
@@ -79,9 +81,8 @@ class TreeBuilder(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self._close_to("p", SCOPES)
-        for kind in CLOSED_BY:
-            if tag in CLOSED_BY[kind]:
-                self._close_to(kind, {"ul", "ol", "table", "select", "dl"} if kind != "tr" else {"table"})
+        for kind in CLOSES.get(tag, ()):
+            self._close_to(kind, LISTS)
         node = Node(tag, marked(attrs) if attrs else False)
         self.open[-1].children.append(node)
         if tag not in VOID:
@@ -96,6 +97,9 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data):
         self.open[-1].children.append(data)
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not asked for
+
     def _close_to(self, tag, limits):
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
@@ -112,15 +116,17 @@ def parse(html: str) -> Node:
     return builder.root
 
 
-def walk(node: Node) -> Iterator[tuple[Node, bool]]:
-    """Every element twice, when it opens (True) and when it closes, however deep the page nests."""
+def walk(node: Node, closed: Collection[int] = ()) -> Iterator[tuple[Node, bool]]:
+    """Every element twice, when it opens (True) and when it closes, however deep the page nests; what is in the elements
+    `closed` (by id) is passed over."""
     stack = [(node, True)]
     while stack:
         at, opens = stack.pop()
         yield at, opens
         if opens:
             stack.append((at, False))
-            stack.extend((c, True) for c in reversed(at.children) if not isinstance(c, str))
+            if id(at) not in closed:
+                stack.extend((c, True) for c in reversed(at.children) if not isinstance(c, str))
 
 
 def furniture(node: Node, inside: bool) -> bool:
@@ -153,15 +159,17 @@ def article_of(root: Node) -> list[Node]:
 
 
 class Hashes:
-    """A hash of every element's subtree (tags and text), and how its text is made up."""
+    """A hash of every element's subtree (tags and text), and how its text is made up. Articles without a link are left
+    out: neither they nor anything in them or around them can be a template."""
 
-    def __init__(self, root: Node):
+    def __init__(self, root: Node, articles: list[Node]):
+        left_out = {id(a) for a in articles if not any(n.tag == "a" for n, _ in walk(a))}
         self.of: dict[int, int] = {}
         self.words: dict[int, int] = {}
         self.letters: dict[int, tuple[int, int]] = {}  # all, and those inside links
         self.plain: dict[int, bool] = {}  # text and inline elements only
-        for node, opens in walk(root):
-            if opens:
+        for node, opens in walk(root, left_out):
+            if opens or id(node) in left_out:
                 continue
             h, words, all_, linked, plain = blake2b(node.tag.encode(), digest_size=8), 0, 0, 0, True
             for c in node.children:
@@ -173,7 +181,7 @@ class Hashes:
                         n = sum(map(len, parts))
                         all_ += n
                         linked += n if node.tag == "a" else 0
-                else:
+                elif id(c) not in left_out:
                     h.update(b"\x01" + self.of[id(c)].to_bytes(8, "big", signed=True))
                     words += self.words[id(c)]
                     n, k = self.letters[id(c)]
@@ -181,6 +189,7 @@ class Hashes:
                     plain = plain and c.tag in INLINE and self.plain[id(c)]
             self.of[id(node)] = int.from_bytes(h.digest(), "big", signed=True)
             self.words[id(node)], self.letters[id(node)], self.plain[id(node)] = words, (all_, linked), plain
+        self.left_out = left_out
 
 
 def candidates(root: Node, articles: list[Node], hashes: Hashes) -> dict[int, int]:
@@ -190,11 +199,11 @@ def candidates(root: Node, articles: list[Node], hashes: Hashes) -> dict[int, in
     tops = {id(a) for a in articles}
     if tops:
         path = []
-        for node, opens in walk(root):
+        for node, opens in walk(root, tops):
             path.append(id(node)) if opens else path.pop()
             if opens and id(node) in tops:
                 holds.update(path)
-    for node, opens in walk(root):
+    for node, opens in walk(root, hashes.left_out):
         inside += (1 if opens else -1) * (id(node) in tops)
         if not opens or id(node) in holds or node.tag in ("html", "body", "#page") or node.tag in INLINE:
             continue
@@ -260,13 +269,13 @@ def site_rows(html: str) -> tuple[int, list[int]]:
     root = parse(html)
     articles = article_of(root)
     main = blake2b(text_of(root, articles).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-    return int.from_bytes(main, "big", signed=True), sorted(set(candidates(root, articles, Hashes(root)).values()))
+    return int.from_bytes(main, "big", signed=True), sorted(set(candidates(root, articles, Hashes(root, articles)).values()))
 
 
 def main_text(html: str, templates: frozenset[int]) -> str:
     root = parse(html)
     articles = article_of(root)
-    found = candidates(root, articles, Hashes(root)) if templates else None
+    found = candidates(root, articles, Hashes(root, articles)) if templates else None
     return text_of(root, articles, templates, found)
 
 
