@@ -112,3 +112,96 @@ def test_prediction_summary_leaves_nulls_out_of_the_mean(spark):
     got = {r["g"]: r for r in profiles.prediction_summary(df, ["g"], "p").collect()}
     assert (got["a"]["n"], got["a"]["ids"], got["a"]["mean_pred"]) == (3, 2, 3.0)
     assert (got["b"]["n"], got["b"]["mean_pred"]) == (1, None)
+
+
+def test_running_sums_of_doubles_and_nulls(spark):
+    rows = [(i, i % 5, None if i < 40 or i % 7 == 0 else i / 4) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, k int, v double").repartition(6)
+    run, total = {}, None
+    for i, k, v in sorted(rows, key=lambda r: (r[0],)):
+        total = total if v is None else (total or 0.0) + v
+        run[i] = total
+    got = {r["id"]: r["run"] for r in ranking.with_running_sum(df, ["id"], "v", "run").collect()}
+    assert got.keys() == run.keys()
+    assert all(got[i] == run[i] if run[i] is None else math.isclose(got[i], run[i]) for i in run)
+
+
+def test_a_running_sum_beyond_64_bits_raises(spark):
+    df = spark.createDataFrame([(i, 1 << 62) for i in range(4)], "id long, v long").coalesce(1)
+    with pytest.raises(Exception):
+        ranking.with_running_sum(df, ["id"], "v", "run").collect()
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("Exchange ", 1)[1].split("(")[0] for line in plan.splitlines() if "Exchange " in line and "Broadcast" not in line]
+
+
+def test_scans_need_one_exchange_on_the_key(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("v"))
+    assert _exchanges(ranking.prefix_scan(df, [F.col("id")], {"run": "v"})) == ["rangepartitioning"]
+    moved = _exchanges(ranking.tied_products(df, F.col("v"), F.lit(1), F.lit(1)))
+    assert len(moved) == 2 and moved[0].startswith("SinglePartition")  # a row per partition
+    assert moved[1] == "rangepartitioning"
+    assert _exchanges(ranking.with_running_sum(df, ["id"], "v", "run")).count("rangepartitioning") == 0  # read back, not sorted again
+
+
+@pytest.mark.parametrize("parts", [1, 4, 17])
+def test_tied_products_with_ties_over_partitions_nulls_and_nan(spark, parts):
+    rng = random.Random(parts)
+    rows = [(i, rng.choice([None, float("nan"), -0.0, 0.0, 1.5, 1.5, 1.5, rng.random()]), rng.randrange(4), rng.randrange(3)) for i in range(800)]
+    df = spark.createDataFrame(rows, "id long, k double, a int, b int").repartition(parts)
+    order = lambda k: (0, 0.0) if k is None else (2, 0.0) if k != k else (1, k + 0.0)
+    want = sum(a * b * (1.0 if order(j) < order(k) else 0.5 if order(j) == order(k) else 0.0) for _, k, a, _ in rows for _, j, _, b in rows)
+    for exchange in ("4", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", exchange)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            got = ranking.tied_products(df, F.col("k"), F.col("a"), F.col("b")).first()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert (got["a"], got["b"]) == (sum(r[2] for r in rows), sum(r[3] for r in rows))
+        assert math.isclose(got["cross"], want, rel_tol=1e-12)
+    none = ranking.tied_products(df.where("id < 0"), F.col("k"), F.col("a"), F.col("b")).first()
+    assert tuple(none) == (0.0, 0.0, 0.0)
+
+
+def test_quantiles_narrow_their_brackets(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    data = {"smooth": rng.normal(size=20_000), "tied": np.r_[np.full(7000, 3.0), rng.integers(0, 9, 9000)], "few": np.arange(3.0)}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in data.items() for v in vs], "g string, x double").repartition(3)
+    monkeypatch.setattr(ranking, "SMALL_BRACKET", 50)
+    held = []
+    inner = ranking._ranked
+    monkeypatch.setattr(ranking, "_ranked", lambda rows, wanted, by: (held.append(
+        ranking._bracketed(rows, wanted, by).where("_v BETWEEN _lo AND _hi").groupBy(*by, "prob").agg(F.countDistinct("_v").alias("n")).collect()),
+        inner(rows, wanted, by))[1])
+    probs = [0.0, 0.25, 0.5, 0.999, 1.0]
+    got = {(r["g"], r["prob"]): r["quantile"] for r in ranking.exact_quantiles(df, ["g"], "x", probs).collect()}
+    for g, vs in data.items():
+        for p in probs:
+            assert math.isclose(got[g, p], np.quantile(vs, p), rel_tol=1e-12, abs_tol=1e-12)
+    assert len(held) == 1 and max(r["n"] for r in held[0]) < 200  # of 20,000 different values
+
+
+def test_a_bracket_that_misses_is_looked_for_again(spark, monkeypatch):
+    df = spark.createDataFrame([("g", float(i)) for i in range(999)], "g string, x double")
+    inner, wrong = ranking._narrowed, iter([True])
+    def off(*args):
+        lo, hi, held = inner(*args)
+        return [F.lit(-5.0).alias("_lo"), F.lit(-4.0).alias("_hi"), held] if next(wrong, False) else [lo, hi, held]
+    monkeypatch.setattr(ranking, "_narrowed", off)
+    assert [r["quantile"] for r in ranking.exact_quantiles(df, ["g"], "x", [0.25]).collect()] == [249.5]
+
+
+def test_quantiles_of_the_whole_frame(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(101)], "x double")
+    assert {r["prob"]: r["quantile"] for r in ranking.exact_quantiles(df, [], "x", [0.1, 0.5]).collect()} == {0.1: 10.0, 0.5: 50.0}
+
+
+def test_histogram_hands_on_bins_and_not_values(spark):
+    df = spark.range(50_000).select((F.col("id") % 2).alias("g"), F.rand(1).alias("value"))
+    plan = profiles.histogram(df, ["g"], "value", 10)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert "partial_count(1)" in plan and moved and not any("_v#" in line or "value#" in line for line in moved)

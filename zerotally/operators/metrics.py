@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zerotally import fixed
-from zerotally.operators.ranking import before, range_sorted
+from zerotally.operators.ranking import before, range_sorted, tied_products
 
 
 def rmse(df: DataFrame, y: str, pred: str) -> DataFrame:
@@ -43,20 +43,11 @@ def normalized_gini(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 
 def perfect_gini(df: DataFrame, y: str) -> DataFrame:
-    """Gini of counts ordered by themselves, from their distinct values and multiplicities."""
-    counted = df.groupBy(F.col(y).cast("double").alias("_y")).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = range_sorted(counted, F.col("_y").desc())
-    inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    local = ranked.withColumn("_ahead", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
-    # ranks ahead+1 .. ahead+c share one value: their (n - rank + 1) add up in closed form
-    c, y_, ahead = F.col("_c").cast("double"), F.col("_y"), F.col("_ahead")
-    parts = local.groupBy("_part").agg(
-        F.sum("_c").alias("_n"), F.sum(c * y_).alias("_s"),
-        F.sum(y_ * (c * ahead + c * (c - 1) / 2)).alias("_w"))
-    total = before(parts, "_n", "_start").agg(
-        F.sum("_n").alias("n"), F.sum("_s").alias("s"),
-        F.sum(F.col("_w") + F.col("_start") * F.col("_s")).alias("w"))
-    n, s, w = F.col("n"), F.col("s"), F.col("w")
+    """Gini of counts ordered by themselves. Ranks ahead + 1 .. ahead + c that share one value add up in closed form, so
+    equal counts need no order and one exchange of partly tallied counts is enough."""
+    y_ = F.col(y).cast("double")
+    total = tied_products(df, -y_, F.coalesce(y_, F.lit(0.0)), F.lit(1.0))
+    n, s, w = F.col("b"), F.col("a"), F.col("cross") - F.col("a") / 2
     return total.select(F.when(s != 0, ((n * s - w) / s - (n + 1) / 2) / n).alias("gini"))
 
 
@@ -70,25 +61,12 @@ def log_loss(df: DataFrame, y: str, prob: str, eps: float = 2.220446049250313e-1
 def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
     """Exact area under the ROC curve, ties counting one half; NULL with a single class.
 
-    Scores are tallied first (many rows may share one), then one sort of the distinct
-    scores gives the negatives below each.
+    Positives meet the negatives below them, and half of those that share their score, in one pass over the sorted scores.
     """
-    hit = F.col(y) > 0
-    tallied = df.groupBy(F.col(score).alias("_s")).agg(
-        F.sum(F.when(hit, 1).otherwise(0)).alias("_pos_n"),
-        F.sum(F.when(hit, 0).otherwise(1)).alias("_neg_n"))
-    ranked = range_sorted(tallied, F.col("_s").asc())
-    inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    local = ranked.withColumn("_below", F.coalesce(F.sum("_neg_n").over(inside), F.lit(0)))
-    pos, neg = F.col("_pos_n").cast("double"), F.col("_neg_n").cast("double")
-    parts = local.groupBy("_part").agg(
-        F.sum("_pos_n").alias("_p"), F.sum("_neg_n").alias("_n"),
-        F.sum(pos * (F.col("_below") + neg / 2)).alias("_u"))
-    total = before(parts, "_n", "_start").agg(
-        F.sum(F.col("_u") + F.col("_start") * F.col("_p").cast("double")).alias("u"),
-        F.sum("_p").cast("double").alias("p"), F.sum("_n").cast("double").alias("n"))
-    pairs = F.col("p") * F.col("n")
-    return total.select(F.when(pairs > 0, F.col("u") / pairs).alias("auc"))
+    hit = F.when(F.col(y) > 0, 1.0).otherwise(0.0)
+    total = tied_products(df, F.col(score), hit, 1.0 - hit)
+    pairs = F.col("a") * F.col("b")
+    return total.select(F.when(pairs > 0, F.col("cross") / pairs).alias("auc"))
 
 
 def report(df: DataFrame, label: str, y: str, pred: str, aic: float | None = None) -> DataFrame:

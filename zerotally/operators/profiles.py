@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from zerotally import fixed
 from zerotally.functions import scalars as S
 from zerotally.operators.ranking import exact_quantiles
+from zerotally.workspace import materialise
 
 _QUARTILES = {0.25: "q1", 0.5: "median", 0.75: "q3"}
 
@@ -46,19 +47,17 @@ def dispersion(df: DataFrame, by: list[str], y: str = fixed.TARGET) -> DataFrame
 def histogram(df: DataFrame, by: list[str], value: str, bins: int = fixed.HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins between each group's extremes, the last one closed.
 
-    Values are counted first, so that both the extremes and the bins come from one scan.
+    One scan finds the extremes, the next counts bins; what tasks hand on is a row per group, and one per group and bin.
     """
-    counted = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v"))
-               .agg(F.count(F.lit(1)).alias("_c")))
-    edges = counted.groupBy(*by).agg(F.min("_v").alias("lo"), F.max("_v").alias("_hi"))
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    edges = rows.groupBy(*by).agg(F.min("_v").alias("lo"), F.max("_v").alias("_hi"))
     flat = F.col("_hi") == F.col("lo")
-    edges = edges.select(
+    edges = materialise(edges.select(
         *by,
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.lit(1.0)).otherwise(F.col("_hi") - F.col("lo")).alias("_span"))
+        F.when(flat, F.lit(1.0)).otherwise(F.col("_hi") - F.col("lo")).alias("_span")), "edges")
     bin_no = F.least(F.floor((F.col("_v") - F.col("lo")) * bins / F.col("_span")), F.lit(bins - 1))
-    filled = (counted.join(edges, by).groupBy(*by, bin_no.cast("int").alias("bin"))
-              .agg(F.sum("_c").alias("n")))
+    filled = rows.join(edges, by).groupBy(*by, bin_no.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return (every.join(filled, [*by, "bin"], "left")
             .select(*by, "bin",
@@ -110,8 +109,8 @@ def box_statistics(long: DataFrame, by: list[str], value: str = "value") -> Data
     """Quartiles, whiskers at the last value within 1.5 IQR, and the number of outliers."""
     rows = long.where(F.col(value).isNotNull())
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fences = quartiles(rows, by, value).select(
-        "*", (F.col("q1") - reach).alias("_lo"), (F.col("q3") + reach).alias("_hi"))
+    fences = materialise(quartiles(rows, by, value).select(
+        "*", (F.col("q1") - reach).alias("_lo"), (F.col("q3") + reach).alias("_hi")), "fences")
     inside = F.col(value).between(F.col("_lo"), F.col("_hi"))
     stats = rows.join(fences.select(*by, "_lo", "_hi"), by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
