@@ -106,3 +106,15 @@ def test_registered_query_against_plain_reading(spark, folder):
         want[r["page_id"]] = "\n".join(b for b in blocks if b)
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in QUERIES["op11_html_text"](spark, folder).collect()}
     assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
+def test_broken_markup():
+    assert one("a < b and c <3 <p>d <1 e</p>") == "a < b and c <3\nd <1 e"
+    assert one("<p title='x > y' class=\"lead\">kept</p><p don't>too</p>") == "kept\ntoo"
+    assert one("<p>end <div class=\"cut") == "end"
+    assert one("<p>a<!-- never closed <p>b") == "a" and one("<p>a<!-->b<!doctype x><?php x ?></>c") == "abc"
+    assert one("<head><title>T</title><meta x><body><p>body") == "body" and one("<title>T</title>text") == "text"
+    assert one("<head>text in a head") == "text in a head"
+    assert one("<script>if (a</b) '<p>no'</SCRIPT ><p>yes<style>p{}") == "yes"
+    assert one("<P CLASS=Ad>no</P><DIV ID='Main'>yes</DIV>") == "yes"
+    assert one('<p a="' + "x" * 200_000) == "" and one("<p>" + "<a =\"" * 20_000) == ""

@@ -9,13 +9,13 @@ menus, forms, adverts and other elements that their tag or class gives away, and
 from __future__ import annotations
 
 import re
-from collections.abc import Collection, Iterator
-from hashlib import blake2b
-from html.parser import HTMLParser
+from collections.abc import Iterator
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_hexdigest, xxh3_64_intdigest
 
 from zerotally.llm.url_filter import split_url
 from zerotally.workspace import materialise
@@ -32,7 +32,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var br wbr img".split())
 #: Elements whose text is no part of any article.
-DROPPED = frozenset("head script style noscript template nav footer aside form button input select textarea option iframe "
+DROPPED = frozenset("head title xmp noembed noframes script style noscript template nav footer aside form button input select textarea option iframe "
                     "object svg canvas audio video dialog menu".split())
 #: Words of a class, id or role that mark furniture.
 MARKS = frozenset("ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion "
@@ -53,52 +53,64 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An open element of these kinds is not closed from inside by another element's tag.
 SCOPES = frozenset("article aside body button div footer form header html main nav section table td th ul ol".split())
 LISTS = frozenset("ul ol table select dl".split())
+#: What can stand in a head; any other start tag ends it.
+IN_HEAD = frozenset("html head title base link meta script style noscript template bgsound".split())
 
 
 class Node:
-    __slots__ = ("tag", "marked", "children")
+    """An element. The slots from `hash` on are filled by `candidates`."""
+    __slots__ = ("tag", "marked", "parent", "children", "hash", "words", "letters", "linked", "plain", "inside")
 
-    def __init__(self, tag: str, marked: bool = False):
-        self.tag, self.marked, self.children = tag, marked, []
+    def __init__(self, tag: str, marked: bool = False, parent: "Node | None" = None):
+        self.tag, self.marked, self.parent, self.children = tag, marked, parent, []
 
 
-def marked(attrs: list[tuple[str, str | None]]) -> bool:
-    for name, value in attrs:
-        if name in ("class", "id", "role") and value:
-            if not MARKS.isdisjoint(re.split(r"[^a-z]+", value.lower())):
-                return True
+#: Comments, declarations and tags as HTML reads them; a quote matters after = only.
+TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"'=]+|=\s*"[^"]*"|=\s*'[^']*'|[="'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+#: Elements whose content is text up to their end tag.
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in "script style textarea title xmp iframe noembed noframes".split()}
+
+
+def marked(attributes: str) -> bool:
+    for name, *values in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role") and not MARKS.isdisjoint(re.split(r"[^a-z]+", "".join(values).lower())):
+            return True
     return False
 
 
-class TreeBuilder(HTMLParser):
+class TreeBuilder:
     """Elements and decoded text; unclosed elements end where an element after them, or the page, says so."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = Node("#page")
         self.open = [self.root]
+        self.landmarks: dict[str, list[Node]] = {"article": [], "main": []}  # in page order
+        self.with_links: set[int] = set()  # those that hold a link
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str, attributes: str) -> None:
+        if tag not in IN_HEAD:
+            self._close_to("head", SCOPES - {"html"})
         if tag in BLOCKS:
             self._close_to("p", SCOPES)
         for kind in CLOSES.get(tag, ()):
             self._close_to(kind, LISTS)
-        node = Node(tag, marked(attrs) if attrs else False)
+        node = Node(tag, "=" in attributes and marked(attributes), self.open[-1])
         self.open[-1].children.append(node)
+        if tag in self.landmarks:
+            self.landmarks[tag].append(node)
+        elif tag == "a":
+            self.with_links.update(id(n) for n in self.open if n.tag in self.landmarks)
         if tag not in VOID:
             self.open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)  # a slash does not close an element of HTML
-
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         self._close_to(tag, SCOPES - {tag} if tag in INLINE or tag == "p" else ())
 
-    def handle_data(self, data):
-        self.open[-1].children.append(data)
-
-    def updatepos(self, i, j):
-        return j  # line numbers are not asked for
+    def text(self, data: str) -> None:
+        if self.open[-1].tag == "head" and data.strip():
+            self.open.pop()
+        self.open[-1].children.append(unescape(data) if "&" in data else data)
 
     def _close_to(self, tag, limits):
         for i in range(len(self.open) - 1, 0, -1):
@@ -109,24 +121,31 @@ class TreeBuilder(HTMLParser):
                 return
 
 
-def parse(html: str) -> Node:
-    builder = TreeBuilder()
-    builder.feed(html)
-    builder.close()
-    return builder.root
-
-
-def walk(node: Node, closed: Collection[int] = ()) -> Iterator[tuple[Node, bool]]:
-    """Every element twice, when it opens (True) and when it closes, however deep the page nests; what is in the elements
-    `closed` (by id) is passed over."""
-    stack = [(node, True)]
-    while stack:
-        at, opens = stack.pop()
-        yield at, opens
-        if opens:
-            stack.append((at, False))
-            if id(at) not in closed:
-                stack.extend((c, True) for c in reversed(at.children) if not isinstance(c, str))
+def parse(html: str) -> TreeBuilder:
+    """The page as a tree. What is open at the end is closed there; a tag that the end cuts off is no text."""
+    tree, at = TreeBuilder(), 0
+    while True:
+        found = TOKEN.search(html, at)
+        if found is None:
+            break
+        if found.start() > at:
+            tree.text(html[at:found.start()])
+        at = found.end()
+        tag = found.group(2)
+        if tag is None or html[at - 1] != ">":
+            continue
+        tag = tag.lower()
+        if found.group(1):
+            tree.end(tag)
+            continue
+        tree.start(tag, found.group(3))
+        if tag in RAW:
+            close = RAW[tag].search(html, at)
+            tree.end(tag)
+            at = close.start() if close else len(html)
+    if at < len(html):
+        tree.text(html[at:])
+    return tree
 
 
 def furniture(node: Node, inside: bool) -> bool:
@@ -136,85 +155,72 @@ def furniture(node: Node, inside: bool) -> bool:
     return node.tag == "header" and not inside
 
 
-def article_of(root: Node) -> list[Node]:
+def around(node: Node) -> Iterator[Node]:
+    while node.parent is not None:
+        node = node.parent
+        yield node
+
+
+def article_of(tree: TreeBuilder) -> list[Node]:
     """The outermost articles, or else main elements, that are not inside furniture and not marked; of marked or enclosed
     ones only if there are no others. Empty for a page without."""
-    for tag in ("article", "main"):
-        clean, other, depth, within = [], [], 0, 0
-        for node, opens in walk(root):
-            hit, bad = node.tag == tag, furniture(node, False) or node.marked
-            if opens:
-                if hit and not within and not bad and not depth:
-                    clean.append(node)
-                elif hit and not within:
-                    other.append(node)
-                within += hit
-                depth += bad and not hit
-            else:
-                within -= hit
-                depth -= bad and not hit
-        if clean or other:
-            return clean or other
+    for tag, found in tree.landmarks.items():
+        seen, outer = {id(n) for n in found}, []
+        for n in found:
+            if not any(id(a) in seen for a in around(n)):
+                outer.append(n)
+        clean = [n for n in outer if not n.marked and not any(furniture(a, False) for a in around(n))]
+        if outer:
+            return clean or outer
     return []
 
 
-class Hashes:
-    """A hash of every element's subtree (tags and text), and how its text is made up. Articles without a link are left
-    out: neither they nor anything in them or around them can be a template."""
-
-    def __init__(self, root: Node, articles: list[Node]):
-        left_out = {id(a) for a in articles if not any(n.tag == "a" for n, _ in walk(a))}
-        self.of: dict[int, int] = {}
-        self.words: dict[int, int] = {}
-        self.letters: dict[int, tuple[int, int]] = {}  # all, and those inside links
-        self.plain: dict[int, bool] = {}  # text and inline elements only
-        for node, opens in walk(root, left_out):
-            if opens or id(node) in left_out:
-                continue
-            h, words, all_, linked, plain = blake2b(node.tag.encode(), digest_size=8), 0, 0, 0, True
-            for c in node.children:
-                if isinstance(c, str):
-                    parts = c.split()
-                    if parts:
-                        h.update(b"\x00" + " ".join(parts).encode("utf-8", "surrogatepass"))
-                        words += len(parts)
-                        n = sum(map(len, parts))
-                        all_ += n
-                        linked += n if node.tag == "a" else 0
-                elif id(c) not in left_out:
-                    h.update(b"\x01" + self.of[id(c)].to_bytes(8, "big", signed=True))
-                    words += self.words[id(c)]
-                    n, k = self.letters[id(c)]
-                    all_, linked = all_ + n, linked + (n if node.tag == "a" else k)
-                    plain = plain and c.tag in INLINE and self.plain[id(c)]
-            self.of[id(node)] = int.from_bytes(h.digest(), "big", signed=True)
-            self.words[id(node)], self.letters[id(node)], self.plain[id(node)] = words, (all_, linked), plain
-        self.left_out = left_out
-
-
-def candidates(root: Node, articles: list[Node], hashes: Hashes) -> dict[int, int]:
-    """Hash of every element (by id) that may go if it recurs. Within an article that is a container made of links; elsewhere
-    any element with text that holds no article and is not a passage of prose."""
-    found, inside, holds = {}, 0, set()
+def candidates(tree: TreeBuilder, articles: list[Node]) -> dict[int, int]:
+    """Hash of every element's subtree (tags and text), by the element's id, that may go if it recurs. Within an article that
+    is a container made of links; elsewhere any element with text that holds no article and is not a passage of prose."""
     tops = {id(a) for a in articles}
-    if tops:
-        path = []
-        for node, opens in walk(root, tops):
-            path.append(id(node)) if opens else path.pop()
-            if opens and id(node) in tops:
-                holds.update(path)
-    for node, opens in walk(root, hashes.left_out):
-        inside += (1 if opens else -1) * (id(node) in tops)
-        if not opens or id(node) in holds or node.tag in ("html", "body", "#page") or node.tag in INLINE:
-            continue
-        letters, linked = hashes.letters[id(node)]
-        if not letters:
+    holds = {id(n) for a in articles for n in (a, *around(a))}
+    order, todo, bare = [], [tree.root], []
+    tree.root.inside = False
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        inside = node.inside or id(node) in tops
+        if id(node) in tops and id(node) not in tree.with_links:
+            node.children, kept = (), node.children  # nothing in it can be made of links
+            bare.append((node, kept))
+        for c in node.children:
+            if type(c) is Node:
+                c.inside = inside
+                todo.append(c)
+    found = {}
+    for node in reversed(order):
+        parts, words, letters, linked, plain = [node.tag], 0, 0, 0, True
+        link = node.tag == "a"
+        for c in node.children:
+            if type(c) is Node:
+                parts.append(c.hash)
+                words += c.words
+                letters += c.letters
+                linked += c.letters if link else c.linked
+                plain = plain and c.plain and c.tag in INLINE
+            else:
+                own = c.split()
+                if own:
+                    text = " ".join(own)
+                    parts.append(text)
+                    words += len(own)
+                    letters += len(text)
+                    linked += len(text) if link else 0
+        node.hash = xxh3_64_hexdigest("\0".join(parts).encode("utf-8", "surrogatepass"))
+        node.words, node.letters, node.linked, node.plain = words, letters, linked, plain
+        if not letters or id(node) in holds or node.tag in INLINE or node.tag in ("html", "body", "#page"):
             continue
-        if inside:
-            if node.tag not in HEADINGS and node.tag != "p" and 2 * linked >= letters:
-                found[id(node)] = hashes.of[id(node)]
-        elif not (hashes.plain[id(node)] and hashes.words[id(node)] >= PASSAGE_WORDS):
-            found[id(node)] = hashes.of[id(node)]
+        prose = node.tag in HEADINGS or node.tag == "p" or 2 * linked < letters if node.inside else plain and words >= PASSAGE_WORDS
+        if not prose:
+            found[id(node)] = int(node.hash, 16) - (1 << 63)
+    for node, children in bare:
+        node.children = children
     return found
 
 
@@ -266,17 +272,16 @@ def text_of(root: Node, articles: list[Node], templates: frozenset[int] = frozen
 
 def site_rows(html: str) -> tuple[int, list[int]]:
     """Digest of the main text that tags alone find, and the different hashes of the page's candidates."""
-    root = parse(html)
-    articles = article_of(root)
-    main = blake2b(text_of(root, articles).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-    return int.from_bytes(main, "big", signed=True), sorted(set(candidates(root, articles, Hashes(root, articles)).values()))
+    tree = parse(html)
+    articles = article_of(tree)
+    main = xxh3_64_intdigest(text_of(tree.root, articles).encode("utf-8", "surrogatepass"))
+    return main - (1 << 63), sorted(set(candidates(tree, articles).values()))
 
 
 def main_text(html: str, templates: frozenset[int]) -> str:
-    root = parse(html)
-    articles = article_of(root)
-    found = candidates(root, articles, Hashes(root, articles)) if templates else None
-    return text_of(root, articles, templates, found)
+    tree = parse(html)
+    articles = article_of(tree)
+    return text_of(tree.root, articles, templates, candidates(tree, articles) if templates else None)
 
 
 def site_templates(pages: DataFrame, many_pages: int = MANY_PAGES, many_share: float = MANY_SHARE) -> DataFrame:
