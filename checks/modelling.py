@@ -25,7 +25,8 @@ from zerotally.operators.segments import labelled, positives, segment
 from zerotally.operators.selection import stepwise_logit
 from zerotally.operators.views import feature_view
 from zerotally.plans import hurdle as H
-from zerotally.plans.prepare import encode_stage, prepare, prepare_all
+from zerotally.plans.prepare import Prepared, encode_stage, prepare, prepare_all
+from zerotally.sources import csv_files
 from zerotally.sources.policies import policies
 from zerotally.workspace import materialise, scratch_path
 
@@ -138,6 +139,15 @@ for _seg in SEGS:
         imputer = imputation.fit_imputer(rows.where(F.col("Sample") == "Train"))
         return imputer.predict(rows)
 
+    # the rows asked about are not those that were fitted
+    @query(f"i04_impute_unseen_after_reload_{_seg}", sql.with_(sql.training(_seg), sql.SPLIT, sql.unseen(_seg), sql.imputing("un"))
+           + "SELECT id, pol_edeliv_ind_filled FROM filled")
+    def _(spark, d, seg=_seg):
+        rows, path = policies(spark, d), scratch_path(spark, "prepared")
+        prepare(rows.where("id % 5 <> 4"), seg).save(spark, path)
+        again = Prepared.load(spark, path, seg)
+        return again.impute(rows.where("id % 5 = 4").drop(fixed.TARGET)).select(fixed.ID, fixed.FILLED)
+
     @query(f"i04_impute_with_frozen_imputer_{_seg}", sql.imputed(_seg) + "SELECT id, pol_edeliv_ind_filled FROM filled")
     def _(spark, d, seg=_seg):
         data = prepare(policies(spark, d), seg)
@@ -297,6 +307,17 @@ def m16(spark, d):
     return rounded(H.predict_unseen(fitted, train.drop(fixed.TARGET)), 4, fixed.TARGET)
 
 
+@query("m16_csv_to_scores", ALL + """, t AS (SELECT bi_limit_group = 'NonAuto' AS other, acq_method, avg(call_counts) AS mean FROM policies WHERE id % 5 <> 4 GROUP BY 1, 2)
+    SELECT id, round(mean, 4) AS call_counts FROM policies p JOIN t ON t.other = (p.bi_limit_group = 'NonAuto') AND t.acq_method = p.acq_method WHERE id % 5 = 4""")
+def m16_csv(spark, d):
+    rows, path = policies(spark, d), scratch_path(spark, "csv")
+    rows.where("id % 5 <> 4").write.csv(f"{path}/train", header=True)
+    rows.where("id % 5 = 4").drop(fixed.TARGET).write.csv(f"{path}/test", header=True)
+    H.train_from_csv(spark, f"{path}/train", f"{path}/model", nominal=[GROUP])
+    H.score_csv(spark, f"{path}/test", f"{path}/model", f"{path}/scores")
+    return rounded(csv_files.read_predictions(spark, f"{path}/scores"), 4, fixed.TARGET)
+
+
 @query("m16_score_unlabelled_rows_all_features")
 def m16_full(spark, d):
     train = materialise(policies(spark, d), "policies")
@@ -382,7 +403,7 @@ for _seg in SEGS:
             sql.levels(_seg), "f" + _where, f'"Sample", call_counts, {_pred} AS pred') + """)
     SELECT "Variable", "ValVar", "Sample", round(avg(pred), 4) AS "PredMean", round(avg(call_counts), 6) AS "ActualMean", count(*) AS "TotalCnt" FROM l GROUP BY 1, 2, 3""")
         def _(spark, d, seg=_seg, calibrate=_calibrate):
-            return rounded(rounded(calibrate(*one_category(spark, d, seg)), 4, "PredMean"), 6, "ActualMean")
+            return rounded(rounded(calibrate(*one_category(spark, d, seg)).drop("position"), 4, "PredMean"), 6, "ActualMean")
 
     @query(f"e04_stage_reports_one_category_{_seg}", sql.split(_seg) + _ONE.format(rows="sp") + f""",
     g AS (SELECT "Sample", p, count(*) FILTER (WHERE call_counts > 0) AS pos, count(*) FILTER (WHERE call_counts = 0) AS neg FROM f GROUP BY 1, 2),

@@ -64,22 +64,43 @@ SCALES = (
     "lab AS (SELECT * FROM sp WHERE \"Sample\" = 'Train' AND pol_edeliv_ind IN (0, 1, -1)),\n"
     "sc AS (SELECT " + ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_NUM))
     + " FROM lab)")
-NEIGHBOURS = f"""
+
+
+def neighbours(source: str = "sp") -> str:
+    """The five nearest training rows of the source's rows without a known flag."""
+    return f"""
 {SCALES},
 refs AS (SELECT id, pol_edeliv_ind AS label, {_SCALED}, {_FLAGS} FROM lab, sc),
-asked AS (SELECT id, {_SCALED}, {_FLAGS} FROM sp, sc WHERE pol_edeliv_ind NOT IN (0, 1, -1)),
+asked AS (SELECT id, {_SCALED}, {_FLAGS} FROM {source}, sc WHERE pol_edeliv_ind NOT IN (0, 1, -1)),
 nb AS (SELECT q.id, r.id AS nid, r.label,
               {' + '.join(f'(q.f{i} - r.f{i}) * (q.f{i} - r.f{i})' for i in range(9))} AS d2,
               row_number() OVER (PARTITION BY q.id ORDER BY d2, r.id) AS place
        FROM asked q, refs r QUALIFY place <= 5)"""
-IMPUTED = f"""
-{NEIGHBOURS},
+
+
+def imputing(source: str = "sp") -> str:
+    """The source's rows with the flag filled by the neighbours' vote."""
+    return f"""
+{neighbours(source)},
 votes AS (SELECT id, label, count(*) AS votes FROM nb GROUP BY id, label),
 imp AS (SELECT id, label AS imputed FROM votes
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) = 1),
-filled AS (SELECT sp.* EXCLUDE (pol_edeliv_ind),
+filled AS (SELECT {source}.* EXCLUDE (pol_edeliv_ind),
                   CASE WHEN pol_edeliv_ind = -2 THEN imputed ELSE pol_edeliv_ind END AS pol_edeliv_ind_filled
-           FROM sp LEFT JOIN imp USING (id))"""
+           FROM {source} LEFT JOIN imp USING (id))"""
+
+
+NEIGHBOURS, IMPUTED = neighbours(), imputing()
+
+
+def training(seg: str) -> str:
+    """The segment's rows but for every fifth id."""
+    return SEGMENT[seg].rstrip()[:-1] + " AND id % 5 <> 4)"
+
+
+def unseen(seg: str) -> str:
+    """The segment's rows of every fifth id, as `un`."""
+    return SEGMENT[seg].replace("s AS", "un AS", 1).rstrip()[:-1] + " AND id % 5 = 4)"
 
 
 def with_(*parts: str) -> str:

@@ -129,3 +129,43 @@ def test_tiles_are_bounded_but_for_copies_of_one_point(spark):
     tiled, _ = N._split_tiles(spark.createDataFrame(skewed, points.schema), ["count", "zero", "wide", "flat"], 100)
     sizes = tiled.groupBy("tile").agg(F.count("*").alias("n"), F.countDistinct("count").alias("d")).collect()
     assert max([r["n"] for r in sizes if r["d"] > 1], default=0) <= 100
+
+
+def test_a_saved_index_reads_only_the_folders_it_visits(spark, tmp_path):
+    rng = np.random.default_rng(21)
+    p = [(i, i % 3, float(a), float(b), int(c)) for i, (a, b, c) in enumerate(zip(rng.random(4000) * 100, rng.random(4000) * 100, rng.integers(0, 3, 4000)))]
+    points = spark.createDataFrame(p, "id long, label int, a double, b double, c int")
+    N.build_index(points, ["a", "b"], ["c"], 3, "id", "label", 100, str(tmp_path / "index"))
+    index = N.TileIndex.load(spark.newSession(), str(tmp_path / "index"))
+    q = [(i, float(a), 10.0, 1) for i, a in enumerate(rng.random(20) * 10)]
+    asked = spark.createDataFrame(q, "id long, a double, b double, c int")
+    got = {}
+    for r in index.search(asked, "id", 2).collect():
+        got.setdefault(r["id"], {})[r["place"]] = r["nid"]
+    assert {i: [v[1], v[2]] for i, v in got.items()} == _brute(q, p, 2)
+    tiles = index.tiles.select("tile", "shard").collect()
+    read = index.at(spark.createDataFrame([(tiles[0]["tile"],)], "tile long"))
+    assert len({r["shard"] for r in tiles}) == len(tiles) > 20
+    assert {r["tile"] for r in read.select("tile").distinct().collect()} == {tiles[0]["tile"]}
+    assert f"PartitionFilters: [isnotnull(shard" in read._jdf.queryExecution().toString()
+    with pytest.raises(ValueError, match="at most"):
+        index.search(asked, "id", 4)
+
+
+def test_a_saved_imputer_fills_as_the_fitted_one(spark, tmp_path):
+    from zerotally.operators.imputation import Imputer
+
+    df = _people(spark)
+    filled, imputer = fit_impute(df)
+    imputer.save(spark, str(tmp_path / "imputer"))
+    again = Imputer.load(spark, str(tmp_path / "imputer"))
+    assert again.scales == imputer.scales
+    assert sorted(map(tuple, again.apply(df).collect())) == sorted(map(tuple, filled.collect()))
+
+
+def test_searches_without_queries_or_points(spark):
+    points = spark.createDataFrame([], "id long, label int, a double, b double, c int")
+    asked = spark.createDataFrame([(1, 0.0, 0.0, 0)], "id long, a double, b double, c int")
+    assert nearest_neighbours(asked, points, ["a", "b"], ["c"], 2, "id", "id", "label").count() == 0
+    one = spark.createDataFrame([(5, 1, 0.0, 0.0, 0)], points.schema)
+    assert nearest_neighbours(asked.limit(0), one, ["a", "b"], ["c"], 2, "id", "id", "label").count() == 0

@@ -99,3 +99,50 @@ def test_unlabelled_rows_are_all_scored(table, fitted):
     out = H.predict_unseen(fitted, table.drop(fixed.TARGET))
     assert out.count() == table.count() == out.select("id").distinct().count()
     assert out.where(F.col(fixed.TARGET).isNull()).isEmpty()
+
+
+def test_scratch_tables_are_gone_after_a_plan(spark, table, tmp_path):
+    from zerotally.workspace import scratch_scope, shared_dir
+
+    folder = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    train, test = (str(tmp_path / n) for n in ("train", "test"))
+    table.where("id % 5 <> 4").write.csv(train, header=True)
+    table.where("id % 5 = 4").drop(fixed.TARGET).write.csv(test, header=True)
+    H.train_from_csv(spark, train, str(tmp_path / "model"), nominal=["acq_method"])
+    H.score_csv(spark, test, str(tmp_path / "model"), str(tmp_path / "out"))
+    assert set(os.listdir(folder)) == before
+    lines = [line for f in sorted(os.listdir(tmp_path / "out")) if f.startswith("part-")
+             for line in open(tmp_path / "out" / f).read().splitlines()[1:]]
+    ids = [int(line.split(",")[0]) for line in lines]
+    assert ids == sorted(ids) and len(ids) == table.where("id % 5 = 4").count()
+    with pytest.raises(ZeroDivisionError):
+        with scratch_scope(spark):
+            prepare_all(table)
+            1 / 0
+    assert set(os.listdir(folder)) == before
+
+
+def test_a_policy_table_is_written_once(spark, table, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    rows, inner = [], DataFrameWriter.parquet
+    def counted(self, path, *args, **kw):
+        inner(self, path, *args, **kw)
+        rows.append(spark.read.parquet(path).count())
+    monkeypatch.setattr(DataFrameWriter, "parquet", counted)
+    parts = prepare_all(table)
+    n = table.count()
+    assert rows.count(n) == 1  # the segments' table
+    assert sum(p.rows.count() for p in parts) == n
+    # others hold a segment's labelled points, its tiles or the asked ids
+    assert all(r == n or r <= max(p.sample("Train").count() for p in parts) for r in rows)
+
+
+def test_prepared_rows_survive_a_round_trip(spark, prepared, tmp_path):
+    from zerotally.plans.prepare import Prepared
+
+    prepared[1].save(spark, str(tmp_path / "p"))
+    again = Prepared.load(spark, str(tmp_path / "p"), prepared[1].name)
+    columns = prepared[1].rows.columns
+    assert sorted(map(tuple, again.rows.select(columns).collect())) == sorted(map(tuple, prepared[1].rows.collect()))

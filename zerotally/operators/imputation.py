@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zerotally import fixed
 from zerotally.functions.scalars import indicator, known_flag
 from zerotally.operators.encoder import scaling
-from zerotally.operators.neighbours import TILE_ROWS, majority_label, nearest_neighbours
+from zerotally.operators.neighbours import TILE_ROWS, TileIndex, build_index, majority_label
 from zerotally.operators.segments import labelled, unlabelled
 
 GEO_DUMMIES = {level: f"geo_{level}" for level in fixed.GEO_LEVELS}
@@ -43,16 +43,12 @@ def fill_from(df: DataFrame, imputed: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Imputer:
-    """Labelled training rows and their scaling; both stay as they were at fit."""
-    reference: DataFrame
+    """Index of the labelled training rows and their scaling; both stay as they were at fit."""
+    index: TileIndex
     scales: dict[str, tuple[float, float]]
-    k: int = fixed.NEIGHBOURS
-    tile_rows: int = TILE_ROWS
 
     def neighbours(self, df: DataFrame) -> DataFrame:
-        return nearest_neighbours(
-            knn_features(unlabelled(df), self.scales), knn_features(self.reference, self.scales),
-            fixed.KNN_NUMERIC, DISCRETE, self.k, fixed.ID, fixed.ID, "label", self.tile_rows)
+        return self.index.search(knn_features(unlabelled(df), self.scales), fixed.ID)
 
     def predict(self, df: DataFrame) -> DataFrame:
         """`id, imputed` for the rows without a known flag."""
@@ -61,11 +57,23 @@ class Imputer:
     def apply(self, df: DataFrame) -> DataFrame:
         return fill_from(df, self.predict(df))
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.index.save(spark, f"{path}/neighbours")
+        rows = [(c, mean, sd) for c, (mean, sd) in self.scales.items()]
+        spark.createDataFrame(rows, "feature string, mean double, sd double").coalesce(1).write.mode("overwrite").parquet(f"{path}/scales")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "Imputer":
+        scales = {r["feature"]: (r["mean"], r["sd"]) for r in spark.read.parquet(f"{path}/scales").collect()}
+        return Imputer(TileIndex.load(spark, f"{path}/neighbours"), scales)
+
 
 def fit_imputer(train: DataFrame, k: int = fixed.NEIGHBOURS, tile_rows: int = TILE_ROWS) -> Imputer:
     """Scaling comes from the labelled training rows only."""
     reference = labelled(train)
-    return Imputer(reference, scaling(reference, fixed.KNN_NUMERIC), k, tile_rows)
+    scales = scaling(reference, fixed.KNN_NUMERIC)
+    index = build_index(knn_features(reference, scales), fixed.KNN_NUMERIC, DISCRETE, k, fixed.ID, "label", tile_rows)
+    return Imputer(index, scales)
 
 
 def fit_impute(train: DataFrame, k: int = fixed.NEIGHBOURS) -> tuple[DataFrame, Imputer]:

@@ -7,18 +7,23 @@ distance, and then only those tiles whose box comes that close. Both descents ar
 on the parent tile. Distances are computed per tile in bounded blocks and only k rows per
 query and tile leave a task.
 
+The tiles and points are written once as an index that can be kept, and a search reads only the
+folders of the tiles it visits.
+
 Copies of one point could never give more than k neighbours, so all but the k lowest ids are
 set aside first; copies of one query are answered once. Neither can pile up in one task.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zerotally.workspace import materialise, together
+from zerotally.workspace import materialise, scratch_path
 
 MAX_LEVELS = 10  # tile numbers stay within 64 bits
 FANOUT = 32          # children per tile and split, a power of two
@@ -26,7 +31,9 @@ TILE_ROWS = 20_000   # a tile above this is split further
 QUERY_ROWS = 4_000   # queries searched against one copy of a tile
 BLOCK_CELLS = 4_000_000
 MAX_DISCRETE = 4096
+MAX_SHARDS = 2048    # folders of an index; a folder is what a search reads at once
 
+_INDEX = "names array<string>, k int, depth int"
 _FOUND = "qid long, nid long, d2 double, label int"
 
 
@@ -86,11 +93,8 @@ def _split_tiles(points: DataFrame, numeric: list[str], tile_rows: int) -> tuple
     return points, depth
 
 
-def _tile_tree(points: DataFrame, dims: list[str], depth: int) -> list[DataFrame]:
-    """Per level, top first: parent tile and the array of its children with count and box."""
-    box = [f(F.col(d)).alias(f"{n}{i}") for i, d in enumerate(dims)
-           for n, f in (("lo", F.min), ("hi", F.max))]
-    level = materialise(points.groupBy("tile").agg(F.count(F.lit(1)).alias("cnt"), *box), "tiles")
+def _tile_tree(level: DataFrame, depth: int) -> list[DataFrame]:
+    """Per level, top first: parent tile and the array of its children with count and box. `level` has the final tiles."""
     edges = [c for c in level.columns if c != "tile"]
     up = [(F.min(c) if c.startswith("lo") else F.max(c)).alias(c) for c in edges if c != "cnt"]
     levels = []
@@ -173,6 +177,97 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
+def _coordinates(df: DataFrame, names: list[str]) -> list[Column]:
+    """Own names for the coordinates, so that no caller's column can be taken for another."""
+    refuse = F.raise_error(F.lit("NULL coordinate in a neighbour search")).cast("double")
+    return [F.coalesce(F.col(f"`{c}`").cast("double"), refuse).alias(x) for c, x in zip(names, _dims(names))]
+
+
+def _dims(names: list[str]) -> list[str]:
+    return [f"_x{i}" for i in range(len(names))]
+
+
+@dataclass(frozen=True)
+class TileIndex:
+    """Reference points in tiles, written once: `points` by folder (`shard`) of one tile or a few, `tiles` with count and
+    box. Searches read the folders of the tiles that they visit, in any session."""
+    points: DataFrame
+    tiles: DataFrame
+    names: list[str]  # of the coordinates, in order
+    k: int            # copies of a point beyond this many are not held
+    depth: int
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        _write_points(self.points, f"{path}/points")
+        self.tiles.write.mode("overwrite").parquet(f"{path}/tiles")
+        row = (self.names, self.k, self.depth)
+        spark.createDataFrame([row], _INDEX).coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "TileIndex":
+        r = spark.read.parquet(f"{path}/index").first()
+        schema = ", ".join(["nid long, label int", *(f"{d} double" for d in _dims(r["names"])), "tile long", "shard int"])
+        return TileIndex(spark.read.schema(schema).parquet(f"{path}/points"), spark.read.parquet(f"{path}/tiles"),
+                         list(r["names"]), r["k"], r["depth"])
+
+    def at(self, asked: DataFrame) -> DataFrame:
+        """The points in the folders of the tiles that `asked` names."""
+        met = asked.select("tile").distinct().join(self.tiles.select("tile", "shard"), "tile").select("shard").distinct()
+        return self.points.where(F.col("shard").isin([r["shard"] for r in met.collect()]))
+
+    def search(self, queries: DataFrame, query_id: str, k: int | None = None) -> DataFrame:
+        """`query_id`, `nid`, squared distance `d2`, `label` and `place` 1..k for every query row."""
+        k = self.k if k is None else k
+        if k > self.k:
+            raise ValueError(f"the index holds {self.k} copies of a point at most, so k cannot be {k}")
+        dims = _dims(self.names)
+        asked = materialise(queries.select(F.col(query_id).alias(query_id), *_coordinates(queries, self.names)), "queries")
+        queries = asked.groupBy(*dims).agg(F.min(query_id).cast("long").alias("qid"))
+        tree = _tile_tree(self.tiles.drop("shard"), self.depth)
+        home = materialise(_home_tiles(queries, tree, dims, k), "home")
+        first = materialise(_search(home, self.at(home), dims, k), "first")
+        bound = first.groupBy("qid").agg(
+            F.when(F.count(F.lit(1)) >= k, F.max("d2")).otherwise(F.lit(float("inf"))).alias("r2"))
+        near = materialise(_near_tiles(home.withColumnRenamed("tile", "home").join(bound, "qid", "left")
+                                       .na.fill(float("inf"), ["r2"]), tree, dims), "near")
+        best = _top(first.unionByName(_search(near, self.at(near), dims, k)), k)
+        answers = home.join(best, "qid").select(*dims, "nid", "d2", "label", "place")
+        return asked.join(answers, dims).select(query_id, "nid", "d2", "label", "place")
+
+
+def _write_points(points: DataFrame, path: str) -> None:
+    points.repartition("tile").write.mode("overwrite").partitionBy("shard").parquet(path)
+
+
+def build_index(points: DataFrame, numeric: list[str], discrete: list[str], k: int, point_id: str, label: str,
+                tile_rows: int = TILE_ROWS, path: str | None = None) -> TileIndex:
+    """Tile the points and write the index, to `path` or to scratch space. A NULL coordinate raises."""
+    if tile_rows < FANOUT * k:
+        raise ValueError(f"tile_rows must be at least {FANOUT * k}")
+    spark, names = points.sparkSession, [*numeric, *discrete]
+    dims = _dims(names)
+    copies = Window.partitionBy(*dims).orderBy("nid")
+    points = (points.select(F.col(point_id).cast("long").alias("nid"), F.col(label).cast("int").alias("label"), *_coordinates(points, names))
+              .withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k).drop("_copy"))
+    points = materialise(points, "points")
+    by_discrete = _tile_by_discrete(points, dims[len(numeric):])
+    if by_discrete is None:  # then they are cut like the others
+        tiled, depth = _split_tiles(points.withColumn("tile", F.lit(0).cast("long")), dims, tile_rows)
+    else:
+        tiled, depth = _split_tiles(by_discrete, dims[:len(numeric)], tile_rows)
+    tiled = materialise(tiled, "tiled")
+    box = [f(F.col(d)).alias(f"{n}{i}") for i, d in enumerate(dims) for n, f in (("lo", F.min), ("hi", F.max))]
+    place = F.row_number().over(Window.orderBy("tile")) - 1  # a row per tile
+    tiles = tiled.groupBy("tile").agg(F.count(F.lit(1)).alias("cnt"), *box)
+    many = F.count(F.lit(1)).over(Window.partitionBy())
+    tiles = materialise(tiles.withColumn("shard", F.floor(place / F.ceil(many / MAX_SHARDS)).cast("int")), "tiles")
+    sharded = tiled.join(tiles.select("tile", "shard"), "tile").select("nid", "label", *dims, "tile", "shard")
+    index = TileIndex(sharded, tiles, names, k, depth)
+    path = path or scratch_path(spark, "index")
+    index.save(spark, path)
+    return TileIndex.load(spark, path)
+
+
 def nearest_neighbours(queries: DataFrame, points: DataFrame, numeric: list[str], discrete: list[str],
                        k: int, query_id: str, point_id: str, label: str,
                        tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -181,40 +276,7 @@ def nearest_neighbours(queries: DataFrame, points: DataFrame, numeric: list[str]
     Euclidean over all coordinates, ties by lowest point id. Fewer than k points give fewer
     rows. A NULL coordinate raises.
     """
-    if tile_rows < FANOUT * k:
-        raise ValueError(f"tile_rows must be at least {FANOUT * k}")
-    # own names for the coordinates, so that no caller's column can be taken for another
-    named = {c: f"_x{i}" for i, c in enumerate([*numeric, *discrete])}
-    dims = list(named.values())
-    numeric, discrete = [named[c] for c in numeric], [named[c] for c in discrete]
-    refuse = F.raise_error(F.lit("NULL coordinate in a neighbour search")).cast("double")
-    doubles = [F.coalesce(F.col(c).cast("double"), refuse).alias(x) for c, x in named.items()]
-    copies = Window.partitionBy(*dims).orderBy("nid")
-    points = (points.select(F.col(point_id).cast("long").alias("nid"), F.col(label).cast("int").alias("label"),
-                            *doubles)
-              .withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k).drop("_copy"))
-    asked = queries.select(F.col(query_id).alias(query_id), *doubles)
-    points, asked = together(points.sparkSession, lambda: materialise(points, "points"),
-                             lambda: materialise(asked, "queries"))
-    queries = asked.groupBy(*dims).agg(F.min(query_id).cast("long").alias("qid"))
-
-    by_discrete = _tile_by_discrete(points, discrete)
-    if by_discrete is None:  # then they are cut like the others
-        tiled, depth = _split_tiles(points.withColumn("tile", F.lit(0).cast("long")), dims, tile_rows)
-    else:
-        tiled, depth = _split_tiles(by_discrete, numeric, tile_rows)
-    if depth:
-        tiled = materialise(tiled, "tiled")
-    tree = _tile_tree(tiled, dims, depth)
-    home = _home_tiles(queries, tree, dims, k)
-    first = materialise(_search(home, tiled, dims, k), "first")
-    bound = first.groupBy("qid").agg(
-        F.when(F.count(F.lit(1)) >= k, F.max("d2")).otherwise(F.lit(float("inf"))).alias("r2"))
-    near = _near_tiles(home.withColumnRenamed("tile", "home").join(bound, "qid"), tree, dims)
-    rest = _search(near, tiled, dims, k)
-    best = _top(first.unionByName(rest), k)
-    answers = queries.join(best, "qid").select(*dims, "nid", "d2", "label", "place")
-    return asked.join(answers, dims).select(query_id, "nid", "d2", "label", "place")
+    return build_index(points, numeric, discrete, k, point_id, label, tile_rows).search(queries, query_id)
 
 
 def majority_label(neighbours: DataFrame, query_id: str, out: str) -> DataFrame:

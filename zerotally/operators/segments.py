@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from zerotally import fixed
 from zerotally.functions.scalars import known_flag
+from zerotally.workspace import scratch_path
 
 
 def segment_condition(name: str) -> Column:
@@ -36,6 +38,15 @@ def segment_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(F.coalesce(segment_label(), F.lit("Neither")).alias("segment")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def segment_tables(df: DataFrame) -> dict[str, DataFrame]:
+    """Both segments from one write of the table, in a folder each; a segment is then read without the other's rows."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "segments")
+    label = F.when(segment_condition("auto"), "auto").when(segment_condition("nonauto"), "nonauto")
+    df.withColumn("_segment", label).where(F.col("_segment").isNotNull()).write.partitionBy("_segment").parquet(path)
+    read = spark.read.schema(StructType([*df.schema.fields, StructField("_segment", StringType())])).parquet(path)
+    return {s: read.where(F.col("_segment") == s).drop("_segment", *fixed.SEGMENT_DROPS[s]) for s in fixed.SEGMENTS}
+
+
 def positives(df: DataFrame, y: str = fixed.TARGET) -> DataFrame:
     return df.where(F.col(y) > 0)
 

@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 
 from zerotally import fixed
 from zerotally.operators.encoder import Encoder
-from zerotally.operators.levels import mean_calibration, rate_calibration
+from zerotally.operators.imputation import Imputer
+from zerotally.operators.levels import mean_calibration, ordered_levels, rate_calibration
 from zerotally.operators.metrics import hurdle_report, log_loss, report, roc_auc
 from zerotally.operators.models import (Model, fit_logit, fit_poisson, fit_zinb, fit_zip, fit_ztnb,
                                         zi_warm_start)
 from zerotally.operators.newton import Design, checked, make_design
-from zerotally.operators.segments import positives
+from zerotally.operators.segments import positives, segment_tables
 from zerotally.operators.views import level_view, view_columns
-from zerotally.plans.prepare import Encoded, Prepared, encode_stage
-from zerotally.workspace import materialise, together
+from zerotally.plans.prepare import Encoded, Prepared, encode_stage, imputed, prepare_all
+from zerotally.sources.csv_files import cast_policies, read_policies_csv, write_predictions
+from zerotally.workspace import materialise, scratch_scope, together
 
 
 def stage_design(encoded: Encoded, which: str | None = "Train") -> Design:
@@ -97,16 +99,17 @@ def level_predictions(data: Prepared, model: Hurdle, pred: str) -> DataFrame:
 
 
 def stage_one_calibration(data: Prepared, model: Hurdle) -> DataFrame:
-    return rate_calibration(level_predictions(data, model, "p_positive"), fixed.LEVEL_VARIABLES[data.name])
+    """As the other two, with `position`: the place of the level within its variable and sample, by number if all are."""
+    return ordered_levels(rate_calibration(level_predictions(data, model, "p_positive"), fixed.LEVEL_VARIABLES[data.name]), ["Sample"])
 
 
 def stage_two_calibration(data: Prepared, model: Hurdle) -> DataFrame:
     rows = positives(level_predictions(data, model, "mean_positive"))
-    return mean_calibration(rows, fixed.LEVEL_VARIABLES[data.name])
+    return ordered_levels(mean_calibration(rows, fixed.LEVEL_VARIABLES[data.name]), ["Sample"])
 
 
 def combined_calibration(data: Prepared, model: Hurdle) -> DataFrame:
-    return mean_calibration(level_predictions(data, model, "y_hat"), fixed.LEVEL_VARIABLES[data.name])
+    return ordered_levels(mean_calibration(level_predictions(data, model, "y_hat"), fixed.LEVEL_VARIABLES[data.name]), ["Sample"])
 
 
 def validation_report(fitted: list[tuple[Prepared, Hurdle]]) -> DataFrame:
@@ -143,12 +146,58 @@ def stage_reports(fitted: list[tuple[Prepared, Hurdle]]) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+@dataclass(frozen=True)
+class Scorer:
+    """What a segment's raw rows need to be scored: the frozen imputer and the fitted hurdle."""
+    segment: str
+    imputer: Imputer
+    model: Hurdle
+
+    def score(self, table: DataFrame) -> DataFrame:
+        """`id, call_counts` of the rows of a written segment table."""
+        return (self.model.score(imputed(table, self.imputer), [fixed.ID])
+                .select(fixed.ID, F.col("y_hat").alias(fixed.TARGET)))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.imputer.save(spark, f"{path}/imputer")
+        self.model.save(spark, f"{path}/hurdle")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, segment: str) -> "Scorer":
+        return Scorer(segment, Imputer.load(spark, f"{path}/imputer"), Hurdle.load(spark, f"{path}/hurdle", segment))
+
+
+def scorers(fitted: list[tuple[Prepared, Hurdle]]) -> list[Scorer]:
+    return [Scorer(data.name, data.imputer, model) for data, model in fitted]
+
+
+def score_unseen(parts: list[Scorer], unseen: DataFrame) -> DataFrame:
+    """`id, call_counts` for every row of an unlabelled policy table that fits a segment; the table is written once."""
+    tables = segment_tables(unseen)
+    scored = together(unseen.sparkSession, *[lambda p=p: p.score(tables[p.segment]) for p in parts])
+    return reduce(DataFrame.unionByName, scored)
+
+
 def predict_unseen(fitted: list[tuple[Prepared, Hurdle]], unseen: DataFrame) -> DataFrame:
     """`id, call_counts` for every row of an unlabelled policy table that fits a segment."""
-    filled = together(unseen.sparkSession, *[lambda d=d: d.impute(unseen) for d, _ in fitted])
-    scored = [m.score(df, [fixed.ID]).select(fixed.ID, F.col("y_hat").alias(fixed.TARGET))
-              for df, (_, m) in zip(filled, fitted)]
-    return reduce(DataFrame.unionByName, scored)
+    return score_unseen(scorers(fitted), unseen)
+
+
+def train_from_csv(spark: SparkSession, train_csv: str, model_path: str, nominal: list[str] | None = None,
+                   numeric: list[str] | None = None, allow_unconverged: bool = False) -> None:
+    """Fit both segments' hurdles on all rows of a labelled policy file and save what scoring needs, per segment."""
+    with scratch_scope(spark):
+        train = cast_policies(read_policies_csv(spark, train_csv), has_target=True)
+        parts = scorers(fit_all(prepare_all(train), True, nominal, numeric, allow_unconverged))
+        together(spark, *[lambda p=p: p.save(spark, f"{model_path}/{p.segment}") for p in parts])
+
+
+def score_csv(spark: SparkSession, test_csv: str, model_path: str, out_csv: str) -> None:
+    """Score an unlabelled policy file with saved models, in any session, and write `id,call_counts` in id order."""
+    with scratch_scope(spark):
+        parts = [Scorer.load(spark, f"{model_path}/{s}", s) for s in fixed.SEGMENTS]
+        unseen = cast_policies(read_policies_csv(spark, test_csv), has_target=False)
+        write_predictions(score_unseen(parts, unseen), out_csv)
 
 
 def baseline_models(data: Prepared, nominal: list[str] | None = None, numeric: list[str] | None = None,

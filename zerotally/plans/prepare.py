@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zerotally import fixed
 from zerotally.operators.encoder import Encoder, fit_encoder
-from zerotally.operators.imputation import Imputer, fit_imputer
+from zerotally.operators.imputation import Imputer, fill_from, fit_imputer
 from zerotally.operators.ranking import with_sample
-from zerotally.operators.segments import positives, segment
+from zerotally.operators.segments import positives, segment, segment_tables
 from zerotally.operators.views import feature_view
 from zerotally.workspace import materialise, together
 
@@ -28,20 +28,37 @@ class Prepared:
 
     def impute(self, unseen: DataFrame) -> DataFrame:
         """The same segment of another policy table, filled from the training neighbours."""
-        rows = materialise(segment(unseen, self.name), "unseen")
-        return materialise(self.imputer.apply(rows), "unseen-imputed")
+        return imputed(materialise(segment(unseen, self.name), "unseen"), self.imputer)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.rows.write.mode("overwrite").parquet(f"{path}/rows")
+        self.imputer.save(spark, f"{path}/imputer")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, name: str) -> "Prepared":
+        return Prepared(name, spark.read.parquet(f"{path}/rows"), Imputer.load(spark, f"{path}/imputer"))
+
+
+def imputed(rows: DataFrame, imputer: Imputer) -> DataFrame:
+    """A table's rows with the flag filled. Only the found ids and values are written; they are joined on every read."""
+    return fill_from(rows, materialise(imputer.predict(rows), "imputed"))
 
 
 def prepare_all(train: DataFrame) -> list[Prepared]:
-    """All segments, prepared side by side from one materialised policy table."""
-    train = materialise(train, "policies")
-    return together(train.sparkSession, *[lambda s=s: prepare(train, s) for s in fixed.SEGMENTS])
+    """All segments, prepared side by side from one write of the policy table."""
+    tables = segment_tables(train)
+    return together(train.sparkSession, *[lambda s=s, t=t: prepare_segment(t, s) for s, t in tables.items()])
 
 
 def prepare(train: DataFrame, seg: str) -> Prepared:
-    rows = with_sample(materialise(segment(train, seg), "segment"))
+    return prepare_segment(materialise(segment(train, seg), "segment"), seg)
+
+
+def prepare_segment(table: DataFrame, seg: str) -> Prepared:
+    """Split and imputation of a written segment table."""
+    rows = with_sample(table)
     imputer = fit_imputer(rows.where(F.col("Sample") == "Train"))
-    return Prepared(seg, materialise(imputer.apply(rows), "imputed"), imputer)
+    return Prepared(seg, imputed(rows, imputer), imputer)
 
 
 @dataclass(frozen=True)

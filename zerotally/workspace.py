@@ -1,17 +1,21 @@
-"""Shared scratch space: written tables that cut lineage and outlive executors."""
+"""Shared scratch space: written tables that cut lineage and outlive executors, and scopes that remove them."""
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import inheritable_thread_target
 
 _DIR_KEY = "spark.checkpoint.dir"
+#: Paths made in the innermost open scope; None outside of any.
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("zerotally_scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,7 +33,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    held = _SCOPE.get()
+    if held is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside when the block ends or fails, those of `together`'s threads too.
+
+    A DataFrame that reads them must be used up inside. Scopes nest; each removes its own tables.
+    """
+    held: list[str] = []
+    token = _SCOPE.set(held)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in held:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
@@ -44,4 +70,4 @@ def together(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
     """Run independent chains of Spark jobs from several driver threads; results in order."""
     wrap = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
-        return [f.result() for f in [pool.submit(wrap(t)) for t in tasks]]
+        return [f.result() for f in [pool.submit(contextvars.copy_context().run, wrap(t)) for t in tasks]]
