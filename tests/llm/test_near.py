@@ -125,3 +125,13 @@ def test_hilbert_keys_walk_to_neighbours(dims, bits):
     assert sorted(keys.tolist()) == list(range(1 << bits * dims))
     walk = grid[np.argsort(keys)]
     assert (np.abs(np.diff(walk, axis=0)).sum(1) == 1).all()
+
+
+@pytest.mark.parametrize("cell", [16, 4096])
+def test_ties_of_different_vectors_go_to_the_smaller_ids(spark, cell):
+    # vectors that agree in what the query sees and differ in the rest
+    rows = [(0, [1.0, 0.0, 0.0])] + [(i, [0.5, float(i), float(-i)]) for i in range(1, 101)]
+    curves = nearest.Curves(cell=cell, share=1.0)
+    got = [(r["vec_id"], r["score"]) for r in nearest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), curves=curves)
+           .where("query_id = 0").orderBy("rank").collect()]
+    assert got == [(i, 0.5) for i in range(1, 21)]

@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from zerotally.workspace import materialise
@@ -56,6 +57,17 @@ def test_exact_stage_with_repeated_rows_and_nulls(spark):
     assert [(r["doc_id"], r["text"]) for r in got] == [(2, "a"), (3, None), (4, "n")]
 
 
+def test_columns_with_names_of_the_stages_own_stay_as_they_are(spark):
+    extra = ["_id", "_sha", "_n", "_row", "row", "key", "n", "_key", "_size", "_text", "label", "place"]
+    docs = (spark.read.parquet(f"{FOLDER}/documents.parquet").select("*", *[F.concat(F.lit(c), F.lit(":"), F.col("doc_id")).alias(c) for c in extra]))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made = materialise(stage(spark, docs, FOLDER), "t")
+        assert made.columns == docs.columns and made.count() > 0
+        assert all(r[c] == f"{c}:{r['doc_id']}" for r in made.collect() for c in extra)
+        docs = made
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() > 0
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
@@ -74,4 +86,17 @@ def test_query_matches_sql(spark, name):
 
 def test_all_queries_are_registered():
     names = set(entry_points.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+
+
+@pytest.mark.parametrize("name", ["op1_licence_scan", "op2_url_filter", "op3_remove_repeats", "op6_nearest", "op7_mix_sources", "op8_pack", "pipeline"])
+def test_registered_query_covers_its_table(spark, name):
+    rows = entry_points.queries()[name](spark, FOLDER).collect()
+    table, key = {"op2_url_filter": ("pages", "page_id"), "op6_nearest": ("embeddings", "vec_id")}.get(name, ("documents", "doc_id"))
+    ids = {r[0] for r in spark.read.parquet(f"{FOLDER}/{table}.parquet").select(key).collect()}
+    if name == "op6_nearest":
+        assert {r["query_id"] for r in rows} == {i for i in ids if i % 20 == 0}
+    elif name == "pipeline":
+        assert rows and {r["doc_id"] for r in rows} <= ids
+    else:
+        assert {r[key] for r in rows} == ids

@@ -1,12 +1,18 @@
 """Licences, languages and quality."""
 
+import math
+import os
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from zerotally.llm import compression, language_id, licence_scan, quality
+from zerotally.llm.queries import QUERIES, quality_model
 
 DOCS = "doc_id long, text string, label string, score double"
 
@@ -109,8 +115,67 @@ def test_curve_matches_its_weights():
     assert np.allclose(curve, (0.5, 2, -1), atol=0.25)
 
 
+def _sample(rows, **kw):
+    sample, counts = compression.labelled_sample(rows, "doc_id", "text", F.col("lang"), 50, **kw)
+    return sorted((r["label"], r["place"], r["text"]) for r in sample.collect()), counts
+
+
 def test_sample_is_bounded_and_ignores_row_order(spark):
     rows = spark.range(4000).selectExpr("id as doc_id", "concat('t', id) as text", "if(id % 3 = 0, 'a', 'b') as lang")
-    one, counts = compression.sampled_texts(rows, "doc_id", "text", rows["lang"], 50)
-    two, _ = compression.sampled_texts(rows.repartition(7), "doc_id", "text", rows["lang"], 50)
-    assert one == two and {k: len(v) for k, v in one.items()} == {"a": 50, "b": 50} and counts == {"a": 1334, "b": 2666}
+    one, counts = _sample(rows)
+    two, _ = _sample(rows.repartition(7))
+    assert one == two and Counter(r[0] for r in one) == {"a": 50, "b": 50} and counts == {"a": 1334, "b": 2666}
+
+
+@pytest.mark.parametrize("one", [41, 42])
+def test_sample_of_one_id_on_all_rows_is_bounded_and_not_empty(spark, one):
+    rows = spark.range(20_000).select(F.lit(one).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"),
+                                      F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("lang"))
+    assert Counter(r[0] for r in _sample(rows)[0]) == {"a": 50, "b": 50}
+    labels = spark.createDataFrame([(one, "a")] * 500, "doc_id long, lang string")
+    got, counts = _sample(labels, texts=rows.select("doc_id", "text"))
+    assert Counter(r[0] for r in got) == {"a": 50} and counts == {"a": 1}
+
+
+def test_dictionary_parts_come_from_all_of_a_text(spark):
+    text = "".join(f"{i:06d}" for i in range(5000))
+    rows = spark.createDataFrame([(i, f"{i:03d}" + text, "a") for i in range(50)] + [(60, "short", "a")], "doc_id long, text string, lang string")
+    parts = [p for _, p in compression.sampled_parts(compression.labelled_sample(rows, "doc_id", "text", F.col("lang"), 60)[0], 120)["a"]]
+    assert {len(p) for p in parts} == {5, 120}
+    at = sorted(text.find(p[10:100]) for p in parts if len(p) == 120)
+    assert len(at) == 50 and at[0] < 6000 and at[-1] > 24_000
+
+
+def test_curve_is_fitted_to_whole_texts(spark):
+    """Texts that differ only far behind the beginning are told apart."""
+    lead = _speech(TONGUES["cc"], 6000, 1)
+    texts = [(i, lead + _speech(TONGUES["aa" if i % 2 else "bb"], 12_000, i)) for i in range(24)]
+    model = quality.train(spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, quality int"),
+                          spark.createDataFrame(texts, "doc_id long, text string"))
+    asked = [lead + _speech(TONGUES[t], 12_000, 100 + i) for i, t in enumerate(["aa", "bb"] * 3)]
+    got = {r["doc_id"]: r["score"] for r in quality.score_quality(_frame(spark, asked), model).collect()}
+    assert min(got[i] for i in (0, 2, 4)) > max(got[i] for i in (1, 3, 5))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables here")
+def test_registered_models_on_held_out_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = {i for i in docs if zlib.crc32(str(i).encode()) % 5 == 0}
+    got = {r["doc_id"]: r for r in QUERIES["op4_language_id"](spark, folder).collect()}
+    assert got.keys() == docs.keys() and {i for i, r in got.items() if r["held_out"]} == held
+    known = [i for i in held if docs[i]["lang"] is not None and any(map(str.isalpha, docs[i]["text"] or ""))]
+    assert sum(got[i]["lang_pred"] == docs[i]["lang"] for i in known) / len(known) > 0.97
+    got = {r["doc_id"]: r for r in QUERIES["op5_quality"](spark, folder).collect()}
+    assert got.keys() == docs.keys() and {i for i, r in got.items() if r["held_out"]} == held
+    judged = [i for i in held if labels.get(i) in (0, 1)]
+    hits = [got[i]["predicted"] == labels[i] for i in judged]
+    assert len(judged) > 40 and sum(hits) / len(hits) > 0.93
+    # the figures come from sizes that plain Python finds again
+    model = quality_model(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    good, bad = compression.sizers([model.good, model.bad])
+    for i in sorted(docs)[:40]:
+        difference, rate = quality.features(good, bad, (docs[i]["text"] or "").encode())
+        score = 1 / (1 + math.exp(-(model.curve[0] + model.curve[1] * difference + model.curve[2] * rate)))
+        assert math.isclose(got[i]["score"], score, rel_tol=1e-9) and got[i]["predicted"] == int(score >= 0.3)

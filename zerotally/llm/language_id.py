@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zerotally.llm.compression import Sizer, build_dictionary, sampled_texts
+from zerotally.llm.compression import Sizer, build_dictionary, labelled_sample, sampled_parts
 from zerotally.llm.frames import binary_text
 
 #: Texts of a language that may be looked at to fill its dictionary.
@@ -37,9 +37,10 @@ class LanguageModel:
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = TEXTS_PER_LANGUAGE) -> LanguageModel:
     """One dictionary per language, from a bounded sample of the labelled rows."""
-    found, counts = sampled_texts(rows, id_col, text_col, F.col(lang_col), per_language)
-    names = tuple(sorted(found, key=lambda name: (-counts[name], name)))
-    return LanguageModel(names, tuple(build_dictionary(map(str.lower, found[n]), DICTIONARY_BYTES, PART)[0] for n in names))
+    sample, counts = labelled_sample(rows, id_col, text_col, F.col(lang_col), per_language)
+    parts = sampled_parts(sample, PART)
+    names = tuple(sorted(counts, key=lambda name: (-counts[name], name)))
+    return LanguageModel(names, tuple(build_dictionary((p.lower() for _, p in parts.get(n, ())), DICTIONARY_BYTES)[0] for n in names))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
@@ -49,7 +50,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     lang_pred is the language with the smallest size, ties to the one with more labelled rows. score is the share that
     the choice has if a byte more halves a language's weight. rejected marks narrow margins: the second language needs
     under `margin` more. Null text and text without any letter give `und`, 0.0 and true, as does a model without
-    languages. Repeated rows are judged each; whole texts count, however long.
+    languages. Repeated rows are judged each; whole texts count, however long; an empty table gives no rows; other columns
+    of `docs` are not looked at.
     """
     names, dictionaries, margin = model.names, model.dictionaries, model.margin
 

@@ -156,11 +156,17 @@ def _best(keep: int):
             for points, vecs, q_points, q_vecs in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 ids, asks = np.frombuffer(points, "<i8"), np.frombuffer(q_points, "<i8")
                 x, q = (np.frombuffer(v, "<f8").reshape(len(n), -1) for v, n in ((vecs, ids), (q_vecs, asks)))
-                found = q @ x.T
-                n = min(keep, len(ids))
-                at = np.argpartition(-found, n - 1, axis=1)[:, :n] if n < len(ids) else np.tile(np.arange(n), (len(q), 1))
-                score = (x[at] * q[:, None, :]).sum(2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(asks, n)), pa.array(ids[at].ravel()), pa.array(score.ravel())],
+                if not len(ids) or not len(asks):
+                    continue
+                found, n = q @ x.T, min(keep, len(ids))
+                # all that may be among the best, with whatever ties at the last place; one sum then ranks them all
+                slack = 4 * x.shape[1] * np.finfo(float).eps * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+                row, at = np.nonzero(found >= (np.partition(found, len(ids) - n, axis=1)[:, len(ids) - n] - slack)[:, None])
+                score = (x[at] * q[row]).sum(1)
+                order = np.lexsort((ids[at], -score, row))
+                row, at, score = row[order], at[order], score[order]
+                best = np.arange(len(row)) - np.searchsorted(row, row) < n
+                yield pa.RecordBatch.from_arrays([pa.array(asks[row[best]]), pa.array(ids[at[best]]), pa.array(score[best])],
                                                  names=["query", "point", "score"])
     return run
 

@@ -15,8 +15,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zerotally.llm.compression import Sizer, build_dictionary, sampled_texts, sizers
+from zerotally.llm.compression import Sizer, build_dictionary, labelled_sample, sampled_parts, sizers
 from zerotally.llm.frames import binary_text
+from zerotally.workspace import materialise
 
 #: Labelled texts of each class that are looked at: the first fill the dictionaries, the others fit the curve.
 TEXTS_PER_CLASS = 1500
@@ -57,21 +58,29 @@ def fit_curve(x: Sequence[tuple[float, float]], y: Sequence[int], weight: Sequen
 
 def train(labels: DataFrame, texts: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", per_class: int = TEXTS_PER_CLASS) -> QualityModel:
-    """Model from the labels 0 and 1 of documents in `texts`; other labels are left out."""
+    """Model from the labels 0 and 1 of documents in `texts`; other labels are left out. The sizes that the curve is fitted
+    to are those of whole texts, found in tasks."""
     label = F.when(F.col(label_col).isin(0, 1), F.col(label_col))
-    found, counts = sampled_texts(labels, id_col, text_col, label, per_class, texts)
-    kinds, rest = {}, {}
+    sample, counts = labelled_sample(labels, id_col, text_col, label, per_class, texts)
+    sample = materialise(sample, "labelled")
+    parts, kinds, used = sampled_parts(sample), {}, set()
     for name in ("0", "1"):
-        texts = found.get(name, [])
-        kinds[name], used = build_dictionary(texts[:max(1, len(texts) // 2)])
-        rest[name] = texts[used:]
-    good, bad = sizers([kinds["1"], kinds["0"]])
-    x, y, w = [], [], []
-    for name, texts in rest.items():
-        for text in texts:
-            x.append(features(good, bad, text.encode("utf-8", "replace")))
-            y.append(int(name)), w.append(counts[name] / len(texts))
-    return QualityModel(kinds["1"], kinds["0"], fit_curve(x, y, w))
+        own = parts.get(name, [])
+        kinds[name], n = build_dictionary(part for _, part in own[:max(1, len(own) // 2)])
+        used |= {(name, *key) for key, _ in own[:n]}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good, bad = sizers([kinds["1"], kinds["0"]])
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+            found = [(k[0], *features(good, bad, text)) for k, text in zip(keys, binary_text(batch)) if k not in used]
+            yield pa.RecordBatch.from_pylist([{"label": n, "difference": d, "rate": r} for n, d, r in found], schema=rows)
+
+    rows = pa.schema([("label", pa.string()), ("difference", pa.float64()), ("rate", pa.float64())])
+    found = sorted(map(tuple, sample.mapInArrow(measure, "label string, difference double, rate double").collect()))
+    share = {name: sum(r[0] == name for r in found) for name in counts}
+    return QualityModel(kinds["1"], kinds["0"], fit_curve([r[1:] for r in found], [int(r[0]) for r in found],
+                                                          [counts[r[0]] / share[r[0]] for r in found]))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text",
