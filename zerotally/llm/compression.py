@@ -70,6 +70,7 @@ def labelled_sample(rows: DataFrame, id_col: str, text_col: str, label: Column,
     hashed = F.xxhash64(F.lit("sample"), "_id", *(["text"] if text else []))
     near = labelled.withColumn("place", F.pmod(hashed, F.lit(1 << 30))).where(F.col("place") < bound)
     if texts is not None:
+        near = materialise(near, "picked")  # a few rows of known size, which Spark's own check then lets it broadcast
         near = texts.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(near, "_id")
     near = materialise(near.select("label", "place", F.xxhash64("text").alias("same"), "text"), "sample")
     keys, last = near.select("label", F.struct("place", "same").alias("key")).distinct(), F.lit(False)
