@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks import sql
+from checks import fits, sql
 from checks.registry import query, r, rounded
 from checks.relational import ALL, PSEUDO, SEGS, pseudo
 from zerotally import fixed
@@ -318,10 +318,13 @@ def m16_csv(spark, d):
     return rounded(csv_files.read_predictions(spark, f"{path}/scores"), 4, fixed.TARGET)
 
 
-@query("m16_score_unlabelled_rows_all_features")
+@query("m16_score_unlabelled_rows_all_features", "WITH " + ", ".join(
+    f"{seg}_all AS ({fits.imputed(seg, *fits.hurdle(seg, final=True))} SELECT id, yh FROM scored)" for seg in SEGS)
+    + "\nSELECT id, round(yh, 3) AS call_counts FROM (SELECT * FROM auto_all UNION ALL SELECT * FROM nonauto_all)")
 def m16_full(spark, d):
     train = materialise(policies(spark, d), "policies")
-    return H.predict_unseen(H.fit_all(prepare_all(train), final=True), train.drop(fixed.TARGET))
+    scores = H.predict_unseen(H.fit_all(prepare_all(train), final=True), train.drop(fixed.TARGET))
+    return rounded(scores, 3, fixed.TARGET)
 
 
 def _gini_sql(source, y, p, out):
@@ -342,10 +345,23 @@ def m17(spark, d):
     return rounded(table, 4, "rmse", "normalized_gini")
 
 
+_IN_TRAIN = "\"Sample\" = 'Train'"
 for _seg in SEGS:
-    @query(f"m17_baseline_comparison_all_features_{_seg}")
+    _text, _names = fits.design("xx", "baseline", _seg)
+    _models = {"Poisson": fits.Fit("f1", "poisson", "xx", len(_names), _IN_TRAIN), "ZIP": fits.Fit("f2", "zip", "xx", len(_names), _IN_TRAIN),
+               "ZINB": fits.Fit("f3", "zinb", "xx", len(_names), _IN_TRAIN)}
+
+    @query(f"m17_baseline_comparison_all_features_{_seg}", fits.imputed(
+        _seg, _text, *[m.ctes() for m in _models.values()],
+        "preds AS MATERIALIZED (SELECT id, \"Sample\" AS s, y, " + ", ".join(f"{m.mean()} AS {m.name}_p" for m in _models.values()) + " FROM xx, f1, f2, f3)",
+        *[_gini_sql(f"preds WHERE s = '{s}'", "y", f"{m.name}_p", f"{m.name}_{s}") for m in _models.values() for s in ("Train", "Val")],
+        *[_gini_sql(f"preds WHERE s = '{s}'", "y", "y", f"best_{s}") for s in ("Train", "Val")]) + "\nUNION ALL ".join(
+        f"SELECT '{label} {s.lower()}' AS label, round((SELECT sqrt(avg((y - {m.name}_p) ** 2)) FROM preds WHERE s = '{s}'), 6) AS rmse, "
+        f"round(2 * {m.n} - 2 * (SELECT ll FROM {m.name}_at), 3) AS aic, round((SELECT g FROM {m.name}_{s}) / (SELECT g FROM best_{s}), 5) AS normalized_gini, "
+        "true AS converged" for label, m in _models.items() for s in ("Train", "Val")))
     def _(spark, d, seg=_seg):
-        return H.baseline_comparison(*H.baseline_models(prepare(policies(spark, d), seg)))
+        table = H.baseline_comparison(*H.baseline_models(prepare(policies(spark, d), seg))).drop("steps")
+        return rounded(rounded(rounded(table, 6, "rmse"), 3, "aic"), 5, "normalized_gini")
 
     # canonical links reproduce every training level's total, whatever the other features
     for _id, _stage, _fit, _y in (("m01", "baseline", models.fit_poisson, "call_counts"),
@@ -364,18 +380,57 @@ for _seg in SEGS:
                 F.count(F.lit(1)).alias("n"), F.sum(encoded.target).cast("double").alias("actual"),
                 r(F.sum("pred"), 3).alias("predicted"))
 
-    @query(f"m03_truncated_coefficients_{_seg}")
+    for _id, _name, _stage, _family, _fit in (
+            ("m03", "truncated", "count", "ztnb", models.fit_ztnb), ("m01", "poisson", "baseline", "poisson", models.fit_poisson),
+            ("m02", "negative_binomial", "baseline", "nb", models.fit_nb), ("m05", "inflated_poisson", "baseline", "zip", models.fit_zip),
+            ("m06", "inflated_negative_binomial", "baseline", "zinb", models.fit_zinb), ("m07", "logit", "binary", "logit", models.fit_logit)):
+        _text, _names = fits.design("xx", _stage, _seg)
+        _sql_fit = fits.Fit("ff", _family, "xx", len(_names), _IN_TRAIN + (" AND call_counts > 0" if _stage == "count" else ""))
+
+        @query(f"{_id}_{_name}_coefficients_{_seg}", fits.imputed(_seg, _text, _sql_fit.ctes())
+               + f"SELECT pos, part, term, round(coef, 5) AS coef, round(se, 5) AS se, round(z, 4) AS z, round({sql.two_sided('z')}, 5) AS p FROM {_sql_fit.coefficients(_names)}")
+        def _(spark, d, seg=_seg, stage=_stage, fit=_fit):
+            encoded = encode_stage(prepare(policies(spark, d), seg), stage)
+            table = fit(H.stage_design(encoded)).coefficient_frame(spark)
+            return rounded(rounded(table, 5, "coef", "se", "p"), 4, "z")
+
+    _designs = {stage: fits.design(f"x_{stage}", stage, _seg) for stage in ("baseline", "binary", "count")}
+    _kinds = {"logit": "binary", "nb": "baseline", "poisson": "baseline", "zinb": "baseline", "zip": "baseline", "ztnb": "count"}
+    _each = {family: fits.Fit(f"f_{family}", family, f"x_{stage}", len(_designs[stage][1]), _IN_TRAIN + (" AND call_counts > 0" if stage == "count" else ""))
+             for family, stage in _kinds.items()}
+
+    @query(f"m13_loglik_and_aic_all_features_{_seg}", fits.imputed(_seg, *[text for text, _ in _designs.values()], *[f.ctes() for f in _each.values()])
+           + " UNION ALL ".join(f"SELECT '{name}' AS family, n::DOUBLE AS n, {f.n}::INTEGER AS k, round(ll, 4) AS loglik, round(2 * {f.n} - 2 * ll, 4) AS aic, true AS converged FROM {f.name}_at"
+                                for name, f in _each.items()))
     def _(spark, d, seg=_seg):
-        encoded = encode_stage(prepare(policies(spark, d), seg), "count")
-        return models.fit_ztnb(H.stage_design(encoded)).coefficient_frame(spark)
-
-    for _id, _name, _calibrate in (("a03", "rate", H.stage_one_calibration),
-                                   ("a04", "conditional", H.stage_two_calibration),
-                                   ("a05", "combined", H.combined_calibration)):
-        @query(f"{_id}_{_name}_calibration_fitted_{_seg}")
-        def _(spark, d, seg=_seg, calibrate=_calibrate):
+        data = prepare(policies(spark, d), seg)
+        encoded, baseline = H.baseline_models(data)
+        design = H.stage_design(encoded)
+        found = [*baseline.values(), models.fit_nb(design), models.fit_logit(H.stage_design(encode_stage(data, "binary"))),
+                 models.fit_ztnb(H.stage_design(encode_stage(data, "count")))]
+        table = reduce(DataFrame.unionByName, [m.statistics_frame(spark) for m in found])
+        return rounded(table.select("family", "n", "k", "loglik", "aic", "converged"), 4, "loglik", "aic")
+
+    for _id, _name, _pred, _calibrate in (("a03", "rate", "p", H.stage_one_calibration),
+                                          ("a04", "conditional", "m", H.stage_two_calibration),
+                                          ("a05", "combined", "yh", H.combined_calibration)):
+        _stacked = "l AS (" + sql.stacked(sql.levels(_seg), "scored" + (" WHERE call_counts > 0" if _id == "a04" else ""), f'"Sample", call_counts, {_pred} AS pred') + ")"
+        _table = ("""g AS (SELECT "Variable", "ValVar", "Sample", sum(pred) AS "PredCnt", sum((call_counts > 0)::INTEGER)::BIGINT AS "ActualCnt", count(*) AS "TotalCnt",
+            sum(call_counts)::DOUBLE AS "SumGivenPositive", sum((call_counts > 0)::INTEGER) / count(*) AS "ActualRate", sum(pred) / count(*) AS "PredRate",
+            avg(call_counts) FILTER (WHERE call_counts > 0) AS "MeanGivenPositive" FROM l GROUP BY 1, 2, 3)""" if _id == "a03" else
+            'g AS (SELECT "Variable", "ValVar", "Sample", avg(pred) AS "PredMean", avg(call_counts) AS "ActualMean", count(*) AS "TotalCnt" FROM l GROUP BY 1, 2, 3)')
+        _figures = {"PredCnt": 4, "ActualRate": 9, "PredRate": 6, "MeanGivenPositive": 9} if _id == "a03" else {"PredMean": 5, "ActualMean": 9}
+
+        @query(f"{_id}_{_name}_calibration_fitted_{_seg}", fits.imputed(_seg, *fits.hurdle(_seg), _stacked, _table, """
+            o AS (SELECT *, bool_and("ValVar" IS NULL OR TRY_CAST("ValVar" AS DOUBLE) IS NOT NULL) OVER (PARTITION BY "Variable", "Sample") AS numbers FROM g)""")
+            + "SELECT * EXCLUDE (numbers) REPLACE (" + ", ".join(f'round("{c}", {k}) AS "{c}"' for c, k in _figures.items()) + """), CAST(row_number() OVER (PARTITION BY "Variable", "Sample"
+            ORDER BY CASE WHEN numbers THEN TRY_CAST("ValVar" AS DOUBLE) END NULLS LAST, "ValVar" NULLS LAST) AS INTEGER) AS position FROM o""")
+        def _(spark, d, seg=_seg, calibrate=_calibrate, figures=_figures):
             data = prepare(policies(spark, d), seg)
-            return calibrate(data, H.fit_hurdle(data))
+            table = calibrate(data, H.fit_hurdle(data))
+            for c, k in figures.items():
+                table = rounded(table, k, c)
+            return table
 
 
 # With one category the stages are the category's share of positive rows and its mean of these, so SQL can say
@@ -476,11 +531,11 @@ def e06(spark, d):
     return rounded(metrics.report(scored(spark, d), "pseudo", "y", "p", 12.5), 6, "rmse", "normalized_gini")
 
 
-def _report_sql(name, source):
+def _report_sql(name, source, digits=6):
     return (_gini_sql(source, "call_counts", "y_hat", f"{name}_p") + ",\n" + _gini_sql(source, "call_counts", "call_counts", f"{name}_y") + ",\n"
             + f"{name}_r AS (SELECT '{name}' AS segment, count(*) AS n, " + ", ".join(
-                f"round({f}({c}), 6) AS {f}_{c}" for c in ("p_positive", "mean_positive", "y_hat") for f in ("min", "max"))
-            + f", round(sqrt(avg((call_counts - y_hat) * (call_counts - y_hat))), 6) AS rmse, round((SELECT g FROM {name}_p) / (SELECT g FROM {name}_y), 6) AS normalized_gini FROM {source})")
+                f"round({f}({c}), {digits}) AS {f}_{c}" for c in ("p_positive", "mean_positive", "y_hat") for f in ("min", "max"))
+            + f", round(sqrt(avg((call_counts - y_hat) * (call_counts - y_hat))), {digits}) AS rmse, round((SELECT g FROM {name}_p) / (SELECT g FROM {name}_y), {digits}) AS normalized_gini FROM {source})")
 
 
 _STAGES = """, f AS (SELECT *, 1 / (1.0::DOUBLE + household_policy_counts) AS p_positive, """ + PSEUDO + """ AS mean_positive, 1 / (1.0::DOUBLE + household_policy_counts) * (""" + PSEUDO + """) AS y_hat FROM policies)
@@ -498,6 +553,10 @@ def e07(spark, d):
     return rounded(table, 6, *[c for c in table.columns if c not in ("segment", "n")])
 
 
-@query("e07_hurdle_validation_report")
+@query("e07_hurdle_validation_report", "WITH " + ", ".join(
+    f"""{seg}_val AS ({fits.imputed(seg, *fits.hurdle(seg))} SELECT id, call_counts, p AS p_positive, m AS mean_positive, yh AS y_hat FROM scored WHERE "Sample" = 'Val')"""
+    for seg in SEGS) + ", pooled_val AS (SELECT * FROM auto_val UNION ALL SELECT * FROM nonauto_val),\n" + ",\n".join(
+    _report_sql(s, f"{s}_val", 5) for s in (*SEGS, "pooled")) + "\n" + " UNION ALL ".join(f"SELECT *, true AS converged FROM {s}_r" for s in (*SEGS, "pooled")))
 def e07_fitted(spark, d):
-    return H.validation_report(H.fit_all(prepare_all(policies(spark, d))))
+    table = H.validation_report(H.fit_all(prepare_all(policies(spark, d)))).drop("steps")
+    return rounded(table, 5, *[c for c in table.columns if c not in ("segment", "n", "converged")])

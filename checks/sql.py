@@ -123,6 +123,13 @@ def quoted(name: str) -> str:
     return f'"{name}"'
 
 
+def two_sided(z: str) -> str:
+    """Two-sided normal p-value; erf(x) by its series of positive terms, 2 / sqrt(pi) exp(-x^2) sum 2^n x^(2n+1) / (2n+1)!!."""
+    x = f"(abs({z}) / sqrt(2))"
+    term = f"exp(-({x} ** 2) + 2 * n * ln(2) + (2 * n + 1) * ln({x}) + lgamma(n + 1) - lgamma(2 * n + 2))"
+    return f"CASE WHEN abs({z}) > 10 THEN 0.0::DOUBLE ELSE greatest(0, 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(400), lambda n: {term}))) END"
+
+
 def view(stage: str, seg: str, filled: str = "pol_edeliv_ind_filled") -> dict[str, str]:
     """Feature name to DuckDB expression; LOG is base 10 there."""
     log_tenure = {"tenure_at_snapshot": "log(1 + least(tenure_at_snapshot, 500))"}
