@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from checks import fits, sql
 from checks.registry import query, r, rounded
-from checks.relational import ALL, PSEUDO, SEGS, pseudo
+from checks.relational import ALL, PSEUDO, SEGS, pseudo, raw_filled
 from zerotally import fixed
 from zerotally.operators import imputation, metrics, models
 from zerotally.operators.encoder import Encoder, fit_encoder, scaling, training_levels
@@ -24,6 +24,7 @@ from zerotally.operators.ranking import with_sample
 from zerotally.operators.segments import labelled, positives, segment
 from zerotally.operators.selection import stepwise_logit
 from zerotally.operators.views import feature_view
+from zerotally.operators.wide import fit_wide
 from zerotally.plans import hurdle as H
 from zerotally.plans.prepare import Prepared, encode_stage, prepare, prepare_all
 from zerotally.sources import csv_files
@@ -237,6 +238,42 @@ def m09(spark, d):
     return by_group(rows, enc, models.fit_logit_constrained(design, models.fit_logit(design), 0.2))
 
 
+@query("m09_constrained_inference", ALL + f""", y AS (SELECT *, CASE WHEN call_counts > 0 THEN 1.0::DOUBLE ELSE 0 END AS hit FROM policies),
+    g AS (SELECT acq_method AS level, count(*) AS n, avg(hit) AS p FROM y GROUP BY 1),
+    b AS (SELECT n AS n0, p AS p0 FROM g WHERE level = 'method1'),
+    z AS (SELECT level, n, p, level <> 'method1' AND abs(ln(p / (1 - p)) - ln(p0 / (1 - p0)))
+                 / sqrt(1 / (n * p * (1 - p)) + 1 / (n0 * p0 * (1 - p0))) < {_WEAK_Z} AS weak FROM g, b),
+    m AS (SELECT sum(n * p) / sum(n) AS pm FROM z WHERE weak OR level = 'method1'),
+    c AS (SELECT level, weak, n, CASE WHEN weak OR level = 'method1' THEN pm ELSE p END AS q, pm FROM z, m),
+    v AS (SELECT *, 1 / (n * q * (1 - q)) AS v, ln(q / (1 - q)) - ln(pm / (1 - pm)) AS b FROM c), v0 AS (SELECT v AS base FROM v WHERE level = 'method1')
+    SELECT CASE WHEN level = 'method1' THEN 'const' ELSE 'acq_method_' || level END AS term, round(CASE WHEN level = 'method1' THEN ln(pm / (1 - pm)) ELSE b END, 5) + 0 AS coef,
+        round(sqrt(CASE WHEN level = 'method1' THEN base ELSE v + base END), 5) AS se, weak AS held FROM v, v0""")
+def m09_inference(spark, d):
+    rows = policies(spark, d).select(fixed.ID, GROUP, F.when(F.col(fixed.TARGET) > 0, 1).otherwise(0).alias("y"))
+    enc = fit_encoder(rows, [GROUP], [], exclude=["y"])
+    design = make_design(enc.apply(rows, ["y"]), enc.names, "y", compress=True)
+    held = models.fit_logit_constrained(design, models.fit_logit(design), 0.2)
+    table = held.coefficient_frame(spark).withColumn("held", F.col("coef") == 0)
+    return table.select("term", (r("coef", 5) + 0).alias("coef"), r("se", 5).alias("se"), "held")
+
+
+_WIDE = {"lot": "CAST(floor(home_lot_sq_footage / 1000) AS INTEGER)", "months": "CAST(floor(tenure_at_snapshot / 4) AS INTEGER)", "calls": '"12m_call_history"'}
+
+for _family, _hit in (("logit", "CASE WHEN call_counts > 0 THEN 1 ELSE 0 END"), ("poisson", "call_counts")):
+    # several hundred dummies, fitted without a square of their number; every level's total must be met
+    @query(f"m07_wide_{_family}_level_totals", ALL + ", w AS (SELECT " + ", ".join(f"CAST({e} AS VARCHAR) AS {n}" for n, e in _WIDE.items()) + f""", {_hit} AS y FROM policies),
+    l AS ({sql.stacked({n: n for n in _WIDE if n != "calls"}, "w", "y")})
+    SELECT "Variable", "ValVar", count(*) AS n, round(sum(y), 2) + 0.0::DOUBLE AS predicted FROM l GROUP BY 1, 2""")
+    def _(spark, d, family=_family):
+        rows = policies(spark, d).select(F.floor(F.col("home_lot_sq_footage") / 1000).cast("int").cast("string").alias("lot"),
+                                         F.floor(F.col("tenure_at_snapshot") / 4).cast("int").cast("string").alias("months"), F.col("12m_call_history").cast("double").alias("calls"),
+                                         (F.when(F.col(fixed.TARGET) > 0, 1).otherwise(0) if family == "logit" else F.col(fixed.TARGET)).alias("y"))
+        rows = materialise(rows, "wide")
+        scored = fit_wide(rows, ["lot", "months"], ["calls"], "y", family).predict(rows)
+        return by_level(scored, ["lot", "months"], ["pred"]).groupBy("Variable", "ValVar").agg(
+            F.count(F.lit(1)).alias("n"), r(F.sum("pred"), 2).alias("predicted"))
+
+
 @query("m12_coefficient_table", sql.raw("nonauto") + """, g AS (SELECT acq_method AS level, count(*) AS n, avg(CASE WHEN call_counts > 0 THEN 1 ELSE 0 END) AS p FROM s GROUP BY 1),
     v AS (SELECT level, ln(p / (1 - p)) AS b, 1 / (n * p * (1 - p)) AS v FROM g), b AS (SELECT b AS b0, v AS v0 FROM v WHERE level = 'method1'),
     c AS (SELECT CASE WHEN level = 'method1' THEN 'const' ELSE 'acq_method_' || level END AS term, CASE WHEN level = 'method1' THEN b ELSE b - b0 END AS coef,
@@ -488,6 +525,28 @@ def m10(spark, d):
     return spark.createDataFrame(list(enumerate(chosen)), "position int, feature string")
 
 
+# A target made from three features and hashed noise: the search must find these and no others.
+_PLANTED = ["has_prior_carrier", "geo_group_urban", "prdct_sbtyp_grp_C"]
+_CHANCE = "0.35 + 0.25 * has_prior_carrier - 0.2 * (CASE WHEN geo_group = 'urban' THEN 1 ELSE 0 END) + 0.15 * (CASE WHEN prdct_sbtyp_grp = 'C' THEN 1 ELSE 0 END)"
+_planted_fit = fits.Fit("ff", "logit", "xx", 1 + len(_PLANTED))
+
+
+@query("m10_stepwise_planted_signal", sql.raw("nonauto").replace("WITH ", "WITH RECURSIVE ", 1) + f""", xx AS MATERIALIZED (
+    SELECT (('0x' || substr(md5(id || ':noise'), 1, 6))::INTEGER / 16777216.0 < {_CHANCE})::INTEGER::DOUBLE AS y, 1.0::DOUBLE AS x0, has_prior_carrier::DOUBLE AS x1,
+    (geo_group = 'urban')::INTEGER::DOUBLE AS x2, (prdct_sbtyp_grp = 'C')::INTEGER::DOUBLE AS x3 FROM s), {_planted_fit.ctes()}
+    SELECT term AS feature FROM {_planted_fit.coefficients(["const", *_PLANTED])} WHERE term <> 'const' AND {sql.two_sided('z')} < 0.01""")
+def m10_planted(spark, d):
+    rows = raw_filled(spark, d, "nonauto")
+    noise = F.conv(F.substring(F.md5(F.concat(F.col(fixed.ID).cast("string"), F.lit(":noise"))), 1, 6), 16, 10).cast("double") / 16777216
+    rows = rows.withColumn("hit", F.when(noise < F.expr(_CHANCE).cast("double"), 1).otherwise(0))
+    nominal = ["acq_method", "geo_group", "prdct_sbtyp_grp", "product_sbtyp"]
+    numeric = ["12m_call_history", "ann_prm_amt", "household_policy_counts", "tenure_at_snapshot"]
+    view = rows.select(fixed.ID, *numeric, *nominal, "digital_contact_ind", "has_prior_carrier", "hit")
+    enc = fit_encoder(view, nominal, numeric, exclude=["hit"])
+    chosen = stepwise_logit(make_design(enc.apply(view, ["hit"]), enc.names, "hit"))
+    return spark.createDataFrame([(f,) for f in chosen], "feature string")
+
+
 # -- metrics ----------------------------------------------------------------------------------
 
 _BASE = f"f AS (SELECT id, call_counts AS y, {PSEUDO} AS p FROM policies)"

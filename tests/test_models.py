@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from zerotally.operators import models
-from zerotally.operators.newton import BadInput, NotConverged, independent_features, make_design, maximise
-from zerotally.operators.selection import fit_logits, stepwise_logit
+from zerotally.operators.likelihood import FAMILIES
+from zerotally.operators.newton import BadInput, NotConverged, evaluate, independent_features, make_design, maximise
+from zerotally.operators.selection import fit_logits, score_tests, stepwise_logit
 
 BETA, GAMMA, ALPHA, N = (0.9, 0.4, -0.5), (-0.3, 0.6, 0.2), 0.7, 20_000
 
@@ -229,3 +230,91 @@ def test_bounds_hold_in_fit_and_prediction_alike(spark):
     assert np.allclose(got, [math.exp(30), math.exp(-30)])
     value = models.log_likelihood(model, make_design(rows, ["x"], "y"))
     assert math.isclose(value, 3 * 30 - math.exp(30) - math.log(6) - math.exp(-30), rel_tol=1e-12)
+
+
+def test_score_tests_match_plain_sums(spark):
+    rng = np.random.default_rng(31)
+    x = rng.normal(size=(600, 4))
+    y = (rng.random(600) < 1 / (1 + np.exp(-(0.3 + x[:, 0])))).astype(int)
+    rows = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(np.column_stack([x, 2 * x[:, 0]]), y)], "a double, b double, c double, e double, twin double, y int")
+    design = make_design(rows, ["a", "b", "c", "e", "twin"], "y")
+    fit = models.fit_logit(design.narrowed(["a"]))
+    params = np.array([c.coef for c in fit.coefficients])
+    got = score_tests(design, ["a"], params)
+    base = np.column_stack([np.ones(600), x[:, 0]])
+    p = 1 / (1 + np.exp(-(base @ params)))
+    w = p * (1 - p)
+    for j, name in ((1, "b"), (2, "c"), (3, "e")):
+        z = x[:, j]
+        cross = base.T @ (w * z)
+        left = z @ (w * z) - cross @ np.linalg.solve(base.T @ (base * w[:, None]), cross)
+        assert math.isclose(got[name], (z @ (y - p)) ** 2 / left, rel_tol=1e-7)
+    assert set(got) == {"b", "c", "e", "twin"} and math.isnan(got["twin"])
+
+
+def test_constrained_errors_come_from_all_coefficients(sim):
+    rows = sim.withColumns({"noise": F.rand(3), "noise2": F.randn(4)})
+    design = make_design(rows, ["x1", "noise", "x2", "noise2"], "hit")
+    full = models.fit_logit(design)
+    held = models.fit_logit_constrained(design, full, 0.001)
+    at = np.array([c.coef for c in held.coefficients])
+    _, grad, hess = evaluate(design, FAMILIES["logit"], at)
+    assert np.allclose([c.se for c in held.coefficients], np.sqrt(np.diag(np.linalg.inv(-hess))))
+    zero = [i for i, b in enumerate(at) if b == 0]
+    assert zero and all(held.coefficients[i].p == 1.0 for i in zero)
+    tests = models.multiplier_tests(design, full, held)
+    assert set(tests) == {held.coefficients[i].term for i in zero}
+    one = zero[0]
+    free = [i for i in range(len(at)) if i not in zero]
+    left = -hess[np.ix_(zero, zero)] + hess[np.ix_(zero, free)] @ np.linalg.solve(hess[np.ix_(free, free)], hess[np.ix_(free, zero)])
+    want = models.two_sided_p(grad[one] / math.sqrt(np.diag(left)[0]))
+    assert math.isclose(tests[held.coefficients[one].term][1], want, rel_tol=1e-6)
+
+
+@pytest.mark.parametrize("family,y", [("zip", "zip"), ("zinb", "zinb")])
+def test_expectation_steps_take_over_where_newton_stops(sim, monkeypatch, family, y):
+    import zerotally.operators.newton as newton
+
+    design = _design(sim, y)
+    fitted = getattr(models, f"fit_{family}")(design)
+    want = newton.maximise(design, family, np.array([math.log(c.coef) if c.term == "alpha" else c.coef for c in fitted.coefficients]))
+    seen, inner = [], newton.evaluate
+    def watched(d, f, p, complete=False):
+        out = inner(d, f, p, complete)
+        seen.append((complete, out[0]))
+        return out
+    monkeypatch.setattr(newton, "evaluate", watched)
+    far = np.full(len(want.params), 0.0)
+    far[0] = 6.0  # nearly all zeros taken as extra ones
+    alone = newton._ascend(design, FAMILIES[family], far, newton.EM_STEPS, complete=True)
+    assert all(c for c, _ in seen)
+    monkeypatch.setattr(newton, "MAX_STEPS", 8)
+    found = newton.maximise(design, family, alone.params)
+    assert found.converged and math.isclose(found.loglik, want.loglik, rel_tol=1e-9) and np.allclose(found.params, want.params, atol=1e-4)
+
+
+def test_expectation_steps_never_lower_the_likelihood(sim):
+    import zerotally.operators.newton as newton
+
+    design, params, values = _design(sim, "zip"), np.array([4.0, 0.0, 0.0, -2.0, 0.0, 0.0]), []
+    for _ in range(12):
+        found = newton._ascend(design, FAMILIES["zip"], params, 1, complete=True)
+        params = found.params
+        values.append(found.loglik)
+    assert all(b >= a - 1e-9 * abs(a) for a, b in zip(values, values[1:])) and values[-1] > values[0]
+
+
+def test_information_of_the_complete_likelihood(spark):
+    """The score is the observed one; the information is that of the two parts, each weighted by its share."""
+    rng = np.random.default_rng(41)
+    x, y = rng.normal(size=200), rng.poisson(1.5, 200) * (rng.random(200) < 0.6)
+    design = make_design(spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, y)], "x double, y int"), ["x"], "y")
+    params = np.array([0.2, -0.3, 0.4, 0.1])
+    ll, grad, hess = evaluate(design, FAMILIES["zip"], params, complete=True)
+    ll2, grad2, _ = evaluate(design, FAMILIES["zip"], params)
+    a = np.column_stack([np.ones(200), x])
+    pi, mu = 1 / (1 + np.exp(-(a @ params[:2]))), np.exp(a @ params[2:])
+    share = np.where(y == 0, pi / (pi + (1 - pi) * np.exp(-mu)), 0)
+    assert ll == ll2 and np.allclose(grad, grad2)
+    assert np.allclose(hess[:2, :2], -(a * (pi * (1 - pi))[:, None]).T @ a) and np.allclose(hess[:2, 2:], 0)
+    assert np.allclose(hess[2:, 2:], -(a * ((1 - share) * mu)[:, None]).T @ a)

@@ -20,6 +20,7 @@ from zerotally.workspace import materialise, together
 
 CONST, ALPHA = "const", "alpha"
 GLM_STEPS = 100
+MAX_GLM_COLUMNS = 4096
 _COEF_SCHEMA = "pos int, part string, term string, coef double, se double, z double, p double"
 _STAT_SCHEMA = ("family string, loglik double, k int, aic double, n double, steps int, "
                 "converged boolean, dropped array<string>, separated array<string>")
@@ -135,6 +136,8 @@ def _glm_rows(design: Design, family: str, keep: list[str]) -> DataFrame:
 
 def _run_glm(design: Design, family: str, keep: list[str], intercept: bool) -> tuple[list[Coefficient], int]:
     name, link = _GLM[family]
+    if len(keep) > MAX_GLM_COLUMNS:
+        raise ValueError(f"{len(keep)} columns are more than Spark ML's solver takes ({MAX_GLM_COLUMNS}); wide.fit_wide fits them")
     rows = _glm_rows(design, family, keep).persist()
     try:
         fitted = GeneralizedLinearRegression(
@@ -312,12 +315,43 @@ def fit_logit_unscaled(design: Design, allow_unconverged: bool = False) -> Model
 def fit_logit_constrained(design: Design, fitted: Model, threshold: float, allow_unconverged: bool = False) -> Model:
     """Coefficients whose p-value exceeds the threshold are held at 0, the others refitted.
 
-    Holding a coefficient at 0 is the fit without its column. A weak intercept is held too.
+    Holding a coefficient at 0 is the fit without its column. A weak intercept is held too. Errors come from the information
+    of all coefficients at the constrained optimum, those held among them, whose z is 0 and p 1; `multiplier_tests` asks
+    whether the data would move them.
     """
     weak = {c.term for c in fitted.coefficients if c.p > threshold}
     keep = [c.term for c in fitted.coefficients if c.term not in weak and c.term != CONST]
     refit = _fit_glm(design, "logit", keep, checked(design, "logit"), CONST not in weak, allow_unconverged)
-    have = {c.term: c for c in refit.coefficients}
-    zero = lambda t: Coefficient("count", t, 0.0, math.nan, math.nan, math.nan)
-    full = [have.get(c.term, zero(c.term)) for c in fitted.coefficients]
-    return replace(refit, coefficients=full)
+    terms, params, _, hess = _at_constrained(design, fitted, refit)
+    variance = np.diag(_inverse(-hess))
+    return replace(refit, coefficients=[_coefficient("count", t, b, v) for t, b, v in zip(terms, params, variance)])
+
+
+def multiplier_tests(design: Design, fitted: Model, constrained: Model) -> dict[str, tuple[float, float]]:
+    """Per held coefficient its Lagrange multiplier and the p-value that it is 0, from the bordered system of the
+    information and the constraints."""
+    terms, params, grad, hess = _at_constrained(design, fitted, constrained)
+    held = [i for i, b in enumerate(params) if b == 0.0]
+    n, m = len(terms), len(held)
+    bordered = np.zeros((n + m, n + m))
+    bordered[:n, :n] = -hess
+    bordered[[n + k for k in range(m)], held] = bordered[held, [n + k for k in range(m)]] = 1.0
+    # the block that belongs to the multipliers is minus the information that is left in the held coefficients
+    left = -np.diag(_inverse(bordered))[n:]
+    return {terms[i]: (float(grad[i]), two_sided_p(float(grad[i]) / math.sqrt(v)) if v > 0 else math.nan) for i, v in zip(held, left)}
+
+
+def _at_constrained(design: Design, fitted: Model, constrained: Model) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Terms, coefficients, score and Hessian of all of the fitted model's terms at the constrained optimum."""
+    names = [c.term for c in fitted.coefficients if c.term != CONST]
+    have = constrained.part("count")
+    params = np.array([have.get(t, 0.0) for t in (CONST, *names)])
+    _, grad, hess = evaluate(design.narrowed(names), FAMILIES["logit"], params)
+    return [CONST, *names], params, grad, hess
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    try:
+        return np.linalg.inv(matrix)
+    except np.linalg.LinAlgError:
+        return np.full(matrix.shape, math.nan)

@@ -8,17 +8,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zerotally.operators.likelihood import FAMILIES, Family, count_terms, row_terms
+from zerotally.operators.likelihood import CLIP, FAMILIES, Family, count_terms, row_terms
 from zerotally.workspace import materialise
 
 MAX_STEPS = 100
+EM_STEPS = 300
 MAX_HALVINGS = 30
 #: Task sums that are brought to the driver at once; more are added up in tasks first.
 DIRECT_SUMS = 256
@@ -220,8 +221,24 @@ def independent_features(design: Design, tolerance: float = 1e-9) -> list[str]:
     return kept
 
 
-def evaluate(design: Design, family: Family, params: np.ndarray):
-    """Log likelihood, gradient and Hessian at `params` = (gamma, beta, log alpha)."""
+def _completed(family: Family, d: dict[str, np.ndarray], y: np.ndarray, zeta: np.ndarray, eta: np.ndarray, theta: float) -> None:
+    """Put the second derivatives of the expected complete likelihood, in which every extra zero is known by its share,
+    in place of the observed ones. The first derivatives of both agree."""
+    pi = 1 / (1 + np.exp(-np.clip(zeta, -CLIP, CLIP)))
+    counted = np.where(y == 0, 1 - (d["z"] + pi), 1.0)  # share of a row that the count part explains
+    _, own = row_terms(FAMILIES["nb" if family.dispersed else "poisson"], y, None, eta, theta)
+    d["zz"] = -pi * (1 - pi) * (np.abs(zeta) < CLIP)
+    for k in ("ee", "et", "tt"):
+        if k in d:
+            d[k] = counted * own[k]
+    for k in ("ze", "zt"):
+        if k in d:
+            d[k] = np.zeros_like(pi)
+
+
+def evaluate(design: Design, family: Family, params: np.ndarray, complete: bool = False):
+    """Log likelihood, gradient and Hessian at `params` = (gamma, beta, log alpha); with `complete` the Hessian of the
+    expected complete likelihood of a zero-inflated model."""
     p = len(design.features) + 1
     parts = [k for k, on in (("z", family.zeta), ("e", family.eta)) if on]
     size = p * len(parts) + family.dispersed
@@ -231,6 +248,8 @@ def evaluate(design: Design, family: Family, params: np.ndarray):
     def fold(x, y, w):
         ll, d = row_terms(family, y, x @ coefs["z"] if "z" in coefs else None,
                           x @ coefs["e"] if "e" in coefs else None, theta)
+        if complete:
+            _completed(family, d, y, x @ coefs["z"], x @ coefs["e"], theta)
         grad, hess = np.zeros(size), np.zeros((size, size))
         for i, a in enumerate(parts):
             rows = slice(i * p, (i + 1) * p)
@@ -278,11 +297,22 @@ class Optimum:
 
 
 def maximise(design: Design, family_name: str, start: np.ndarray) -> Optimum:
-    """Newton ascent with step halving until the predicted gain is negligible."""
+    """Newton ascent with step halving until the predicted gain is negligible. Where that stops short in a zero-inflated
+    model, steps of expectation and maximisation take over, which cannot overshoot, and Newton steps end the fit."""
     family = FAMILIES[family_name]
-    params = np.asarray(start, float)
-    ll, grad, hess = evaluate(design, family, params)
-    for taken in range(1, MAX_STEPS + 1):
+    found = _ascend(design, family, np.asarray(start, float), MAX_STEPS)
+    if found.converged or not (family.zeta and family.eta):
+        return found
+    eased = _ascend(design, family, found.params, EM_STEPS, complete=True)
+    last = _ascend(design, family, eased.params, MAX_STEPS)
+    steps = found.steps + eased.steps + last.steps
+    return replace(last if last.converged or last.loglik > eased.loglik else eased, steps=steps, converged=last.converged)
+
+
+def _ascend(design: Design, family: Family, params: np.ndarray, most: int, complete: bool = False) -> Optimum:
+    """Steps of the (complete) information's inverse times the score; each is halved until the likelihood does not fall."""
+    ll, grad, hess = evaluate(design, family, params, complete)
+    for taken in range(1, most + 1):
         step = newton_step(grad, hess)
         longest = np.abs(step).max()
         if longest > 5.0:
@@ -290,7 +320,7 @@ def maximise(design: Design, family_name: str, start: np.ndarray) -> Optimum:
         gain = float(grad @ step)
         slack = 1e-12 * (1 + abs(ll))
         for _ in range(MAX_HALVINGS):
-            new = evaluate(design, family, params + step)
+            new = evaluate(design, family, params + step, complete)
             if np.isfinite(new[0]) and new[0] >= ll - slack:
                 break
             step = step / 2
@@ -299,4 +329,4 @@ def maximise(design: Design, family_name: str, start: np.ndarray) -> Optimum:
         params, (ll, grad, hess) = params + step, new
         if gain <= max(1e-9, 1e-13 * abs(ll)):
             return Optimum(params, ll, grad, hess, taken, True)
-    return Optimum(params, ll, grad, hess, MAX_STEPS, False)
+    return Optimum(params, ll, grad, hess, most, False)
