@@ -71,3 +71,15 @@ def test_count_terms_use_weights_and_gaps():
     want = sum(w * (sum(math.log1p(0.5 * j) for j in range(y)) - math.lgamma(y + 1))
                for y, w in ((0, 9), (3, 2.0), (40, 1.5)))
     assert math.isclose(count_terms(np.array([0.0, 3, 40, 3]), np.array([9, 0.5, 1.5, 1.5]), math.log(0.5))[0], want)
+
+
+def test_terms_of_very_large_targets(monkeypatch):
+    import zerotally.operators.likelihood as L
+
+    y, w = np.array([0.0, 3.0, 150.0, 900.0, 4000.0, 4000.0]), np.array([1.0, 2.0, 0.5, 1.0, 1.0, 3.0])
+    want = L.count_terms(y, w, math.log(0.3)), L.count_terms(y, w, None)
+    monkeypatch.setattr(L, "EXACT_TERMS", 200)
+    got = L.count_terms(y, w, math.log(0.3)), L.count_terms(y, w, None)
+    assert np.allclose(got[0], want[0], rtol=1e-11) and np.allclose(got[1], want[1], rtol=1e-11)
+    value, _, _ = L.count_terms(np.array([1e9]), np.array([1.0]), None)
+    assert math.isclose(value, -math.lgamma(1e9 + 1), rel_tol=1e-12)

@@ -114,23 +114,37 @@ def row_terms(family: Family, y: np.ndarray, zeta: np.ndarray | None, eta: np.nd
     return ll, out
 
 
-#: Values of j that are held at once when sums over j < y are taken.
-_BLOCK = 1 << 20
+#: Sums over j < y are taken term by term up to here; beyond, by the Euler-Maclaurin formula, once per distinct y.
+EXACT_TERMS = 1 << 16
+
+
+def _tail(y: np.ndarray, start: float, integral, term, slope) -> np.ndarray:
+    """Sum of term(j) for j = start .. y - 1."""
+    return integral(y) - integral(start) - (term(y) - term(start)) / 2 + (slope(y) - slope(start)) / 12
 
 
 def count_terms(y: np.ndarray, weight: np.ndarray, theta: float | None) -> tuple[float, float, float]:
     """Value and theta-derivatives of the weighted terms in y alone: sum_{j<y} log(1 + alpha j) - log y!.
 
-    y holds whole numbers from 0 on. Rows with y > j are counted for every j, so no gamma function is needed.
+    y holds whole numbers from 0 on. Rows with y > j are counted for every j, so no gamma function is needed, and a very
+    large y costs no more than `EXACT_TERMS`.
     """
     values, place = np.unique(y, return_inverse=True)
-    above = np.append(np.cumsum(np.bincount(place, weight, len(values))[::-1])[::-1], 0.0)
+    share = np.bincount(place, weight, len(values))
+    above = np.append(np.cumsum(share[::-1])[::-1], 0.0)
     total = np.zeros(3)
-    for low in range(0, int(values[-1]) if len(values) else 0, _BLOCK):
-        j = np.arange(low, min(low + _BLOCK, int(values[-1])), dtype=float)
-        rows = above[np.searchsorted(values, j, side="right")]
-        total[0] -= rows @ np.log(j + 1)
-        if theta is not None:
-            z = math.exp(theta) * j
-            total += rows @ np.log1p(z), rows @ (z / (1 + z)), rows @ (z / (1 + z) ** 2)
+    j = np.arange(0, min(values[-1], EXACT_TERMS) if len(values) else 0, dtype=float)
+    rows = above[np.searchsorted(values, j, side="right")]
+    total[0] -= rows @ np.log(j + 1)
+    far = values > EXACT_TERMS
+    high, held, low = values[far].astype(float), share[far], float(EXACT_TERMS)
+    total[0] -= held @ _tail(high, low, lambda t: (t + 1) * np.log(t + 1) - t, lambda t: np.log(t + 1), lambda t: 1 / (t + 1))
+    if theta is not None:
+        a = math.exp(theta)
+        z = a * j
+        total += rows @ np.log1p(z), rows @ (z / (1 + z)), rows @ (z / (1 + z) ** 2)
+        d = lambda t: 1 + a * t
+        total += (held @ _tail(high, low, lambda t: (d(t) * np.log(d(t)) - d(t)) / a, lambda t: np.log(d(t)), lambda t: a / d(t)),
+                  held @ _tail(high, low, lambda t: t - np.log(d(t)) / a, lambda t: a * t / d(t), lambda t: a / d(t) ** 2),
+                  held @ _tail(high, low, lambda t: (np.log(d(t)) + 1 / d(t)) / a, lambda t: a * t / d(t) ** 2, lambda t: a * (1 - a * t) / d(t) ** 3))
     return tuple(total.tolist())

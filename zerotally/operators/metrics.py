@@ -33,11 +33,11 @@ def gini(df: DataFrame, y: str, pred: str) -> DataFrame:
     return total.select(F.when(s != 0, ((n * s - w) / s - (n + 1) / 2) / n).alias("gini"))
 
 
-def normalized_gini(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """Gini of the prediction over the Gini of a perfect ranking."""
+def normalized_gini(df: DataFrame, y: str, pred: str, best: DataFrame | None = None) -> DataFrame:
+    """Gini of the prediction over the Gini of a perfect ranking, which may be given where several predictions share it."""
     # A perfect ranking orders by the count itself; equal counts contribute the same in any order.
     got = gini(df, y, pred).withColumnRenamed("gini", "_got")
-    best = perfect_gini(df, y).withColumnRenamed("gini", "_best")
+    best = (perfect_gini(df, y) if best is None else best).withColumnRenamed("gini", "_best")
     return (got.select("_got", F.lit(1).alias("_k")).join(best.select("_best", F.lit(1).alias("_k")), "_k")
             .select((F.col("_got") / F.col("_best")).alias("normalized_gini")))
 
@@ -69,10 +69,10 @@ def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
     return total.select(F.when(pairs > 0, F.col("cross") / pairs).alias("auc"))
 
 
-def report(df: DataFrame, label: str, y: str, pred: str, aic: float | None = None) -> DataFrame:
+def report(df: DataFrame, label: str, y: str, pred: str, aic: float | None = None, best: DataFrame | None = None) -> DataFrame:
     """One row: label, RMSE, AIC, normalised Gini."""
     one = F.lit(1).alias("_k")
-    return (rmse(df, y, pred).select("*", one).join(normalized_gini(df, y, pred).select("*", one), "_k")
+    return (rmse(df, y, pred).select("*", one).join(normalized_gini(df, y, pred, best).select("*", one), "_k")
             .select(F.lit(label).alias("label"), "rmse", F.lit(aic).cast("double").alias("aic"),
                     "normalized_gini"))
 

@@ -12,7 +12,7 @@ from zerotally import fixed
 from zerotally.operators.encoder import Encoder
 from zerotally.operators.imputation import Imputer
 from zerotally.operators.levels import mean_calibration, ordered_levels, rate_calibration
-from zerotally.operators.metrics import hurdle_report, log_loss, report, roc_auc
+from zerotally.operators.metrics import hurdle_report, log_loss, perfect_gini, report, roc_auc
 from zerotally.operators.models import (Model, fit_logit, fit_poisson, fit_zinb, fit_zip, fit_ztnb,
                                         zi_warm_start)
 from zerotally.operators.newton import Design, checked, make_design
@@ -218,7 +218,11 @@ def baseline_comparison(encoded: Encoded, models: dict[str, Model]) -> DataFrame
     """RMSE, AIC and normalised Gini of every baseline on training and validation rows, with the state of its fit."""
     scored = materialise(encoded.rows.select(
         fixed.ID, "Sample", encoded.target, *[m.predict().alias(name) for name, m in models.items()]), "scored")
-    rows = [report(scored.where(F.col("Sample") == s), f"{name} {s.lower()}", encoded.target, name, m.aic)
+    samples = {s: scored.where(F.col("Sample") == s) for s in ("Train", "Val")}
+    # one perfect ranking per sample serves all models
+    best = dict(zip(samples, together(scored.sparkSession, *[lambda df=df: materialise(perfect_gini(df, encoded.target), "best")
+                                                             for df in samples.values()])))
+    rows = [report(df, f"{name} {s.lower()}", encoded.target, name, m.aic, best[s])
             .withColumns({"converged": F.lit(m.converged), "steps": F.lit(m.steps)})
-            for name, m in models.items() for s in ("Train", "Val")]
+            for name, m in models.items() for s, df in samples.items()]
     return reduce(DataFrame.unionByName, rows)
