@@ -269,7 +269,7 @@ for _family, _hit in (("logit", "CASE WHEN call_counts > 0 THEN 1 ELSE 0 END"),
                                          F.floor(F.col("tenure_at_snapshot") / 4).cast("int").cast("string").alias("months"), F.col("12m_call_history").cast("double").alias("calls"),
                                          (F.when(F.col(fixed.TARGET) > 0, 1).otherwise(0) if family == "logit" else F.col(fixed.TARGET)).alias("y"))
         rows = materialise(rows, "wide")
-        scored = fit_wide(rows, ["lot", "months"], ["calls"], "y", family).predict(rows)
+        scored = fit_wide(rows, ["lot", "months"], ["calls"], "y", family, allow_unconverged=True).predict(rows)
         return by_level(scored, ["lot", "months"], ["pred"]).groupBy("Variable", "ValVar").agg(
             F.count(F.lit(1)).alias("n"), r(F.sum("pred"), 2).alias("predicted"))
 

@@ -17,7 +17,8 @@ COMPARED = [
     "a03_rate_calibration_auto", "a09_segment_value_counts", "a10_box_statistics", "r01_running_sum",
     "r03_holdout_split_auto", "f02_one_hot", "i04_impute_with_frozen_imputer_auto", "j04_nearest_neighbours_nonauto",
     "e03_normalized_gini", "e05_roc_auc", "e07_segment_report", "m06_zero_inflated_nb_nonauto",
-    "m14_hurdle_product_nonauto", "m12_coefficient_table",
+    "m14_hurdle_product_nonauto", "m12_coefficient_table", "m16_csv_to_scores", "m10_stepwise_planted_signal",
+    "i04_impute_unseen_after_reload_nonauto",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
