@@ -8,6 +8,7 @@ from collections import defaultdict
 import pytest
 
 from zerotally.llm import exact_dedup, mixing, url_filter
+from zerotally.workspace import materialise
 from zerotally.llm.queries import URL_RULES
 
 DOCS = "doc_id long, text string, source string, digest string, run string"
@@ -164,3 +165,18 @@ def test_apportionment_is_by_highest_quotients(spark, votes, seats):
     df = spark.createDataFrame([(0, i, float(v), seats) for i, v in enumerate(votes)], "g int, item int, vote double, seats long")
     got = {r["item"]: r["won"] for r in mixing.apportion(df, ["g"], "item", "vote", "seats").collect()}
     assert got == dict(enumerate(won))
+
+def test_mix_spreads_rows_of_one_id(spark):
+    """An id on most rows, and null on others: shards stay small, and the places do not depend on how the rows lie."""
+    rows = [(5, "w " * (i % 3) + "x", "a") for i in range(600)] + [(None, "w " * i, "a") for i in range(100)] + [(5, "x", "b"), (5, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    tables = [materialise(mixing.word_sizes(docs.repartition(n)), "sizes") for n in (1, 4)]
+    keys = [sorted(r["key"] for r in mixing.seeded_keys(t).collect()) for t in tables]
+    assert keys[0] == keys[1] and len(set(keys[0])) == len(rows)
+    plan = mixing.plan_mix(tables[1], shard_docs=50).where("source = 'a'")
+    sizes = [r["count"] for r in plan.groupBy("shard").count().collect()]
+    assert len(sizes) == 14 and max(sizes) < 100
+    taken = [sorted(map(repr, mixing.mix(docs.repartition(n), shard_docs=50).collect())) for n in (1, 4)]
+    assert taken[0] == taken[1] and len(taken[0]) == len(rows)
+    words = lambda df: df.selectExpr("sum(regexp_count(text, '[^ ]+'))").first()[0]
+    assert words(mixing.mixed_documents(docs, shard_docs=50)) == mixing.mix(docs, shard_docs=50).selectExpr("sum(taken)").first()[0]

@@ -24,11 +24,28 @@ STRIDE = 982_451_653  # a prime, larger than any shard's number of blocks
 
 
 def word_sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-               seed: int = SEED) -> DataFrame:
-    """doc_id, source, size in words (null text: 0) and a seeded key."""
+               keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, source, size in words (null text: 0), `at`, the row's place in this reading of `docs`, and columns to keep."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                       F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}"))).alias("key"))
+                       F.monotonically_increasing_id().alias("at"), *keep)
+
+
+def seeded_keys(sizes: DataFrame, seed: int = SEED) -> DataFrame:
+    """`sizes` with a seeded `key` per row: of id, source, size and a number among the rows that agree in all three.
+
+    So rows that repeat an id spread like others, and the keys do not depend on how the rows lie. Rows are counted by
+    partition of the reading and numbered inside of it: no group is larger than one of its partitions.
+    """
+    known = lambda c: F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(c).cast("string")))
+    same = F.md5(F.concat_ws(":", F.col("size").cast("string"), known("doc_id"), known("source"), F.lit(str(seed))))
+    rows = sizes.withColumn("same", same).withColumn("part", F.shiftright("at", 33))  # the id holds its partition above bit 33
+    earlier = Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (rows.groupBy("same", "part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(earlier))
+              .where("before > 0").select("same", "part", "before"))
+    nth = F.row_number().over(Window.partitionBy("same", "part").orderBy("at")) + F.coalesce("before", F.lit(0))
+    return (rows.join(starts, ["same", "part"], "left")
+            .withColumn("key", F.md5(F.concat_ws(":", "same", nth.cast("string")))).drop("same", "part", "before"))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: int = 2) -> DataFrame:
@@ -87,7 +104,8 @@ def _chosen(j: Column) -> Column:
 def plan_mix(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: int = 2,
              block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: int = SEED) -> DataFrame:
     """`sizes` rows with source_size, target, and where the document lies: start (in its shard's line of words),
-    rounds (how often every block is taken), odd, turn and n_blocks (which blocks are taken once more)."""
+    rounds (how often every block is taken), odd, turn and n_blocks (which blocks are taken once more). `sizes` is read
+    several times and must be a written table."""
     whole = lambda c: F.conv(F.substring(c, 1, 8), 16, 10).cast("long")
     sources = source_targets(sizes, weights, share, cap)
     seats = apportion(sources.withColumn("_one", F.lit(1)).withColumn(
@@ -95,8 +113,9 @@ def plan_mix(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float
         ["_one"], "rk", "target", "seats")
     seats = seats.select("rk", F.col("source").alias("_source"), "n_docs", "source_size", "target", F.col("won").alias("seats"))
     seats = materialise(seats, "mix-sources")
-    docs = (sizes.join(seats, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    docs = (seeded_keys(sizes, seed).join(seats, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
             .withColumn("shard", (whole(F.col("key")) % F.ceil(F.col("n_docs") / shard_docs)).cast("long")))
+    docs = materialise(docs, "mix-keys")
     shards = (docs.groupBy("rk", "shard").agg(F.sum("size").alias("shard_size"), F.first("seats").alias("seats")))
     blocks = F.ceil(F.col("shard_size") / block)
     taken = F.least(F.col("won"), cap * blocks)
@@ -104,7 +123,7 @@ def plan_mix(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float
               .select("rk", "shard", "n_blocks", F.floor(taken / F.col("n_blocks")).alias("rounds"),
                       (taken % F.col("n_blocks")).alias("odd"),
                       whole(F.md5(F.concat_ws(":", F.col("rk").cast("string"), F.col("shard").cast("string"), F.lit(str(seed))))).alias("turn")))
-    line = Window.partitionBy("rk", "shard").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    line = Window.partitionBy("rk", "shard").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     return (docs.join(shards, ["rk", "shard"])
             .withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0))))
 
@@ -128,7 +147,7 @@ def mix(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", source_col:
     Null and empty texts have size 0 and are taken 0 times; null is a source of its own, after the others. Rows that
     repeat an id are documents of their own. An empty table gives no rows. Reruns give the same rows.
     """
-    sizes = materialise(word_sizes(docs, id_col, source_col, text_col, options.get("seed", SEED)), "mix-sizes")
+    sizes = materialise(word_sizes(docs, id_col, source_col, text_col), "mix-sizes")
     plan = plan_mix(sizes, block=block, **options)
     odd = F.aggregate(_blocks(block), F.lit(0).cast("long"),
                       lambda n, j: n + F.when(_chosen(j), _within(j, block)[1]).otherwise(F.lit(0)).cast("long"))
@@ -141,31 +160,25 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED, **opt
     it is, and one row for the words of its blocks that are taken once more, each with the white space before it. The
     columns doc_id, source and text are read; n_chars, if there is one, is set to the length of the new text. Documents
     without words are never taken. Rows that agree in id, source and size take these documents' places in any order.
+
+    The rows are written once, so that a row's place names it in the plan and with its text; texts move once, by place.
     """
     columns = docs.columns
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    place = lambda df: df.withColumn("_nth", F.row_number().over(
-        Window.partitionBy("_key", "_source", "_size").orderBy("_at")))
-    marked = F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce(F.col("source").cast("string"), F.lit("")))
-    sizes = materialise(word_sizes(docs, seed=seed), "mix-sizes")
-    plan = place(plan_mix(sizes, block=block, seed=seed, **options).select(
-        F.col("key").alias("_key"), marked.alias("_source"), F.col("size").alias("_size"), F.col("start").alias("_at"),
-        "start", "size", "n_blocks", "rounds", "odd", "turn"))
-    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), key.alias("_key"),
-                       marked.alias("_source"), words.alias("_size"), F.lit(0).alias("_at"))
-    joined = place(rows).drop("_at").join(plan.drop("_at"), ["_key", "_source", "_size", "_nth"])
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    rows = materialise(word_sizes(boxed, "row.doc_id", "row.source", "row.text", keep=["row"]), "mix-rows")
+    plan = plan_mix(rows.drop("row"), block=block, seed=seed, **options).where("size > 0").select(
+        "at", "start", "size", "n_blocks", "rounds", "odd", "turn")
     picked = F.coalesce(F.filter(_blocks(block), _chosen), F.array().cast("array<bigint>"))
     some = F.aggregate(picked, F.lit(0).cast("long"), lambda n, j: n + _within(j, block)[1])
-    text = F.col("_row.text")
+    plan = plan.withColumn("some", some).where("rounds > 0 or some > 0")
+    text = F.col("row.text")
     words_of = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    cut = lambda j: F.slice(F.col("_words"), (_within(j, block)[0] + 1).cast("int"), _within(j, block)[1].cast("int"))
-    part = F.when(F.col("_some") == F.col("size"), text).otherwise(F.array_join(F.flatten(F.transform(picked, cut)), ""))
+    cut = lambda j: F.slice(F.col("words"), (_within(j, block)[0] + 1).cast("int"), _within(j, block)[1].cast("int"))
+    part = F.when(F.col("some") == F.col("size"), text).otherwise(F.array_join(F.flatten(F.transform(picked, cut)), ""))
     texts = F.concat(F.array_repeat(text, F.col("rounds").cast("int")),
-                     F.when(F.col("_some") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
-    taken = (joined.withColumn("_some", some)
-             .withColumn("_words", F.when((F.col("_some") > 0) & (F.col("_some") < F.col("size")), words_of))
-             .where((F.col("size") > 0) & ((F.col("rounds") > 0) | (F.col("_some") > 0)))
-             .select("_row", F.explode(texts).alias("_text")))
-    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast(dict(docs.dtypes).get("n_chars", "long"))}
-    return taken.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in columns])
+                     F.when(F.col("some") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
+    taken = (rows.select("at", "row").join(plan, "at")
+             .withColumn("words", F.when((F.col("some") > 0) & (F.col("some") < F.col("size")), words_of))
+             .select("row", F.explode(texts).alias("new_text")))
+    new = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return taken.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])
