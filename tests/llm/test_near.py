@@ -67,6 +67,19 @@ def test_rows_with_one_id_and_no_rows(spark):
     assert near_dedup.near_groups(docs.limit(0)).count() == 0
 
 
+def test_values_in_common_are_those_of_the_whole_matrix():
+    rng = np.random.default_rng(3)
+    values = [rng.choice(400, rng.integers(0, 48), replace=False).astype(np.int64) - 200 for _ in range(301)]
+    dense = np.zeros((301, 400))
+    for row, of in enumerate(values):
+        dense[row, of + 200] = 1
+    for some in (values, values[:1], [v[:0] for v in values]):
+        counts, whole = near_dedup.in_common(some), dense[:len(some)] * (sum(map(len, some)) > 0)
+        strips = [counts(low) for low in range(0, len(some), near_dedup._ROWS)]
+        assert max(len(s) for s in strips) <= near_dedup._ROWS
+        assert (np.concatenate(strips) == whole @ whole.T).all()
+
+
 def test_least_overlap_leaves_out_less_than_the_miss():
     need = near_dedup.least_overlap(32, 8)
     tail = lambda n: sum(math.comb(32, i) * 0.8 ** i * 0.2 ** (32 - i) for i in range(n))

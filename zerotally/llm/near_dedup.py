@@ -31,7 +31,8 @@ from zerotally.workspace import materialise
 SKETCH = 48
 #: Classes of a list that meet in one task at most, on either side.
 BLOCK = 2048
-_ROWS = 256
+#: Classes compared at once with all that meet in a task.
+_ROWS = 64
 MISS = 1e-9
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -185,6 +186,26 @@ def near_groups(docs: DataFrame, words: int = 5, tenths: int = 8, k: int = SKETC
                     F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept")))
 
 
+def in_common(values: list[np.ndarray]):
+    """A function that counts, for a strip of rows, the values which each of them shares with each row.
+
+    Only values that the strip holds become columns, so its matrices have at most `_ROWS` rows' values across.
+    """
+    row = np.repeat(np.arange(len(values)), [len(v) for v in values])
+    flat = np.concatenate(values) if values else np.empty(0, np.int64)
+
+    def counts(low: int) -> np.ndarray:
+        high = min(low + _ROWS, len(values))
+        held = np.unique(flat[(row >= low) & (row < high)])
+        at = np.minimum(np.searchsorted(held, flat), max(0, len(held) - 1))
+        hit = held[at] == flat if len(held) else np.zeros(len(flat), bool)
+        out = np.zeros((len(values), len(held)), np.float32)
+        out[row[hit], at[hit]] = 1
+        return out[low:high] @ out.T
+
+    return counts
+
+
 def links_across(placed: DataFrame, lists: DataFrame, classes: DataFrame, sets: DataFrame, k: int, tenths: int) -> DataFrame:
     """Confirmed links (a, b) between components that meet in a list; enough of them to connect all that are linked."""
     split = (placed.groupBy("value").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"))
@@ -197,28 +218,17 @@ def links_across(placed: DataFrame, lists: DataFrame, classes: DataFrame, sets:
     need = least_overlap(k, tenths)
     key = ["value", "i", "j"]
 
-    def incidence(values: list[np.ndarray]) -> np.ndarray:
-        """Rows against the values that at least two of them hold."""
-        flat = np.concatenate(values) if values else np.empty(0, np.int64)
-        known, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
-        column = np.cumsum(counts > 1) - 1
-        row = np.repeat(np.arange(len(values)), [len(v) for v in values])
-        shared = counts[place] > 1
-        out = np.zeros((len(values), int((counts > 1).sum())), np.float32)
-        out[row[shared], column[place[shared]]] = 1
-        return out
-
     def likely(value: int, i: int, j: int, table: pa.Table):
         """Pairs of rows that may be similar, a strip of rows at a time."""
         rep, n, part, block = (table.column(c).to_numpy() for c in ("rep", "n", "part", "block"))
         prefix = [np.asarray(p, np.int64) for p in table.column("prefix").to_pylist()]
         sketch = [np.asarray(v, np.int64) for v in table.column("sketch").to_pylist()]
-        seen, shared = incidence([p[p < value] for p in prefix]), incidence(sketch)
+        seen, shared = in_common([p[p < value] for p in prefix]), in_common(sketch)
         least = np.minimum(need, np.ceil(np.array([len(v) for v in sketch]) * tenths / 10))
         for low in range(0, len(rep), _ROWS):
             at = slice(low, low + _ROWS)
-            ok = shared[at] @ shared.T >= np.minimum(least[at, None], least)
-            ok &= (seen[at] @ seen.T == 0) & (part[at, None] != part) & (rep[at, None] < rep)
+            ok = shared(low) >= np.minimum(least[at, None], least)
+            ok &= (seen(low) == 0) & (part[at, None] != part) & (rep[at, None] < rep)
             ok &= np.minimum(n[at, None], n) * 10 >= np.maximum(n[at, None], n) * tenths
             if i != j:
                 ok &= block[at, None] != block
