@@ -169,3 +169,25 @@ def test_searches_without_queries_or_points(spark):
     assert nearest_neighbours(asked, points, ["a", "b"], ["c"], 2, "id", "id", "label").count() == 0
     one = spark.createDataFrame([(5, 1, 0.0, 0.0, 0)], points.schema)
     assert nearest_neighbours(asked.limit(0), one, ["a", "b"], ["c"], 2, "id", "id", "label").count() == 0
+
+
+def test_a_tile_is_cut_by_all_its_coordinates_at_once(spark):
+    rng = np.random.default_rng(31)
+    rows = [(0, *map(float, v)) for v in rng.random((6000, 4))]
+    tiled, depth = N._split_tiles(spark.createDataFrame(rows, "tile long, a double, b double, c double, d double"), list("abcd"), 460)
+    sizes = [r["count"] for r in tiled.groupBy("tile").count().collect()]
+    assert depth == 1 and len(sizes) == 16 and max(sizes) <= 460
+
+
+def test_queries_and_searches_are_dealt_to_all_cores(spark):
+    rng = np.random.default_rng(32)
+    p = [(i, i % 3, float(a), float(b), i % 7) for i, (a, b) in enumerate(rng.random((2000, 2)))]
+    points = spark.createDataFrame(p, "id long, label int, a double, b double, c int")
+    index = N.build_index(points, ["a", "b"], ["c"], 3, "id", "label")
+    q = spark.createDataFrame([(i, float(a), 0.5, i % 7) for i, a in enumerate(rng.random(400))], "id long, a double, b double, c int")
+    dims = N._dims(index.names)
+    home = q.select(F.col("id").alias("qid"), *N._coordinates(q, index.names)).join(index.tiles.select("tile", "lo2"), F.col("_x2") == F.col("lo2")).drop("lo2")
+    found = N._search(home, index.at(home), dims, 3)
+    # a handful of bytes, but no fewer tasks than the session's partitions
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "LocalTableScan" in N._tile_by_discrete(points.select(F.col("c").cast("double").alias("_x2"), "id"), ["_x2"])._jdf.queryExecution().toString()

@@ -17,9 +17,11 @@ set aside first; copies of one query are answered once. Neither can pile up in o
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +35,6 @@ BLOCK_CELLS = 4_000_000
 MAX_DISCRETE = 4096
 MAX_SHARDS = 2048    # folders of an index; a folder is what a search reads at once
 
-_INDEX = "names array<string>, k int, depth int"
 _FOUND = "qid long, nid long, d2 double, label int"
 
 
@@ -49,46 +50,66 @@ def _tile_by_discrete(points: DataFrame, discrete: list[str]) -> DataFrame | Non
     if len(combos) > MAX_DISCRETE:
         return None
     listed = sorted(tuple(float(v) for v in row) for row in combos)
-    spark = points.sparkSession
-    schema = ", ".join([*(f"{d} double" for d in discrete), "tile long"])
-    numbered = spark.createDataFrame([(*c, i) for i, c in enumerate(listed)], schema)
+    names = [*discrete, "tile"]
+    types = [pa.float64()] * len(discrete) + [pa.int64()]
+    values = list(zip(*[(*c, i) for i, c in enumerate(listed)])) or [()] * len(names)
+    # from Arrow, so that the rows are part of the plan and no Python task runs wherever it is used
+    numbered = points.sparkSession.createDataFrame(pa.table([pa.array(v, t) for v, t in zip(values, types)], names=names))
     return points.join(F.broadcast(numbered), discrete)
 
 
+def _with_cuts(seen: DataFrame, numeric: list[str], tile_rows: int) -> DataFrame:
+    """Per tile `_at<i>`, the values at which coordinate i is cut, from its count `_n` and the coordinates' ranges and quantiles.
+
+    A tile of 2^p times the wanted size is cut into 2^p parts (32 at most) by all coordinates at once: halvings are dealt out
+    to the coordinates with most different quantiles first. A coordinate whose quantiles say nothing is cut at its mean.
+    """
+    grid = [F.col(f"_d{i}") for i in range(len(numeric))]
+    power = F.least(F.ceil(F.log2(F.col("_n") / tile_rows)), F.lit(int(np.log2(FANOUT)))).cast("int")
+    different = lambda d: F.size(F.array_distinct(F.filter(d["q"], lambda v: v > d["lo"])))
+    # coordinates that can be cut, the one with most quantiles first
+    order = F.array_sort(F.filter(F.array(*[F.struct((-different(d)).alias("n"), F.lit(i).alias("i"), (d["hi"] > d["lo"]).alias("cut"))
+                                            for i, d in enumerate(grid)]), lambda r: r["cut"]))
+    ranked = seen.withColumn("_power", power).withColumn("_order", F.transform(order, lambda r: r["i"]))
+    usable = F.greatest(F.size("_order"), F.lit(1))
+    share = []
+    for i in range(len(numeric)):
+        place = F.array_position("_order", F.lit(i)).cast("int")  # 0 where it cannot be cut
+        share.append(F.when(place > 0, F.floor(F.col("_power") / usable).cast("int") + F.when(place <= F.col("_power") % usable, 1).otherwise(0))
+                     .otherwise(0).alias(f"_p{i}"))
+    dealt = ranked.select("tile", *[f"_d{i}" for i in range(len(numeric))], *share)
+    out = []
+    for i, d in enumerate(grid):
+        step = F.lit(FANOUT) / F.pow(F.lit(2.0), F.col(f"_p{i}"))
+        at = F.array_distinct(F.filter(d["q"], lambda v, j: ((j + 1) % step == 0) & (v > d["lo"])))
+        mean = F.array(F.greatest(d["mid"], d["hi"] / 2 + d["lo"] / 2))
+        out.append(F.when(F.col(f"_p{i}") == 0, F.array().cast("array<double>")).when(F.size(at) > 0, at).otherwise(mean).alias(f"_at{i}"))
+    return dealt.select("tile", *out)
+
+
 def _split_tiles(points: DataFrame, numeric: list[str], tile_rows: int) -> tuple[DataFrame, int]:
     """Give every point the number of its final tile; also the number of split levels.
 
-    On every level a tile that is too large is cut at quantiles of the dimension that gives most of them, or at the
-    mean where one value holds nearly all of it, so that only copies of a single point can stay together.
+    On every level a tile that is too large is cut at quantiles of its coordinates, or at the mean where one value holds
+    nearly all of it, so that only copies of a single point can stay together.
     """
     depth = 0
     grid = [j / FANOUT for j in range(1, FANOUT)]
     while depth < MAX_LEVELS:
         sizes = points.groupBy("tile").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > tile_rows)
-        if sizes.isEmpty():
-            break
         seen = points.join(sizes, "tile").groupBy("tile").agg(F.first("_n").alias("_n"), *[
             F.struct(F.min(d).alias("lo"), F.max(d).alias("hi"), F.avg(d).alias("mid"),
                      F.percentile_approx(d, grid, 1000).alias("q")).alias(f"_d{i}") for i, d in enumerate(numeric)])
-        # about the root of the excess that is due to this level, as a power of two up to the full fan-out
-        left = max(1, len(numeric) - depth)
-        power = F.least(F.ceil(F.log2(F.col("_n") / tile_rows) / left), F.lit(int(np.log2(FANOUT))))
-        step = F.lit(FANOUT) / F.pow(F.lit(2.0), power)
-
-        def cuts_of(i: int):
-            d = F.col(f"_d{i}")
-            at = F.array_distinct(F.filter(d["q"], lambda v, j: ((j + 1) % step == 0) & (v > d["lo"])))
-            at = F.when(F.size(at) > 0, at).when(d["hi"] > d["lo"], F.array(F.greatest(d["mid"], d["hi"] / 2 + d["lo"] / 2)))
-            return F.struct(F.coalesce(F.size(at), F.lit(0)).alias("n"), F.lit(-i).alias("dim"), at.alias("at"))
-
-        best = F.array_max(F.array(*[cuts_of(i) for i in range(len(numeric))]))
-        cuts = materialise(seen.select("tile", best.alias("_cut")).where("_cut.n > 0"), "cuts")
+        at = [f"_at{i}" for i in range(len(numeric))]
+        cut = reduce(lambda a, b: a | b, [F.size(c) > 0 for c in at])
+        cuts = materialise(_with_cuts(seen, numeric, tile_rows).where(cut), "cuts")
         if cuts.isEmpty():
             break
-        value = F.element_at(F.array(*[F.col(d).cast("double") for d in numeric]), 1 - F.col("_cut.dim"))
-        child = F.coalesce(F.size(F.filter(F.col("_cut.at"), lambda v: v <= value)), F.lit(0))
+        child = F.lit(0).cast("long")
+        for c, d in zip(at, numeric):
+            child = child * (F.size(c) + 1) + F.size(F.filter(F.col(c), lambda v: v <= F.col(d).cast("double")))
         points = (points.join(cuts, "tile", "left")
-                  .withColumn("tile", F.col("tile") * FANOUT + child).drop("_cut"))
+                  .withColumn("tile", F.col("tile") * FANOUT + F.coalesce(child, F.lit(0))).drop(*at))
         depth += 1
     return points, depth
 
@@ -139,12 +160,16 @@ def _search_block(dims: list[str], k: int):
         qid, nid, label = (queries["qid"].to_numpy(), points["nid"].to_numpy(),
                            points["label"].to_numpy())
         take = min(k, len(p))
+        # a coordinate in which all points and queries agree adds exactly 0
+        met = [j for j in range(len(dims)) if p[0, j] != q[0, j] or np.ptp(p[:, j]) or np.ptp(q[:, j])]
+        if len(met) < len(dims):
+            p, q = p[:, met], q[:, met]
         out: list[tuple[np.ndarray, ...]] = []
         width = max(1, BLOCK_CELLS // len(p))
         for start in range(0, len(q), width):
             part = q[start:start + width]
             d2 = np.zeros((len(part), len(p)))
-            for j in range(len(dims)):
+            for j in range(p.shape[1]):
                 d2 += (part[:, j, None] - p[None, :, j]) ** 2
             limit = np.partition(d2, take - 1, axis=1)[:, take - 1:take]
             row, col = np.nonzero(d2 <= limit)
@@ -159,7 +184,11 @@ def _search_block(dims: list[str], k: int):
 
 
 def _search(queries: DataFrame, points: DataFrame, dims: list[str], k: int) -> DataFrame:
-    """Search each query in its tile; a tile with many queries is copied for parts of them."""
+    """Search each query in its tile; a tile with many queries is copied for parts of them.
+
+    Few bytes stand for much work here, so the exchange has a fixed number of partitions, which are not joined by size.
+    """
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies = queries.groupBy("tile").agg(
         F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("_copies"))
     dealt = (queries.join(copies, "tile")
@@ -168,6 +197,7 @@ def _search(queries: DataFrame, points: DataFrame, dims: list[str], k: int) -> D
     spread = (points.join(copies, "tile")
               .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
               .select("nid", "label", "tile", "_copy", *dims))
+    dealt, spread = (df.repartition(tasks, "tile", "_copy") for df in (dealt, spread))
     return (dealt.groupBy("tile", "_copy").cogroup(spread.groupBy("tile", "_copy"))
             .applyInPandas(_search_block(dims, k), _FOUND))
 
@@ -200,8 +230,8 @@ class TileIndex:
     def save(self, spark: SparkSession, path: str) -> None:
         _write_points(self.points, f"{path}/points")
         self.tiles.write.mode("overwrite").parquet(f"{path}/tiles")
-        row = (self.names, self.k, self.depth)
-        spark.createDataFrame([row], _INDEX).coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
+        row = pa.table({"names": pa.array([self.names], pa.list_(pa.string())), "k": pa.array([self.k], pa.int32()), "depth": pa.array([self.depth], pa.int32())})
+        spark.createDataFrame(row).coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "TileIndex":
@@ -222,14 +252,16 @@ class TileIndex:
             raise ValueError(f"the index holds {self.k} copies of a point at most, so k cannot be {k}")
         dims = _dims(self.names)
         asked = materialise(queries.select(F.col(query_id).alias(query_id), *_coordinates(queries, self.names)), "queries")
-        queries = asked.groupBy(*dims).agg(F.min(query_id).cast("long").alias("qid"))
+        # a query meets many boxes on its way down: dealt out by number, not by their few bytes
+        tasks = queries.sparkSession.sparkContext.defaultParallelism
+        queries = asked.groupBy(*dims).agg(F.min(query_id).cast("long").alias("qid")).repartition(tasks)
         tree = _tile_tree(self.tiles.drop("shard"), self.depth)
         home = materialise(_home_tiles(queries, tree, dims, k), "home")
         first = materialise(_search(home, self.at(home), dims, k), "first")
         bound = first.groupBy("qid").agg(
             F.when(F.count(F.lit(1)) >= k, F.max("d2")).otherwise(F.lit(float("inf"))).alias("r2"))
-        near = materialise(_near_tiles(home.withColumnRenamed("tile", "home").join(bound, "qid", "left")
-                                       .na.fill(float("inf"), ["r2"]), tree, dims), "near")
+        bounded = home.withColumnRenamed("tile", "home").join(bound, "qid", "left").na.fill(float("inf"), ["r2"])
+        near = materialise(_near_tiles(bounded.repartition(tasks), tree, dims), "near")
         best = _top(first.unionByName(_search(near, self.at(near), dims, k)), k)
         answers = home.join(best, "qid").select(*dims, "nid", "d2", "label", "place")
         return asked.join(answers, dims).select(query_id, "nid", "d2", "label", "place")
@@ -246,9 +278,11 @@ def build_index(points: DataFrame, numeric: list[str], discrete: list[str], k: i
         raise ValueError(f"tile_rows must be at least {FANOUT * k}")
     spark, names = points.sparkSession, [*numeric, *discrete]
     dims = _dims(names)
-    copies = Window.partitionBy(*dims).orderBy("nid")
+    # the hash goes first, so that the sorts compare whole coordinates only where it agrees
+    copies = Window.partitionBy("_hash", *dims).orderBy("nid")
     points = (points.select(F.col(point_id).cast("long").alias("nid"), F.col(label).cast("int").alias("label"), *_coordinates(points, names))
-              .withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k).drop("_copy"))
+              .withColumn("_hash", F.xxhash64(*dims))
+              .withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k).drop("_copy", "_hash"))
     points = materialise(points, "points")
     by_discrete = _tile_by_discrete(points, dims[len(numeric):])
     if by_discrete is None:  # then they are cut like the others
