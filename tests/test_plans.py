@@ -146,3 +146,19 @@ def test_prepared_rows_survive_a_round_trip(spark, prepared, tmp_path):
     again = Prepared.load(spark, str(tmp_path / "p"), prepared[1].name)
     columns = prepared[1].rows.columns
     assert sorted(map(tuple, again.rows.select(columns).collect())) == sorted(map(tuple, prepared[1].rows.collect()))
+
+
+def test_prepared_rows_are_a_written_table(prepared):
+    # stages read them several times: no hash of the split, no join of the filled flag is left to do
+    plan = prepared[0].rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" in plan and "Join" not in plan and "md5" not in plan and "Union" not in plan
+
+
+def test_a_segments_filter_comes_before_the_line_items(table):
+    from zerotally.operators.segments import segment
+
+    plan = segment(table, "nonauto")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    outer = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
+    inner = next(i for i, line in enumerate(plan) if "Join Inner" in line)
+    assert depth(plan[outer]) < depth(plan[inner]) and "NonAuto" in plan[inner]

@@ -58,7 +58,8 @@ def prepare_segment(table: DataFrame, seg: str) -> Prepared:
     """Split and imputation of a written segment table."""
     rows = with_sample(table)
     imputer = fit_imputer(rows.where(F.col("Sample") == "Train"))
-    return Prepared(seg, imputed(rows, imputer), imputer)
+    # written, as every stage reads the rows several times: the hash of the split and the join are worked out once
+    return Prepared(seg, materialise(imputed(rows, imputer), "prepared"), imputer)
 
 
 @dataclass(frozen=True)

@@ -65,8 +65,9 @@ def build_policies(orders: DataFrame, customer: DataFrame, lineitem: DataFrame)
         "trm_len_mo": pick(auto | (F.col("c_nationkey") % 5 == 0), F.lit(6), F.lit(12)),
         "call_counts": F.coalesce("y", F.lit(0)),
     }
-    joined = (orders.join(order_activity(lineitem), "o_orderkey", "left")
-              .join(customer, orders["o_custkey"] == customer["c_custkey"]))
+    # customers first: a segment's filter needs no more than these two, so it comes before the large join
+    joined = (orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+              .join(order_activity(lineitem), "o_orderkey", "left"))
     return joined.select(*[c.alias(name) for name, c in columns.items()])
 
 
