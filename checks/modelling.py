@@ -29,7 +29,7 @@ from zerotally.plans import hurdle as H
 from zerotally.plans.prepare import Prepared, encode_stage, prepare, prepare_all
 from zerotally.sources import csv_files
 from zerotally.sources.policies import policies
-from zerotally.workspace import materialise, scratch_path
+from zerotally.workspace import materialise, scratch_path, together
 
 GROUP = "acq_method"
 
@@ -151,8 +151,8 @@ for _seg in SEGS:
 
     @query(f"i04_impute_with_frozen_imputer_{_seg}", sql.imputed(_seg) + "SELECT id, pol_edeliv_ind_filled FROM filled")
     def _(spark, d, seg=_seg):
-        data = prepare(policies(spark, d), seg)
-        return data.impute(policies(spark, d).drop(fixed.TARGET)).select(fixed.ID, fixed.FILLED)
+        table = materialise(policies(spark, d), "policies")
+        return prepare(table, seg).impute(table.drop(fixed.TARGET)).select(fixed.ID, fixed.FILLED)
 
 
 # -- saturated fits ---------------------------------------------------------------------------
@@ -347,7 +347,7 @@ def m16(spark, d):
 @query("m16_csv_to_scores", ALL + """, t AS (SELECT bi_limit_group = 'NonAuto' AS other, acq_method, avg(call_counts) AS mean FROM policies WHERE id % 5 <> 4 GROUP BY 1, 2)
     SELECT id, round(mean, 4) AS call_counts FROM policies p JOIN t ON t.other = (p.bi_limit_group = 'NonAuto') AND t.acq_method = p.acq_method WHERE id % 5 = 4""")
 def m16_csv(spark, d):
-    rows, path = policies(spark, d), scratch_path(spark, "csv")
+    rows, path = materialise(policies(spark, d), "policies"), scratch_path(spark, "csv")
     rows.where("id % 5 <> 4").write.csv(f"{path}/train", header=True)
     rows.where("id % 5 = 4").drop(fixed.TARGET).write.csv(f"{path}/test", header=True)
     H.train_from_csv(spark, f"{path}/train", f"{path}/model", nominal=[GROUP])
@@ -441,10 +441,12 @@ for _seg in SEGS:
                                 for name, f in _each.items()))
     def _(spark, d, seg=_seg):
         data = prepare(policies(spark, d), seg)
-        encoded, baseline = H.baseline_models(data)
-        design = H.stage_design(encoded)
-        found = [*baseline.values(), models.fit_nb(design), models.fit_logit(H.stage_design(encode_stage(data, "binary"))),
-                 models.fit_ztnb(H.stage_design(encode_stage(data, "count")))]
+        def base():
+            encoded, baseline = H.baseline_models(data)
+            return [*baseline.values(), models.fit_nb(H.stage_design(encoded))]
+
+        found = sum(together(spark, base, lambda: [models.fit_logit(H.stage_design(encode_stage(data, "binary")))],
+                             lambda: [models.fit_ztnb(H.stage_design(encode_stage(data, "count")))]), [])
         table = reduce(DataFrame.unionByName, [m.statistics_frame(spark) for m in found])
         return rounded(table.select("family", "n", "k", "loglik", "aic", "converged"), 4, "loglik", "aic")
 

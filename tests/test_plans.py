@@ -162,3 +162,35 @@ def test_a_segments_filter_comes_before_the_line_items(table):
     outer = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
     inner = next(i for i, line in enumerate(plan) if "Join Inner" in line)
     assert depth(plan[outer]) < depth(plan[inner]) and "NonAuto" in plan[inner]
+
+
+def test_dummies_are_read_as_bits_and_sum_alike(prepared):
+    from dataclasses import replace
+
+    import numpy as np
+
+    from zerotally.operators import newton as N
+
+    encoded = encode_stage(prepared[1], "baseline")
+    design = H.stage_design(encoded)
+    dummies = {f.name for f in encoded.encoder.features if f.kind == "dummy"}
+    assert dummies and set(design.packed) == dummies
+    plain = replace(design, packed={}, found={})
+    for a, b in ((design, plain), (design.narrowed(design.features[3:]), plain.narrowed(plain.features[3:])),
+                 (design.filtered(F.col(N.Y) > 0), plain.filtered(F.col(N.Y) > 0))):
+        one, two = N.survey(a), N.survey(b)
+        assert np.allclose(one.gram, two.gram, rtol=1e-12, atol=1e-9) and np.allclose(one.with_y, two.with_y, rtol=1e-12, atol=1e-9)
+        start = np.full(len(a.features) + 2, 0.01)
+        for got, want in zip(N.evaluate(a, N.FAMILIES["nb"], start), N.evaluate(b, N.FAMILIES["nb"], start)):
+            assert np.allclose(got, want, rtol=1e-9, atol=1e-9)
+
+
+def test_more_dummies_than_one_word_holds(spark):
+    from zerotally.operators import newton as N
+
+    rows = [(float(i % 3), *[int(i % (j + 2) == 0) for j in range(130)]) for i in range(400)]
+    names = [f"d{j}" for j in range(130)]
+    df = spark.createDataFrame(rows, "y double, " + ", ".join(f"{n} tinyint" for n in names))
+    design = N.make_design(df, names, "y", dummies=names)
+    assert len({word for word, _ in design.packed.values()}) == 3
+    assert N.survey(design).gram[0, 1:].tolist() == [float(sum(r[j + 1] for r in rows)) for j in range(130)]

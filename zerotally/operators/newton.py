@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,8 @@ EM_STEPS = 300
 MAX_HALVINGS = 30
 #: Task sums that are brought to the driver at once; more are added up in tasks first.
 DIRECT_SUMS = 256
-Y, WEIGHT = "_y", "_weight"
+Y, WEIGHT, BITS = "_y", "_weight", "_bits"
+WORD = 62  # 0/1 features in one whole number
 
 
 class BadInput(ValueError):
@@ -49,6 +51,7 @@ class Design:
     columns: dict[str, str]  # of each feature
     y: str
     weighted: bool = False
+    packed: dict[str, tuple[str, int]] = field(default_factory=dict)  # of 0/1 features: a column of bits and the place in it
     found: dict = field(default_factory=dict, compare=False, repr=False)  # what scans have shown
 
     def narrowed(self, features: list[str]) -> "Design":
@@ -56,11 +59,11 @@ class Design:
         found = {k: v for k, v in self.found.items() if k != "survey"}
         if have is not None:
             found["survey"] = have.narrowed([self.features.index(f) for f in features])
-        return Design(self.rows, features, self.columns, self.y, self.weighted, found)
+        return Design(self.rows, features, self.columns, self.y, self.weighted, self.packed, found)
 
     def replaced(self, rows: DataFrame) -> "Design":
         """The same columns over other rows."""
-        return Design(rows, self.features, self.columns, self.y, self.weighted)
+        return Design(rows, self.features, self.columns, self.y, self.weighted, self.packed)
 
     def filtered(self, condition: Column) -> "Design":
         return self.replaced(self.rows.where(condition))
@@ -69,27 +72,41 @@ class Design:
         return {f: F.col(self.columns[f]) for f in self.features}
 
 
-def make_design(df: DataFrame, features: list[str], y: str, compress: bool = False) -> Design:
+def make_design(df: DataFrame, features: list[str], y: str, compress: bool = False, dummies: list[str] | None = None) -> Design:
     """Write the design once; with `compress`, equal rows become one row with a weight.
 
     Compression pays when the features take few distinct combinations, as dummies of a few
-    categories do; the sums, and so the fit, stay the same.
+    categories do; the sums, and so the fit, stay the same. `dummies` names features that are 0 or 1 in every row; they
+    are also written as bits of a few whole numbers, which is what the scans of the fits read.
     """
     columns = {f: f"x{i}" for i, f in enumerate(features)}
     narrow = df.select(*[F.col(f"`{f}`").cast("double").alias(c) for f, c in columns.items()],
                        F.col(f"`{y}`").cast("double").alias(Y))
+    packed: dict[str, tuple[str, int]] = {}
     if compress:
         narrow = narrow.groupBy(*columns.values(), Y).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
-    return Design(materialise(narrow, "design"), features, columns, y, compress)
-
-
-def _matrices(batch: pa.RecordBatch, n: int) -> np.ndarray:
-    """Constant 1 followed by the first n columns, one row per record."""
-    out = np.empty((batch.num_rows, n + 1))
-    out[:, 0] = 1.0
-    for i in range(n):
-        out[:, i + 1] = batch.column(i).to_numpy(zero_copy_only=False)
-    return out
+    elif dummies:
+        packed = {f: (f"{BITS}{i // WORD}", i % WORD) for i, f in enumerate(dummies)}
+        words: dict[str, list[Column]] = {}
+        for f, (word, bit) in packed.items():
+            words.setdefault(word, []).append(F.when(F.col(columns[f]) != 0, F.lit(1 << bit)).otherwise(F.lit(0)).cast("long"))
+        narrow = narrow.select("*", *[reduce(lambda a, b: a.bitwiseOR(b), bits).alias(word) for word, bits in words.items()])
+    return Design(materialise(narrow, "design"), features, columns, y, compress, packed)
+
+
+def _matrix(batch: pa.RecordBatch, places: list[tuple[int, int | None]]) -> np.ndarray:
+    """Constant 1 followed by the features, one row per record; a feature's place is its column and its bit, if it has one."""
+    out = np.empty((len(places) + 1, batch.num_rows))  # a feature lies in one piece
+    out[0] = 1.0
+    words: dict[int, np.ndarray] = {}
+    for i, (at, bit) in enumerate(places):
+        if bit is None:
+            out[i + 1] = batch.column(at).to_numpy(zero_copy_only=False)
+        else:
+            if at not in words:
+                words[at] = batch.column(at).to_numpy(zero_copy_only=False)
+            out[i + 1] = (words[at] >> bit) & 1
+    return out.T
 
 
 def _added(batches):
@@ -106,17 +123,20 @@ def _added(batches):
 def column_sums(design: Design, fold: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
                 size: int) -> np.ndarray:
     """Sum of `fold(X, y, weight)` over all batches, as one vector of the given size."""
-    n, weighted = len(design.features), design.weighted
+    weighted, have = design.weighted, set(design.rows.columns)
+    packed = {f: p for f, p in design.packed.items() if p[0] in have}
+    names = list(dict.fromkeys(packed[f][0] if f in packed else design.columns[f] for f in design.features))
+    places = [(names.index(packed[f][0]), packed[f][1]) if f in packed else (names.index(design.columns[f]), None) for f in design.features]
+    n = len(names)
 
     def per_task(batches):
         total = np.zeros(size)
         for batch in batches:
             if batch.num_rows:
                 w = batch.column(n + 1).to_numpy() if weighted else np.ones(batch.num_rows)
-                total += fold(_matrices(batch, n), batch.column(n).to_numpy(zero_copy_only=False), w)
+                total += fold(_matrix(batch, places), batch.column(n).to_numpy(zero_copy_only=False), w)
         yield pa.RecordBatch.from_arrays([pa.array([total])], names=["sums"])
 
-    names = [design.columns[f] for f in design.features]
     rows = design.rows.select(*names, Y, *([WEIGHT] if weighted else []))
     if "tasks" not in design.found:
         design.found["tasks"] = rows.rdd.getNumPartitions()

@@ -25,8 +25,9 @@ from zerotally.workspace import materialise, scratch_scope, together
 
 def stage_design(encoded: Encoded, which: str | None = "Train") -> Design:
     """Design of one sample, or of both for the final refit; dummies alone are compressed."""
-    only_dummies = all(f.kind == "dummy" for f in encoded.encoder.features)
-    return make_design(encoded.sample(which), encoded.encoder.names, encoded.target, compress=only_dummies)
+    dummies = [f.name for f in encoded.encoder.features if f.kind == "dummy"]
+    return make_design(encoded.sample(which), encoded.encoder.names, encoded.target,
+                       compress=len(dummies) == len(encoded.encoder.names), dummies=dummies)
 
 
 @dataclass(frozen=True)
