@@ -131,6 +131,27 @@ def test_tiles_are_bounded_but_for_copies_of_one_point(spark):
     assert max([r["n"] for r in sizes if r["d"] > 1], default=0) <= 100
 
 
+def test_tiled_points_are_a_written_table(spark):
+    rng = np.random.default_rng(5)
+    points = spark.createDataFrame([(0, *map(float, r)) for r in rng.normal(size=(3000, 2))], "tile long, a double, b double")
+    tiled, depth = N._split_tiles(points, ["a", "b"], 200)
+    plan = tiled._jdf.queryExecution().optimizedPlan().toString()
+    assert depth >= 1 and "Relation" in plan and "Join" not in plan  # places on earlier levels are not worked out again
+
+
+def test_a_bound_from_groups_keeps_the_nearest():
+    rng = np.random.default_rng(6)
+    for n, take in ((5000, 5), (161, 5), (40, 5), (5, 5)):
+        d2 = np.round(rng.random((7, n)), 2)
+        exact = np.sort(d2, axis=1)[:, take - 1:take]
+        bound = N._bound(d2, take)
+        assert (bound >= exact).all() and ((d2 <= bound).sum(1) >= take).all()
+        if n == 5000:
+            assert (d2 <= bound).sum() < d2.size / 4
+    d2[0] = np.nan
+    assert np.isnan(N._bound(d2, 5)[0]).all()
+
+
 def test_a_saved_index_reads_only_the_folders_it_visits(spark, tmp_path):
     rng = np.random.default_rng(21)
     p = [(i, i % 3, float(a), float(b), int(c)) for i, (a, b, c) in enumerate(zip(rng.random(4000) * 100, rng.random(4000) * 100, rng.integers(0, 3, 4000)))]

@@ -194,3 +194,25 @@ def test_more_dummies_than_one_word_holds(spark):
     design = N.make_design(df, names, "y", dummies=names)
     assert len({word for word, _ in design.packed.values()}) == 3
     assert N.survey(design).gram[0, 1:].tolist() == [float(sum(r[j + 1] for r in rows)) for j in range(130)]
+
+
+def test_the_survey_of_zeros_needs_no_scan(spark, prepared):
+    import numpy as np
+
+    from zerotally.operators import newton as N
+
+    design = H.stage_design(encode_stage(prepared[1], "baseline"))
+    flagged = design.replaced(design.rows.withColumn(N.Y, F.when(F.col(N.Y) == 0, 1.0).otherwise(0.0)))
+    derived, scanned = N.survey(design).of_zeros(), N.survey(flagged)
+    for name in ("n", "sum_y", "bad", "other", "negative", "broken", "zero", "large", "with_y", "at_zero", "at_zero_all", "gram"):
+        assert np.allclose(getattr(derived, name), getattr(scanned, name), rtol=1e-12, atol=1e-9), name
+
+
+def test_the_policy_join_has_a_fixed_number_of_partitions(spark, table):
+    from zerotally.operators.segments import segment
+
+    lines = segment(table, "nonauto")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(lines) if "RepartitionByExpression" in line)
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    assert lines[at].rstrip().endswith(tasks) or f", {tasks}" in lines[at]
+    assert any("NonAuto" in line or "c_mktsegment" in line for line in lines[at + 1:])  # the filter is below

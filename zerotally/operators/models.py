@@ -263,8 +263,10 @@ def fit_ztnb(design: Design, allow_unconverged: bool = False) -> Model:
 
 def zi_warm_start(design: Design, allow_unconverged: bool = False) -> tuple[Model, Model]:
     """Logit of y == 0 on all rows, Poisson on the positive rows."""
-    checked(design, "poisson")
+    seen = checked(design, "poisson")
     flagged = design.replaced(design.rows.withColumn(Y, F.when(F.col(Y) == 0, 1.0).otherwise(0.0)))
+    if not design.weighted:
+        flagged.found["survey"] = seen.of_zeros()  # no scan of its own
     zero_fit, count_fit = together(
         design.rows.sparkSession, lambda: fit_logit(flagged, allow_unconverged),
         lambda: fit_poisson(design.filtered(F.col(Y) > 0), allow_unconverged))

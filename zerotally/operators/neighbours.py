@@ -31,7 +31,8 @@ MAX_LEVELS = 10  # tile numbers stay within 64 bits
 FANOUT = 32          # children per tile and split, a power of two
 TILE_ROWS = 20_000   # a tile above this is split further
 QUERY_ROWS = 4_000   # queries searched against one copy of a tile
-BLOCK_CELLS = 4_000_000
+BLOCK_CELLS = 128_000  # distances worked on at once: few enough to stay in a core's cache
+BOUND_GROUPS = 16    # groups of distances per neighbour, see _bound
 MAX_DISCRETE = 4096
 MAX_SHARDS = 2048    # folders of an index; a folder is what a search reads at once
 
@@ -96,7 +97,9 @@ def _split_tiles(points: DataFrame, numeric: list[str], tile_rows: int) -> tuple
     depth = 0
     grid = [j / FANOUT for j in range(1, FANOUT)]
     while depth < MAX_LEVELS:
-        sizes = points.groupBy("tile").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > tile_rows)
+        sizes = materialise(points.groupBy("tile").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > tile_rows), "sizes")
+        if sizes.isEmpty():
+            break
         seen = points.join(sizes, "tile").groupBy("tile").agg(F.first("_n").alias("_n"), *[
             F.struct(F.min(d).alias("lo"), F.max(d).alias("hi"), F.avg(d).alias("mid"),
                      F.percentile_approx(d, grid, 1000).alias("q")).alias(f"_d{i}") for i, d in enumerate(numeric)])
@@ -108,8 +111,9 @@ def _split_tiles(points: DataFrame, numeric: list[str], tile_rows: int) -> tuple
         child = F.lit(0).cast("long")
         for c, d in zip(at, numeric):
             child = child * (F.size(c) + 1) + F.size(F.filter(F.col(c), lambda v: v <= F.col(d).cast("double")))
-        points = (points.join(cuts, "tile", "left")
-                  .withColumn("tile", F.col("tile") * FANOUT + F.coalesce(child, F.lit(0))).drop(*at))
+        # written, so that no later level works out the places on the earlier ones again
+        points = materialise(points.join(cuts, "tile", "left")
+                             .withColumn("tile", F.col("tile") * FANOUT + F.coalesce(child, F.lit(0))).drop(*at), "tiled")
         depth += 1
     return points, depth
 
@@ -150,6 +154,18 @@ def _near_tiles(queries: DataFrame, tree: list[DataFrame], dims: list[str]) -> D
     return at.withColumnRenamed("parent", "tile").where(F.col("tile") != F.col("home"))
 
 
+def _bound(d2: np.ndarray, take: int) -> np.ndarray:
+    """Per row a value that at least `take` distances do not exceed, and few more: of the least distances of many groups
+    the one at place `take`, which is cheaper than that of all."""
+    groups = BOUND_GROUPS * take
+    width = d2.shape[1] // groups
+    if width > 1:
+        least = d2[:, :groups * width].reshape(len(d2), groups, width).min(axis=2)
+        if not np.isnan(least).any():
+            d2 = least
+    return np.partition(d2, take - 1, axis=1)[:, take - 1:take]
+
+
 def _search_block(dims: list[str], k: int):
     """The k nearest points of one tile for each of its queries, ties by point id."""
     def nearest(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
@@ -169,10 +185,11 @@ def _search_block(dims: list[str], k: int):
         for start in range(0, len(q), width):
             part = q[start:start + width]
             d2 = np.zeros((len(part), len(p)))
+            gap = np.empty_like(d2)
             for j in range(p.shape[1]):
-                d2 += (part[:, j, None] - p[None, :, j]) ** 2
-            limit = np.partition(d2, take - 1, axis=1)[:, take - 1:take]
-            row, col = np.nonzero(d2 <= limit)
+                np.subtract(part[:, j, None], p[None, :, j], out=gap)
+                d2 += np.square(gap, out=gap)
+            row, col = np.nonzero(d2 <= _bound(d2, take))
             dist = d2[row, col]
             order = np.lexsort((col, dist, row))
             row, col, dist = row[order], col[order], dist[order]
@@ -228,17 +245,16 @@ class TileIndex:
     depth: int
 
     def save(self, spark: SparkSession, path: str) -> None:
-        _write_points(self.points, f"{path}/points")
-        self.tiles.write.mode("overwrite").parquet(f"{path}/tiles")
-        row = pa.table({"names": pa.array([self.names], pa.list_(pa.string())), "k": pa.array([self.k], pa.int32()), "depth": pa.array([self.depth], pa.int32())})
-        spark.createDataFrame(row).coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
+        _write_points(self.points, path)
+        _write_tiles(self.tiles, path)
+        _write_state(spark, self.names, self.k, self.depth, path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "TileIndex":
         r = spark.read.parquet(f"{path}/index").first()
-        schema = ", ".join(["nid long, label int", *(f"{d} double" for d in _dims(r["names"])), "tile long", "shard int"])
-        return TileIndex(spark.read.schema(schema).parquet(f"{path}/points"), spark.read.parquet(f"{path}/tiles"),
-                         list(r["names"]), r["k"], r["depth"])
+        dims = _dims(r["names"])
+        return TileIndex(spark.read.schema(_point_schema(dims)).parquet(f"{path}/points"),
+                         spark.read.schema(_tile_schema(dims)).parquet(f"{path}/tiles"), list(r["names"]), r["k"], r["depth"])
 
     def at(self, asked: DataFrame) -> DataFrame:
         """The points in the folders of the tiles that `asked` names."""
@@ -267,8 +283,25 @@ class TileIndex:
         return asked.join(answers, dims).select(query_id, "nid", "d2", "label", "place")
 
 
+def _point_schema(dims: list[str]) -> str:
+    return ", ".join(["nid long, label int", *(f"{d} double" for d in dims), "tile long", "shard int"])
+
+
+def _tile_schema(dims: list[str]) -> str:
+    return ", ".join(["tile long, cnt long", *(f"lo{i} double, hi{i} double" for i in range(len(dims))), "shard int"])
+
+
 def _write_points(points: DataFrame, path: str) -> None:
-    points.repartition("tile").write.mode("overwrite").partitionBy("shard").parquet(path)
+    points.repartition("tile").write.mode("overwrite").partitionBy("shard").parquet(f"{path}/points")
+
+
+def _write_tiles(tiles: DataFrame, path: str) -> None:
+    tiles.write.mode("overwrite").parquet(f"{path}/tiles")
+
+
+def _write_state(spark: SparkSession, names: list[str], k: int, depth: int, path: str) -> None:
+    row = pa.table({"names": pa.array([names], pa.list_(pa.string())), "k": pa.array([k], pa.int32()), "depth": pa.array([depth], pa.int32())})
+    spark.createDataFrame(row).coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
 
 
 def build_index(points: DataFrame, numeric: list[str], discrete: list[str], k: int, point_id: str, label: str,
@@ -289,17 +322,18 @@ def build_index(points: DataFrame, numeric: list[str], discrete: list[str], k: i
         tiled, depth = _split_tiles(points.withColumn("tile", F.lit(0).cast("long")), dims, tile_rows)
     else:
         tiled, depth = _split_tiles(by_discrete, dims[:len(numeric)], tile_rows)
-    tiled = materialise(tiled, "tiled")
+    if not depth:
+        tiled = materialise(tiled, "tiled")
     box = [f(F.col(d)).alias(f"{n}{i}") for i, d in enumerate(dims) for n, f in (("lo", F.min), ("hi", F.max))]
     place = F.row_number().over(Window.orderBy("tile")) - 1  # a row per tile
     tiles = tiled.groupBy("tile").agg(F.count(F.lit(1)).alias("cnt"), *box)
     many = F.count(F.lit(1)).over(Window.partitionBy())
-    tiles = materialise(tiles.withColumn("shard", F.floor(place / F.ceil(many / MAX_SHARDS)).cast("int")), "tiles")
-    sharded = tiled.join(tiles.select("tile", "shard"), "tile").select("nid", "label", *dims, "tile", "shard")
-    index = TileIndex(sharded, tiles, names, k, depth)
     path = path or scratch_path(spark, "index")
-    index.save(spark, path)
-    return TileIndex.load(spark, path)
+    _write_tiles(tiles.withColumn("shard", F.floor(place / F.ceil(many / MAX_SHARDS)).cast("int")), path)
+    tiles = spark.read.schema(_tile_schema(dims)).parquet(f"{path}/tiles")
+    _write_points(tiled.join(tiles.select("tile", "shard"), "tile").select("nid", "label", *dims, "tile", "shard"), path)
+    _write_state(spark, names, k, depth, path)
+    return TileIndex(spark.read.schema(_point_schema(dims)).parquet(f"{path}/points"), tiles, names, k, depth)
 
 
 def nearest_neighbours(queries: DataFrame, points: DataFrame, numeric: list[str], discrete: list[str],

@@ -172,6 +172,11 @@ class Survey:
         return Survey(self.n, self.sum_y, self.bad[[*at, -1]], self.other[at], self.negative, self.broken, self.zero,
                       self.large, self.with_y[at], self.at_zero[at], self.at_zero_all, self.gram[np.ix_(g, g)])
 
+    def of_zeros(self) -> "Survey":
+        """The survey of the same rows, unweighted and all finite, with the target 1 where it was 0, else 0."""
+        return Survey(self.n, self.at_zero_all, self.bad, self.other, 0.0, 0.0, self.n - self.zero, 0.0, self.at_zero,
+                      self.gram[0, 1:] - self.at_zero, self.n - self.at_zero_all, self.gram)
+
 
 def survey(design: Design) -> Survey:
     """What one scan shows of the design; kept with it and with designs narrowed from it."""

@@ -66,8 +66,11 @@ def build_policies(orders: DataFrame, customer: DataFrame, lineitem: DataFrame)
         "call_counts": F.coalesce("y", F.lit(0)),
     }
     # customers first: a segment's filter needs no more than these two, so it comes before the large join
-    joined = (orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-              .join(order_activity(lineitem), "o_orderkey", "left"))
+    owned = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+    # A fixed number of partitions: joined by size they come to one or two more than there are cores, and most cores then
+    # wait in this join and in every read of a table that is written from it.
+    owned = owned.repartition(int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
+    joined = owned.join(order_activity(lineitem), "o_orderkey", "left")
     return joined.select(*[c.alias(name) for name, c in columns.items()])
 
 
