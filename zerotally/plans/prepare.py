@@ -13,7 +13,7 @@ from zerotally.operators.imputation import Imputer, fill_from, fit_imputer
 from zerotally.operators.ranking import with_sample
 from zerotally.operators.segments import positives, segment, segment_tables
 from zerotally.operators.views import feature_view
-from zerotally.workspace import materialise, together
+from zerotally.workspace import materialise, scratch_path, together
 
 
 @dataclass(frozen=True)
@@ -58,8 +58,13 @@ def prepare_segment(table: DataFrame, seg: str) -> Prepared:
     """Split and imputation of a written segment table."""
     rows = with_sample(table)
     imputer = fit_imputer(rows.where(F.col("Sample") == "Train"))
-    # written, as every stage reads the rows several times: the hash of the split and the join are worked out once
-    return Prepared(seg, materialise(imputed(rows, imputer), "prepared"), imputer)
+    filled = imputed(rows, imputer)
+    # written, as every stage reads the rows several times: the hash of the split and the join are worked out once; in a
+    # folder for each sample, so that reading one does not touch the other's rows
+    spark, path = table.sparkSession, scratch_path(table.sparkSession, "prepared")
+    folders = {s: f"{path}/{s}" for s in ("Train", "Val")}
+    together(spark, *[lambda s=s, f=f: filled.where(F.col("Sample") == s).write.parquet(f) for s, f in folders.items()])
+    return Prepared(seg, spark.read.schema(filled.schema).parquet(*folders.values()), imputer)
 
 
 @dataclass(frozen=True)
