@@ -318,3 +318,46 @@ def test_information_of_the_complete_likelihood(spark):
     assert ll == ll2 and np.allclose(grad, grad2)
     assert np.allclose(hess[:2, :2], -(a * (pi * (1 - pi))[:, None]).T @ a) and np.allclose(hess[:2, 2:], 0)
     assert np.allclose(hess[2:, 2:], -(a * ((1 - share) * mu)[:, None]).T @ a)
+
+
+def test_fits_hold_no_copy_of_the_rows_in_memory(spark, sim, monkeypatch):
+    """Three fits of a baseline comparison ran side by side, each over a cached copy of all rows."""
+    from pyspark.sql import DataFrame
+    import zerotally.operators.newton as newton
+
+    held, inner = [], newton.evaluate
+    def watched(*args, **kw):
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        return inner(*args, **kw)
+    def refused(self, *args, **kw):
+        raise AssertionError("rows are cached")
+    monkeypatch.setattr(newton, "evaluate", watched)
+    monkeypatch.setattr(DataFrame, "persist", refused)
+    monkeypatch.setattr(DataFrame, "cache", refused)
+    models.zi_warm_start(_design(sim, "zip"))
+    assert models.fit_poisson(_design(sim, "zip")).converged
+    assert held and not any(held)
+
+
+@pytest.mark.parametrize("family,y,fit", [("poisson", "poisson", models.fit_poisson), ("logit", "hit", models.fit_logit)])
+def test_glm_and_spark_ml_agree(sim, family, y, fit):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GeneralizedLinearRegression
+
+    rows = VectorAssembler(inputCols=["x1", "x2"], outputCol="x").transform(sim)
+    want = GeneralizedLinearRegression(family="binomial" if family == "logit" else family, featuresCol="x", labelCol=y, tol=1e-10).fit(rows)
+    errors = want.summary.coefficientStandardErrors
+    got = fit(_design(sim, y))
+    assert got.converged
+    assert np.allclose([c.coef for c in got.coefficients], [want.intercept, *want.coefficients], atol=1e-7)
+    assert np.allclose([c.se for c in got.coefficients], [errors[-1], *errors[:-1]], rtol=1e-5)
+
+
+def test_a_logit_without_an_intercept_is_at_its_own_optimum(sim):
+    design = _design(sim, "hit")
+    full = models.fit_logit(design)
+    shifted = models.replace(full, coefficients=[models.replace(c, p=1.0 if c.term == "const" else 0.0) for c in full.coefficients])
+    held = models.fit_logit_constrained(design, shifted, 0.5)
+    at = np.array([c.coef for c in held.coefficients])
+    _, grad, _ = evaluate(design, FAMILIES["logit"], at)
+    assert at[0] == 0.0 and abs(grad[0]) > 1 and np.allclose(grad[1:], 0, atol=1e-4)

@@ -7,19 +7,17 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zerotally.functions.scalars import sigmoid
 from zerotally.operators.likelihood import CLIP, FAMILIES
-from zerotally.operators.newton import (WEIGHT, Y, Design, NotConverged, Optimum, Survey, checked, evaluate,
+from zerotally.operators.newton import (MAX_STEPS, WEIGHT, Y, Design, NotConverged, Optimum, Survey, checked, evaluate,
                                         independent_features, maximise, newton_step, separated_features)
 from zerotally.workspace import materialise, together
 
 CONST, ALPHA = "const", "alpha"
-GLM_STEPS = 100
+GLM_STEPS = MAX_STEPS
 MAX_GLM_COLUMNS = 4096
 _COEF_SCHEMA = "pos int, part string, term string, coef double, se double, z double, p double"
 _STAT_SCHEMA = ("family string, loglik double, k int, aic double, n double, steps int, "
@@ -112,46 +110,23 @@ def _coefficient(part: str, term: str, coef: float, variance: float) -> Coeffici
     return Coefficient(part, term, float(coef), se, z, two_sided_p(z))
 
 
-# -- generalised linear models by Spark ML ----------------------------------------------------
+# -- generalised linear models ----------------------------------------------------------------
 
-# Spark ML's names for family and link
-_GLM = {"poisson": ("poisson", "log"), "logit": ("binomial", "logit")}
+def _run_glm(design: Design, family: str, keep: list[str], seen: Survey, intercept: bool) -> tuple[list[Coefficient], Optimum]:
+    """Coefficients and optimum of Newton steps, which with the canonical link are those of reweighted least squares.
 
-
-def _glm_rows(design: Design, family: str, keep: list[str]) -> DataFrame:
-    """Feature vector `_x`, target `_t` and weight `_w`.
-
-    Weighted 0/1 rows become one proportion per feature combination: with heavy weights on
-    single outcomes the solver would start next to 0 and 1.
+    They start at the target's mean and read the written design on every step; no copy of its rows is held in memory.
     """
-    names = [design.columns[f] for f in keep]
-    if design.weighted and family == "logit":
-        w = F.col(WEIGHT)
-        rows = design.rows.groupBy(*names).agg((F.sum(w * F.col(Y)) / F.sum(w)).alias("_t"), F.sum(w).alias("_w"))
-    else:
-        w = F.col(WEIGHT) if design.weighted else F.lit(1.0)
-        rows = design.rows.select(*names, F.col(Y).alias("_t"), w.alias("_w"))
-    return VectorAssembler(inputCols=names, outputCol="_x").transform(rows).select("_x", "_t", "_w")
-
-
-def _run_glm(design: Design, family: str, keep: list[str], intercept: bool) -> tuple[list[Coefficient], int]:
-    name, link = _GLM[family]
     if len(keep) > MAX_GLM_COLUMNS:
-        raise ValueError(f"{len(keep)} columns are more than Spark ML's solver takes ({MAX_GLM_COLUMNS}); wide.fit_wide fits them")
-    rows = _glm_rows(design, family, keep).persist()
-    try:
-        fitted = GeneralizedLinearRegression(
-            family=name, link=link, featuresCol="_x", labelCol="_t", weightCol="_w", predictionCol="_mean",
-            fitIntercept=intercept, maxIter=GLM_STEPS, tol=1e-8).fit(rows)
-        summary = fitted.summary
-        errors, values, terms = list(summary.coefficientStandardErrors), list(fitted.coefficients), list(keep)
-        steps = summary.numIterations
-    finally:
-        rows.unpersist()
+        raise ValueError(f"{len(keep)} columns are more than one Hessian is kept for ({MAX_GLM_COLUMNS}); wide.fit_wide fits them")
+    free = slice(0 if intercept else 1, None)
+    start = np.zeros(len(keep) + 1)
     if intercept:
-        # Spark ML puts the intercept's error last
-        errors, values, terms = [errors[-1], *errors[:-1]], [fitted.intercept, *values], [CONST, *terms]
-    return [_coefficient("count", t, b, e * e) for t, b, e in zip(terms, values, errors)], steps
+        start[0] = _intercept_only(family, seen)[0].coef
+    best = maximise(design.narrowed(keep), family, start, free)
+    terms = [CONST, *keep][free]
+    variance = np.diag(_inverse(-best.hessian[free, free]))
+    return [_coefficient("count", t, b, v) for t, b, v in zip(terms, best.params[free], variance)], best
 
 
 def _intercept_only(family: str, seen: Survey) -> list[Coefficient]:
@@ -182,19 +157,20 @@ def _fit_glm(design: Design, family: str, keep: list[str], seen: Survey, interce
     flat = seen.sum_y == 0 or (family == "logit" and seen.sum_y == seen.n)
     if flat:
         raise NotConverged(f"{family} fit: every target is {0 if seen.sum_y == 0 else 1}")
+    free = slice(0 if intercept else 1, None)
     if keep:
-        coefs, steps = _run_glm(design, family, keep, intercept)
+        coefs, best = _run_glm(design, family, keep, seen, intercept)
+        steps, value, grad, hess = best.steps, best.loglik, best.gradient, best.hessian
     elif intercept:
         coefs, steps = _intercept_only(family, seen), 0
+        value, grad, hess = evaluate(design.narrowed([]), FAMILIES[family], np.array([coefs[0].coef]))
     else:
         raise ValueError("no coefficient is left to fit")
     apart = separated_features(design.narrowed(keep), family)
-    model = Model(family, coefs, math.nan, len(coefs), seen.n, steps, False, [f for f in design.features if f not in keep], apart)
-    value, grad, hess = _value_at(model, design)
-    free = slice(0 if intercept else 1, None)
     gain = float(grad[free] @ newton_step(grad[free], hess[free, free]))
     done = bool(np.isfinite(value) and steps < GLM_STEPS and gain <= max(1e-6, 1e-9 * abs(value)) and not apart)
-    return _settled(replace(model, loglik=float(value), converged=done), allow)
+    return _settled(Model(family, coefs, float(value), len(coefs), seen.n, steps, done,
+                          [f for f in design.features if f not in keep], apart), allow)
 
 
 def log_likelihood(model: Model, design: Design) -> float:

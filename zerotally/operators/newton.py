@@ -321,11 +321,12 @@ class Optimum:
     converged: bool
 
 
-def maximise(design: Design, family_name: str, start: np.ndarray) -> Optimum:
+def maximise(design: Design, family_name: str, start: np.ndarray, free: slice = slice(None)) -> Optimum:
     """Newton ascent with step halving until the predicted gain is negligible. Where that stops short in a zero-inflated
-    model, steps of expectation and maximisation take over, which cannot overshoot, and Newton steps end the fit."""
+    model, steps of expectation and maximisation take over, which cannot overshoot, and Newton steps end the fit.
+    Parameters that are not `free` stay where they start."""
     family = FAMILIES[family_name]
-    found = _ascend(design, family, np.asarray(start, float), MAX_STEPS)
+    found = _ascend(design, family, np.asarray(start, float), MAX_STEPS, free=free)
     if found.converged or not (family.zeta and family.eta):
         return found
     eased = _ascend(design, family, found.params, EM_STEPS, complete=True)
@@ -334,11 +335,13 @@ def maximise(design: Design, family_name: str, start: np.ndarray) -> Optimum:
     return replace(last if last.converged or last.loglik > eased.loglik else eased, steps=steps, converged=last.converged)
 
 
-def _ascend(design: Design, family: Family, params: np.ndarray, most: int, complete: bool = False) -> Optimum:
+def _ascend(design: Design, family: Family, params: np.ndarray, most: int, complete: bool = False,
+            free: slice = slice(None)) -> Optimum:
     """Steps of the (complete) information's inverse times the score; each is halved until the likelihood does not fall."""
     ll, grad, hess = evaluate(design, family, params, complete)
     for taken in range(1, most + 1):
-        step = newton_step(grad, hess)
+        step = np.zeros_like(grad)
+        step[free] = newton_step(grad[free], hess[free, free])
         longest = np.abs(step).max()
         if longest > 5.0:
             step = step * (5.0 / longest)
